@@ -18,6 +18,7 @@ def build_session(app: str = "ledgerlake", cpus: int | str = "*", driver_memory:
         .appName(app)
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", parallel)
         .config("spark.sql.adaptive.enabled", "true")

@@ -53,6 +53,7 @@ def _transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = joined.selectExpr(
         "*",
         "l_partkey % 11 = 0 as is_self",
+        "cast(cast(l_shipdate as date) as string) as day_text",
         "(l_orderkey * 7 + l_partkey * 3 + l_linenumber * 131) % 1440 as minute_of_day",
         f"{_pick(CURRENCIES, 'c_nationkey % 5')} as pay_currency",
         "lpad(cast(c_nationkey as string), 4, '0') as own_bank",
@@ -67,8 +68,7 @@ def _transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "(((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey) * 10000"
         " + datediff(cast(l_shipdate as date), date'1990-01-01') as landing_row_id",
         "c_custkey",
-        "concat(date_format(cast(l_shipdate as date),"
-        " if(l_orderkey % 211 = 0, 'yyyy-MM-dd', 'yyyy/MM/dd')), ' ',"
+        "concat(if(l_orderkey % 211 = 0, day_text, translate(day_text, '-', '/')), ' ',"
         " lpad(cast(minute_of_day div 60 as string), 2, '0'), ':',"
         " lpad(cast(minute_of_day % 60 as string), 2, '0')) as timestamp_text",
         "if(l_orderkey % 223 = 0, concat('X', own_bank), own_bank) as from_bank_text",
