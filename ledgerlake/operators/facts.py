@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.dims import conform
 from ledgerlake.operators.enrich import enriched_transactions, with_calendar_keys
+from ledgerlake.operators.lookup import HOT_MIN_ROWS, HOT_SHARE, hot_keys, left_lookup
 from ledgerlake.schemas import DW_REJECT, FACT_PATTERN, FACT_TRANSACTION, UNKNOWN_KEY
-from ledgerlake.session import stage
-
-# An account with at least this share of all roles is looked up by broadcast, so
-# there are at most 1/HOT_SHARE such accounts however large the fact grows.
-HOT_SHARE = 0.001
-HOT_MIN_ROWS = 50_000_000
 
+ACCOUNT_KEYS = ["bank_id", "account_number"]
 TRANSACTION_LOOKUP_KEYS = [
     "date_key",
     "time_key",
@@ -38,74 +32,27 @@ def any_unknown(keys: list[str]) -> Column:
     return test
 
 
-def hot_accounts(
-    transactions: DataFrame, accounts: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
-) -> DataFrame | None:
-    """Accounts in at least ``share`` of all sender and receiver roles, with their keys.
-
-    None for a small fact, where adaptive execution has nothing to split. The
-    counts are combined on the map side before they move.
-    """
-    roles = 2 * transactions.count()
-    if roles < min_rows:
-        return None
+def hot_accounts(transactions: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame | None:
+    """Accounts in at least ``share`` of all sender and receiver roles, from one scan."""
     both = F.array(
         F.struct(F.col("from_bank_id").alias("bank_id"), F.col("from_account_id").alias("account_number")),
         F.struct(F.col("to_bank_id").alias("bank_id"), F.col("to_account_id").alias("account_number")),
     )
-    keys = ["bank_id", "account_number"]
-    heavy = (
-        transactions.select(F.inline(both))
-        .groupBy(*keys)
-        .count()
-        .where(F.col("count") >= math.ceil(roles * share))
-        .select(*keys)
-    )
-    found = F.broadcast(heavy).join(accounts.select(*keys, "account_key", "entity_key"), keys, "left")
-    return stage(found, "hot")
-
-
-def with_account_keys(facts: DataFrame, accounts: DataFrame, hot: DataFrame | None, role: str) -> DataFrame:
-    """Left lookup of the current account version for one role.
-
-    Rows of hot accounts find their keys in a broadcast of bounded size. In the
-    shuffle join they carry a key that matches nothing and differs from row to
-    row, so they spread evenly instead of meeting in one task.
-    """
-    bank, number = F.col(f"{role}_bank_id"), F.col(f"{role}_account_id")
-    account_key, entity_key = f"{role}_account_key", f"{role}_entity_key"
-    current = accounts.select(
-        F.col("bank_id").alias("_bank"),
-        F.col("account_number").alias("_number"),
-        F.col("account_key").alias(account_key),
-        F.col("entity_key").alias(entity_key),
-    )
-    if hot is None:
-        return facts.join(current, (bank == F.col("_bank")) & (number == F.col("_number")), "left").drop(
-            "_bank", "_number"
-        )
-    known = hot.select(
-        F.col("bank_id").alias("_hot_bank"),
-        F.col("account_number").alias("_hot_number"),
-        F.col("account_key").alias("_hot_account"),
-        F.col("entity_key").alias("_hot_entity"),
-        F.lit(True).alias("_is_hot"),
-    )
-    spread = F.concat(F.lit("~"), F.pmod(F.xxhash64(*facts.columns[:1]), F.lit(1 << 20)).cast("string"))
-    marked = facts.join(
-        F.broadcast(known), (bank == F.col("_hot_bank")) & (number == F.col("_hot_number")), "left"
-    ).withColumn("_cold_bank", F.when(F.col("_is_hot"), spread).otherwise(bank))
-    joined = marked.join(
-        current, (F.col("_cold_bank") == F.col("_bank")) & (number == F.col("_number")), "left"
-    )
-    return joined.withColumns(
-        {
-            account_key: F.coalesce("_hot_account", account_key),
-            entity_key: F.coalesce("_hot_entity", entity_key),
-        }
-    ).drop(
-        "_bank", "_number", "_hot_bank", "_hot_number", "_hot_account", "_hot_entity", "_is_hot", "_cold_bank"
+    roles = transactions.select(F.inline(both))
+    return hot_keys(roles, ACCOUNT_KEYS, 2 * transactions.count(), share, min_rows)
+
+
+def with_account_keys(
+    facts: DataFrame, accounts: DataFrame, role: str, spread_by: str, hot: DataFrame | None
+) -> DataFrame:
+    """Keys of the current account version for one role."""
+    side = accounts.select(
+        *ACCOUNT_KEYS,
+        F.col("account_key").alias(f"{role}_account_key"),
+        F.col("entity_key").alias(f"{role}_entity_key"),
     )
+    on = {f"{role}_bank_id": "bank_id", f"{role}_account_id": "account_number"}
+    return left_lookup(facts, side, on, spread_by, hot)
 
 
 def _lookup(facts: DataFrame, dim: DataFrame, dim_column: str, fact_column: str, key: str, out: str) -> DataFrame:
@@ -114,7 +61,9 @@ def _lookup(facts: DataFrame, dim: DataFrame, dim_column: str, fact_column: str,
     return facts.join(side, F.col(fact_column) == F.col("_match"), "left").drop("_match")
 
 
-def _with_dimension_keys(facts: DataFrame, dims: dict[str, DataFrame], hot: DataFrame | None) -> DataFrame:
+def _with_dimension_keys(
+    facts: DataFrame, dims: dict[str, DataFrame], spread_by: str, hot: DataFrame | None
+) -> DataFrame:
     dates = dims["dim_date"].select(F.col("date_key").alias("_date"))
     # 1,441 rows by construction.
     times = F.broadcast(dims["dim_time"].select(F.col("time_key").alias("_time")))
@@ -131,7 +80,7 @@ def _with_dimension_keys(facts: DataFrame, dims: dict[str, DataFrame], hot: Data
         rows, dims["dim_payment_format"], "payment_format", "payment_format", "payment_format_key", "payment_format_key"
     )
     for role in ("from", "to"):
-        rows = with_account_keys(rows, current, hot, role)
+        rows = with_account_keys(rows, current, role, spread_by, hot)
     keys = [*TRANSACTION_LOOKUP_KEYS, *ENTITY_KEYS]
     return rows.withColumns({key: F.coalesce(key, F.lit(UNKNOWN_KEY)) for key in keys})
 
@@ -148,7 +97,7 @@ def fact_transactions(
     rows = enriched_transactions(transactions.where(positive_amounts())).withColumn(
         "txn_month", F.floor(F.col("date_key") / 100)
     )
-    keyed = _with_dimension_keys(rows, dims, hot).withColumns(
+    keyed = _with_dimension_keys(rows, dims, "source_transaction_id", hot).withColumns(
         {
             "transaction_key": F.col("source_transaction_id"),
             "source_load_batch_id": F.col("load_batch_id"),
@@ -161,7 +110,7 @@ def fact_transactions(
 def fact_patterns(
     patterns: DataFrame, dims: dict[str, DataFrame], dw_batch_id: int, hot: DataFrame | None = None
 ) -> DataFrame:
-    rows = _with_dimension_keys(with_calendar_keys(patterns), dims, hot)
+    rows = _with_dimension_keys(with_calendar_keys(patterns), dims, "pattern_transaction_id", hot)
     rows = _lookup(
         rows, dims["dim_pattern_type"], "pattern_type", "pattern_type", "pattern_type_key", "pattern_type_key"
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.measures import divide, rate_percent, total
 from ledgerlake.operators import enrich
+from ledgerlake.operators.lookup import left_lookup
 from ledgerlake.operators.recon import count_where
 
 def _laundering() -> Column:
@@ -248,12 +249,13 @@ def profile_top_banks(transactions: DataFrame, accounts: DataFrame, size: int =
     )
 
 
-def with_account_master(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+def with_account_master(transactions: DataFrame, accounts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Optional enrichment with the sender's master row. Accounts are unique, so rows cannot multiply."""
     master = accounts.select(
-        F.col("bank_id").alias("from_bank_id"),
-        F.col("account_number").alias("from_account_id"),
+        "bank_id",
+        "account_number",
         F.col("bank_name").alias("from_bank_name"),
         F.col("entity_id").alias("from_entity_id"),
     )
-    return transactions.join(master, ["from_bank_id", "from_account_id"], "left")
+    on = {"from_bank_id": "bank_id", "from_account_id": "account_number"}
+    return left_lookup(transactions, master, on, "source_transaction_id", hot)

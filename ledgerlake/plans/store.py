@@ -64,12 +64,12 @@ class TableStore:
         return self.spark.createDataFrame(rows, ddl)
 
     def _events(self, log: str, ddl: str) -> list[dict]:
-        if not self._exists(f"{self.root}/log/{log}"):
+        if not self.exists(f"{self.root}/log/{log}"):
             return []
         events = self.spark.read.schema(f"event_no long, {ddl}").parquet(f"{self.root}/log/{log}")
         return sorted((r.asDict() for r in events.collect()), key=lambda r: r["event_no"])
 
-    def _exists(self, path: str) -> bool:
+    def exists(self, path: str) -> bool:
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path)
 

@@ -211,7 +211,10 @@ class Warehouse:
                 state["source_high_watermark"],
             )
         fresh = fx.absent_from(delta, existing, "source_transaction_id", "transaction_key")
-        hot = fx.hot_accounts(fresh, dims["dim_account"].where("is_current"))
+        if held:
+            # Written, so that the anti-join runs once for the hot-key count and the load.
+            fresh = stage(fresh, "delta")
+        hot = fx.hot_accounts(fresh)
         rows = fx.fact_transactions(fresh, dims, state["dw_batch_id"], hot)
         # rebalance: adaptive execution splits a month that outgrows one task and merges small ones.
         self.store.write(rows.hint("rebalance", "txn_month"), "fact_transaction", state["dw_batch_id"], ["txn_month"])
@@ -221,7 +224,7 @@ class Warehouse:
         held = versions.get("fact_pattern_transaction", [])
         existing = self._read("fact_pattern_transaction", versions) if held else None
         fresh = fx.absent_from(delta, existing, "pattern_transaction_id", "pattern_transaction_key")
-        rows = fx.fact_patterns(fresh, dims, state["dw_batch_id"])
+        rows = fx.fact_patterns(fresh, dims, state["dw_batch_id"], fx.hot_accounts(fresh))
         self.store.write(rows, "fact_pattern_transaction", state["dw_batch_id"])
         return self._published_delta("fact_pattern_transaction", state, versions, "pattern_rows_inserted")
 

@@ -217,7 +217,8 @@ def curated_sample(ws):
 
 @query
 def txn_account_enriched(ws):
-    return kpis.with_account_master(ws.source.transactions, ws.source.accounts).select(
+    hot = fx.hot_accounts(ws.source.transactions)
+    return kpis.with_account_master(ws.source.transactions, ws.source.accounts, hot).select(
         "source_transaction_id", "from_bank_name", "from_entity_id"
     )
 
