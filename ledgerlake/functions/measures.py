@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,3 +37,8 @@ def change_hash(*parts: Column) -> Column:
 def minutes_between(start: str, end: str) -> Column:
     micros = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)).cast("decimal(20,0)")
     return F.round(micros / F.lit(60_000_000), 2).cast("double")
+
+
+def moment(value: datetime) -> Column:
+    """A wall-clock literal, whatever the time zones of the driver and the session are."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

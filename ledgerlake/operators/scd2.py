@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.measures import change_hash
+from ledgerlake.functions.measures import change_hash, moment
 from ledgerlake.operators.dims import conform, next_key, with_surrogate_keys
 from ledgerlake.schemas import DIM_SCHEMAS, OPEN_END, UNKNOWN_KEY
 from ledgerlake.session import stage
@@ -45,7 +45,7 @@ def type2_merge(dim_account: DataFrame, snapshot: DataFrame, started_at: datetim
     Intervals are half open. Accounts missing from the snapshot stay current.
     Returns the merged dimension and the number of rows closed plus opened.
     """
-    start = F.lit(started_at).cast("timestamp_ntz")
+    start = moment(started_at)
     opened = stage(new_versions(snapshot, dim_account), "scd2")
     n_opened = opened.count()
     if n_opened == 0:

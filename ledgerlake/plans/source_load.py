@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import typing as ty
 from ledgerlake.plans.store import Clock, TableStore, utc_now
-from ledgerlake.schemas import LOAD_BATCH, TAGGED
+from ledgerlake.schemas import ACCOUNT_COLUMNS, LOAD_BATCH, PATTERN_COLUMNS, TAGGED, TRANSACTION_COLUMNS
+from ledgerlake.session import run_together
 
 LOG = "load_batch"
-# Object -> (tagging function, typed projection, source object name).
+# Object -> (tagging function, typed columns, source object name).
 OBJECTS = {
-    "account": (ty.tag_accounts, ty.typed_accounts, ty.ACCOUNT),
-    "transaction": (ty.tag_transactions, ty.typed_transactions, ty.TRANSACTION),
-    "pattern": (ty.tag_patterns, ty.typed_patterns, ty.PATTERN),
+    "account": (ty.tag_accounts, ACCOUNT_COLUMNS, ty.ACCOUNT),
+    "transaction": (ty.tag_transactions, TRANSACTION_COLUMNS, ty.TRANSACTION),
+    "pattern": (ty.tag_patterns, PATTERN_COLUMNS, ty.PATTERN),
 }
 
 
@@ -85,14 +87,13 @@ def load_source_batch(
     try:
         if expected_rows:
             landing_gate(landing, expected_rows)
-        rejected = 0
-        for name, (tag, _, _) in OBJECTS.items():
-            tagged = tag(landing[name], batch_id).withColumn("is_valid", F.col("error_code").isNull())
-            store.write(tagged, f"tagged_{name}", batch_id, ["is_valid"])
-            split = {r["is_valid"]: r["count"] for r in _tagged(store, name, batch_id).groupBy("is_valid").count().collect()}
+        splits = run_together(
+            store.spark, [partial(_load_object, store, name, landing[name], batch_id) for name in OBJECTS]
+        )
+        for name, split in zip(OBJECTS, splits):
             state[f"{name}_loaded_rows"] = split.get(True, 0)
             state[f"{name}_landing_rows"] = sum(split.values())
-            rejected += split.get(False, 0)
+        rejected = sum(split.get(False, 0) for split in splits)
     except Exception as error:
         failed = {"status": "FAILED", "completed_at": clock(), "error_message": str(error)[:500]}
         store.append_event(LOG, LOAD_BATCH, {**state, **failed})
@@ -102,6 +103,13 @@ def load_source_batch(
     return batch_id
 
 
+def _load_object(store: TableStore, name: str, landing: DataFrame, batch_id: int) -> dict[bool, int]:
+    """Write one tagged frame; returns rows per validity, counted from folder names and file footers."""
+    tagged = OBJECTS[name][0](landing, batch_id).withColumn("is_valid", F.col("error_code").isNull())
+    store.write(tagged, f"tagged_{name}", batch_id, ["is_valid"])
+    return {r["is_valid"]: r["count"] for r in _tagged(store, name, batch_id).groupBy("is_valid").count().collect()}
+
+
 def _tagged(store: TableStore, name: str, batch_id: int) -> DataFrame:
     return store.read(f"tagged_{name}", [batch_id], TAGGED[name])
 
@@ -109,9 +117,9 @@ def _tagged(store: TableStore, name: str, batch_id: int) -> DataFrame:
 def source_tables(store: TableStore, batch_id: int) -> SourceTables:
     """Typed tables and rejects of a batch. ``is_valid`` is a folder, so each side reads only its files."""
     typed, rejected = {}, None
-    for name, (_, project, source_object) in OBJECTS.items():
+    for name, (_, columns, source_object) in OBJECTS.items():
         tagged = _tagged(store, name, batch_id)
-        typed[name] = project(tagged.where("is_valid"))
+        typed[name] = tagged.where("is_valid").select(columns)
         bad = ty.rejects(tagged.where("not is_valid"), source_object)
         rejected = bad if rejected is None else rejected.unionByName(bad)
     return SourceTables(typed["account"], typed["transaction"], typed["pattern"], rejected, batch_id)

@@ -12,7 +12,9 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlake.functions.measures import moment
 from ledgerlake.operators.dims import ddl_fields
 
 Clock = Callable[[], datetime]
@@ -47,11 +49,14 @@ class TableStore:
 
     def append_event(self, log: str, ddl: str, row: dict) -> None:
         """Add one state row. The newest row of an id is its current state."""
-        names = [field.split()[0] for field in ddl_fields(ddl)]
         number = len(self._events(log, ddl)) + 1
-        state = tuple(row.get(n) for n in names)
-        frame = self.spark.createDataFrame([(number, *state)], f"event_no long, {ddl}")
-        frame.coalesce(1).write.mode("append").parquet(f"{self.root}/log/{log}")
+        cells = [F.lit(number).cast("long").alias("event_no")]
+        for field in ddl_fields(ddl):
+            name, kind = field.split(" ", 1)
+            value = row.get(name)
+            cell = moment(value) if isinstance(value, datetime) else F.lit(value)
+            cells.append(cell.cast(kind).alias(name))
+        self.spark.range(1).select(*cells).coalesce(1).write.mode("append").parquet(f"{self.root}/log/{log}")
 
     def log_rows(self, log: str, ddl: str, key: str) -> list[dict]:
         """Current state per id, on the driver: control data, a few rows per load."""
@@ -59,15 +64,21 @@ class TableStore:
         return [latest[k] for k in sorted(latest)]
 
     def log(self, log: str, ddl: str, key: str) -> DataFrame:
+        """The same as a DataFrame."""
+        rows = self.log_rows(log, ddl, key)
         names = [field.split()[0] for field in ddl_fields(ddl)]
-        rows = [tuple(row[n] for n in names) for row in self.log_rows(log, ddl, key)]
-        return self.spark.createDataFrame(rows, ddl)
+        if not rows:
+            return self.spark.createDataFrame([], ddl)
+        newest = F.col("event_no").isin([row["event_no"] for row in rows])
+        return self._event_frame(log, ddl).where(newest).select(*names)
+
+    def _event_frame(self, log: str, ddl: str) -> DataFrame:
+        return self.spark.read.schema(f"event_no long, {ddl}").parquet(f"{self.root}/log/{log}")
 
     def _events(self, log: str, ddl: str) -> list[dict]:
         if not self.exists(f"{self.root}/log/{log}"):
             return []
-        events = self.spark.read.schema(f"event_no long, {ddl}").parquet(f"{self.root}/log/{log}")
-        return sorted((r.asDict() for r in events.collect()), key=lambda r: r["event_no"])
+        return sorted((r.asDict() for r in self._event_frame(log, ddl).collect()), key=lambda r: r["event_no"])
 
     def exists(self, path: str) -> bool:
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)

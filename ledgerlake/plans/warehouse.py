@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.measures import moment
 from ledgerlake.operators import dims as dm
 from ledgerlake.operators import facts as fx
 from ledgerlake.operators import marts as mt
@@ -23,7 +25,7 @@ from ledgerlake.schemas import (
     FACT_TRANSACTION,
     VALIDATION,
 )
-from ledgerlake.session import stage
+from ledgerlake.session import run_together, stage
 
 LOG = "dw_batch"
 MART_LOG = "mart_refresh"
@@ -140,18 +142,18 @@ class Warehouse:
         patterns = between(source.patterns, "pattern_transaction_id", low_p, high_p)
         dims = {name: self._read(name, versions) for name in DIM_SCHEMAS}
 
-        # Calendar and reference members of the delta.
+        # Members of the delta, banks and entities do not depend on each other. An
+        # unchanged dimension keeps its version.
+        tasks = [
+            partial(self._merge_type1, dim, incoming, keys, counter, dims, state, publish)
+            for dim, incoming, keys, counter in (
+                ("dim_bank", dm.bank_source(source.accounts), ("bank_id", "bank_key"), "bank_rows_affected"),
+                ("dim_entity", dm.entity_source(source.accounts), ("entity_id", "entity_key"), "entity_rows_affected"),
+            )
+        ]
         if low <= high or low_p <= high_p:
-            self._add_members(transactions, patterns, dims, state, publish)
-
-        # Banks and entities: type 1. Accounts: type 2. An unchanged dimension keeps its version.
-        for dim, incoming, business_key, key, counter in (
-            ("dim_bank", dm.bank_source(source.accounts), "bank_id", "bank_key", "bank_rows_affected"),
-            ("dim_entity", dm.entity_source(source.accounts), "entity_id", "entity_key", "entity_rows_affected"),
-        ):
-            merged, state[counter] = dm.type1_merge(dims[dim], incoming, business_key, key)
-            if state[counter]:
-                dims[dim] = publish(dim, merged)
+            tasks.append(partial(self._add_members, transactions, patterns, dims, state, publish))
+        run_together(self.spark, tasks)
         snapshot = account_snapshot(source.accounts, dims["dim_bank"], dims["dim_entity"])
         merged, touched = type2_merge(dims["dim_account"], snapshot, state["started_at"])
         state["account_rows_affected"] = touched
@@ -178,6 +180,11 @@ class Warehouse:
             state["rejected_rows"] = self.store.read("dw_rejected_row", [batch_id], DW_REJECT).count()
         return versions
 
+    def _merge_type1(self, dim, incoming, keys, counter, dims, state, publish) -> None:
+        merged, state[counter] = dm.type1_merge(dims[dim], incoming, *keys)
+        if state[counter]:
+            dims[dim] = publish(dim, merged)
+
     def _add_members(self, transactions, patterns, dims, state, publish) -> None:
         members = stage(dm.reference_members(transactions, patterns), "members")
         days = (
@@ -259,7 +266,7 @@ class Warehouse:
             {
                 "dw_batch_id": F.lit(batch_id),
                 "validation_result_id": F.col("position") + (batch_id - 1) * 9,
-                "checked_at": F.lit(self.clock()).cast("timestamp_ntz"),
+                "checked_at": moment(self.clock()),
             }
         )
         self.store.write(dm.conform(rows, VALIDATION), "validation_result", batch_id)
@@ -281,8 +288,8 @@ class Warehouse:
         refresh_id = max([r["refresh_id"] for r in history], default=0) + 1
         t = self.tables()
         rollup = stage(mt.base_rollup(t["fact_transaction"]), "rollup")
-        for name, frame in mt.all_marts(t, rollup).items():
-            self.store.write(frame, name, refresh_id)
+        marts = mt.all_marts(t, rollup)
+        run_together(self.spark, [partial(self.store.write, frame, name, refresh_id) for name, frame in marts.items()])
         row = {"refresh_id": refresh_id, "refreshed_at": self.clock(), "dw_batch_id": done[-1]["dw_batch_id"]}
         self.store.append_event(MART_LOG, MART_REFRESH, row)
         return refresh_id

@@ -7,7 +7,7 @@ written once, typed once, loaded once (FULL, then an INCREMENTAL without news).
 from __future__ import annotations
 
 from datetime import datetime, timedelta
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +16,7 @@ from ledgerlake.plans import source_load as sl
 from ledgerlake.plans.source_load import SourceTables
 from ledgerlake.plans.store import Clock, TableStore
 from ledgerlake.plans.warehouse import Warehouse
-from ledgerlake.session import fresh_path, stage
+from ledgerlake.session import fresh_path, run_together, stage
 from ledgerlake.sources import testtables
 
 CLOCK_START = datetime(2024, 1, 1)
@@ -48,12 +48,17 @@ class Workspace:
     @cached_property
     def landing(self) -> dict[str, DataFrame]:
         """Landing frames, written once: the files a source folder would hold."""
-        return {
-            "account": stage(testtables.account_landing(self.spark, self.sf_dir), "landing-account"),
-            "transaction": stage(testtables.transaction_landing(self.spark, self.sf_dir), "landing-transaction"),
-            "pattern": stage(testtables.pattern_landing(self.spark, self.sf_dir), "landing-pattern"),
+        builders = {
+            "account": testtables.account_landing,
+            "transaction": testtables.transaction_landing,
+            "pattern": testtables.pattern_landing,
         }
 
+        def write(name: str) -> DataFrame:
+            return stage(builders[name](self.spark, self.sf_dir), f"landing-{name}")
+
+        return dict(zip(builders, run_together(self.spark, [partial(write, name) for name in builders])))
+
     @cached_property
     def second_accounts(self) -> DataFrame:
         """A later account snapshot: some entities moved, some banks renamed."""

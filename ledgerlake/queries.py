@@ -17,8 +17,9 @@ from ledgerlake.operators import reporting as rp
 from ledgerlake.operators import scd2
 from ledgerlake.operators import typing as ty
 from ledgerlake.plans import acceptance, source_load
+from ledgerlake.plans.store import TableStore
 from ledgerlake.plans.warehouse import source_upto
-from ledgerlake.plans.workspace import CLOCK_START, Workspace
+from ledgerlake.plans.workspace import Workspace, step_clock
 from ledgerlake.schemas import (
     ACCOUNT_FIELDS,
     DIM_SCHEMAS,
@@ -803,10 +804,11 @@ def acceptance_suite(ws):
 
 @query
 def acceptance_latest(ws):
-    """Two runs; only the newer one is shown, in report order."""
-    results = stage(_acceptance(ws, 1).unionByName(_acceptance(ws, 2)), "acceptance")
-    runs = acceptance.run_summary(results, "acceptance", CLOCK_START, CLOCK_START)
-    return acceptance.latest_results(runs, results).select(
+    """Two recorded runs; only the newer one is shown, in report order."""
+    store = TableStore(ws.spark, ws.path("acceptance"))
+    for _ in range(2):
+        acceptance.record_run(store, lambda run_id: _acceptance(ws, run_id), clock=step_clock())
+    return acceptance.latest_results(acceptance.test_runs(store), acceptance.test_results(store)).select(
         "test_run_id", "run_label", "run_status", "category", "category_order", "test_code", "status"
     )
 

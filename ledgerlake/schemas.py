@@ -140,7 +140,7 @@ TEST_RUN = (
 )
 TEST_RESULT = (
     "test_run_id long, category string, test_code string, test_name string, "
-    "expected_value string, actual_value string, status string, details string"
+    "expected_value string, actual_value string, status string"
 )
 
 DIM_SCHEMAS = {

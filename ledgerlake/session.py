@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
@@ -64,3 +67,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_together(spark: SparkSession, tasks: list[Callable[[], object]], at_once: int = 4) -> list:
+    """Run independent Spark jobs side by side; the first failure is raised once all have ended."""
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+    return [job.result() for job in running]

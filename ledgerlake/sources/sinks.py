@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.session import run_together
+
 TRUE_TOKENS = ["true", "t", "1", "yes", "y"]
 
 
 def export_views(views: dict[str, DataFrame], folder: str) -> None:
     """One CSV folder with a header per view."""
-    for name, frame in views.items():
-        frame.write.option("header", True).csv(f"{folder}/{name}")
+    spark = next(iter(views.values())).sparkSession
+
+    def write(name: str) -> None:
+        views[name].write.option("header", True).csv(f"{folder}/{name}")
+
+    run_together(spark, [partial(write, name) for name in views])
 
 
 def _typed(column: str, kind: T.DataType):
