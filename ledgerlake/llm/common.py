@@ -61,11 +61,11 @@ def binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of about STEP_BYTES of text, so a task's memory stays bounded."""
+def steps(batches: Iterator[pa.RecordBatch], column: str = "text", step: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of about ``step`` bytes of text, so a task's memory stays bounded."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        at = np.cumsum(sizes.astype(np.int64)) // STEP_BYTES
+        at = np.cumsum(sizes.astype(np.int64)) // step
         cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), batch.num_rows]
         for lo, hi in zip(cuts, cuts[1:]):
             if hi > lo:
@@ -230,3 +230,22 @@ def joined_places(value) -> np.ndarray:
     """The sorted places of one document's collected lists."""
     parts = [np.frombuffer(x, "<i4") for x in (value or ())]
     return np.sort(np.concatenate(parts)).astype(np.int64) if parts else np.empty(0, np.int64)
+
+
+def keyed_rows(docs: DataFrame, id_col: str, text: str, label: str) -> DataFrame:
+    """(row, id, text) with a ``row`` that is unique and the same in every scan.
+
+    The id itself serves where it is unique and not null; otherwise the rows are numbered
+    in a written copy, so that repeated rows stay apart.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    ids = docs.select(F.col(id_col).cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    if ids.filter("n > 1 or id is null").limit(1).count():
+        return stage(rows.select(F.monotonically_increasing_id().alias("row"), "id", "text"), label)
+    return rows.select(F.col("id").alias("row"), "id", "text")
+
+
+def with_places(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    """Join the collected places to the rows; the side without texts is the one that is hashed."""
+    lists = gathered(places).withColumnRenamed("doc_id", "row")
+    return rows.join(lists.hint("shuffle_hash"), "row", how)

@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.llm.fixed_blocks import op8_fixed_blocks
 from ledgerlake.llm.html_mincut import op1_html_mincut
 from ledgerlake.llm.kd_shards import op10_kd_shards
 from ledgerlake.llm.language import op6_language
 from ledgerlake.llm.packing import op9_packing
+from ledgerlake.llm.suffix_array import op2_suffix_array
 from ledgerlake.llm.url_markov import op3_url_markov
 
 #: Each operator's query with the table it covers.
 OPERATORS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op1_html_mincut": (op1_html_mincut, ("pages",)),
+    "op2_suffix_array": (op2_suffix_array, ("documents",)),
     "op3_url_markov": (op3_url_markov, ("pages",)),
     "op6_language": (op6_language, ("documents",)),
+    "op8_fixed_blocks": (op8_fixed_blocks, ("documents",)),
     "op9_packing": (op9_packing, ("documents",)),
     "op10_kd_shards": (op10_kd_shards, ("documents",)),
 }
