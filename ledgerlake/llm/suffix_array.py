@@ -46,7 +46,8 @@ PERIOD = 8
 COVER = (0, 1, 2, 4)
 #: Places of one minimizer beyond which its windows travel by themselves.
 POPULAR = 20_000
-_BLOCK = 1 << 20  # suffixes sorted at once
+_BLOCK = 1 << 18  # suffixes sorted at once
+_FINER = 8  # a bucket of suffixes serves this part of the text that a bucket of minimizers does
 _STEP = 256 << 10
 _FLUSH = 4 << 20
 _PIECES, _HITS, _POPULAR = 0, 1, 2
@@ -480,7 +481,7 @@ def drop_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     per_doc = found.groupBy(F.col("doc_id").alias("row")).agg(of(_PIECES, "pieces"), of(_HITS, "hits"), of(_POPULAR, "popular"))
     per_doc = per_doc.filter("size(hits) + size(popular) > 0")
     near = rows.select("row", "text").join(per_doc.hint("shuffle_hash"), "row")
-    contexts = stage(near.mapInArrow(_contexts(buckets, length), f"{sent}, doc_id long, places binary"), "suffix-contexts")
+    contexts = stage(near.mapInArrow(_contexts(buckets * _FINER, length), f"{sent}, doc_id long, places binary"), "suffix-contexts")
     sorted_ = contexts.filter("kind = 0").select("bucket", "payload").groupBy("bucket").applyInArrow(_sorted_bucket(length), "doc_id long, places binary")
     windows = stage(sorted_.union(contexts.filter("kind = 1").select("doc_id", "places")), "suffix-windows")
     removed = (
