@@ -10,6 +10,7 @@ from ledgerlake.llm.fixed_blocks import op8_fixed_blocks
 from ledgerlake.llm.html_mincut import op1_html_mincut
 from ledgerlake.llm.kd_shards import op10_kd_shards
 from ledgerlake.llm.language import op6_language
+from ledgerlake.llm.multiprobe_lsh import op4_multiprobe_lsh
 from ledgerlake.llm.ngram_join import op7_ngram_join
 from ledgerlake.llm.packing import op9_packing
 from ledgerlake.llm.suffix_array import op2_suffix_array
@@ -20,6 +21,7 @@ OPERATORS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op1_html_mincut": (op1_html_mincut, ("pages",)),
     "op2_suffix_array": (op2_suffix_array, ("documents",)),
     "op3_url_markov": (op3_url_markov, ("pages",)),
+    "op4_multiprobe_lsh": (op4_multiprobe_lsh, ("embeddings",)),
     "op6_language": (op6_language, ("documents",)),
     "op7_ngram_join": (op7_ngram_join, ("documents",)),
     "op8_fixed_blocks": (op8_fixed_blocks, ("documents",)),
