@@ -89,7 +89,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, tex
                         ids_of.append(piece.astype(np.int32))
             columns = [pa.array(x, pa.int64()) for x in zip(*rows)]
             if keep_ids:
-                columns.append(pa.array(ids_of, pa.list_(pa.int32())))
+                ends = np.cumsum([0, *map(len, ids_of)], dtype=np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids_of))))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))

@@ -13,6 +13,7 @@ from ledgerlake.llm.language import op6_language
 from ledgerlake.llm.multiprobe_lsh import op4_multiprobe_lsh
 from ledgerlake.llm.ngram_join import op7_ngram_join
 from ledgerlake.llm.packing import op9_packing
+from ledgerlake.llm.spaced_seeds import op5_spaced_seeds
 from ledgerlake.llm.suffix_array import op2_suffix_array
 from ledgerlake.llm.url_markov import op3_url_markov
 
@@ -22,6 +23,7 @@ OPERATORS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op2_suffix_array": (op2_suffix_array, ("documents",)),
     "op3_url_markov": (op3_url_markov, ("pages",)),
     "op4_multiprobe_lsh": (op4_multiprobe_lsh, ("embeddings",)),
+    "op5_spaced_seeds": (op5_spaced_seeds, ("documents", "benchmark")),
     "op6_language": (op6_language, ("documents",)),
     "op7_ngram_join": (op7_ngram_join, ("documents",)),
     "op8_fixed_blocks": (op8_fixed_blocks, ("documents",)),
