@@ -47,16 +47,17 @@ def dense_ordinal(
         placed.withColumn("_task", task)
         .join(F.broadcast(starts), "_task")
         .withColumn(name, F.col("_start") + position + 1)
-        .drop("_task", "_start", "_slot")
+        .drop("_start", "_slot")
     )
     if not within:
-        return numbered
-    group_starts = numbered.groupBy(*within).agg(F.min(name).alias("_first"))
-    return (
-        numbered.join(group_starts, list(within))
-        .withColumn(name, F.col(name) - F.col("_first") + 1)
-        .drop("_first")
-    )
+        return numbered.drop("_task")
+    # A group's start is looked up by task and group, so the rows of a giant group stay spread.
+    groups = [F.col(c).alias(f"_group{i}") for i, c in enumerate(within)]
+    in_task = numbered.groupBy(F.col("_task").alias("_in"), *groups).agg(F.min(name).alias("_first"))
+    whole = Window.partitionBy(*[f"_group{i}" for i in range(len(within))])  # one row per task that holds the group
+    starts = in_task.withColumn("_start", F.min("_first").over(whole)).drop("_first")
+    match = [F.col("_task") == F.col("_in")] + [F.col(c).eqNullSafe(F.col(f"_group{i}")) for i, c in enumerate(within)]
+    return numbered.join(starts, match).withColumn(name, F.col(name) - F.col("_start") + 1).select(*df.columns, name)
 
 
 def dense_rank_desc(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -83,7 +84,7 @@ def file_ordinal(df: DataFrame, name: str = "landing_row_id") -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_slot"),
     )
-    # One row per input split.
+    # One row per input split: a few MB even for a million splits, so it travels to the rows.
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
         placed.groupBy("_file", "_block")
@@ -96,7 +97,7 @@ def file_ordinal(df: DataFrame, name: str = "landing_row_id") -> DataFrame:
         )
     )
     return (
-        placed.join(splits, ["_file", "_block"])
+        placed.join(F.broadcast(splits), ["_file", "_block"])
         .withColumn(name, F.col("_start") + F.col("_slot") - F.col("_first") + 1)
         .drop("_file", "_block", "_slot", "_first", "_start")
     )

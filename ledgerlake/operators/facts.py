@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.dims import conform
 from ledgerlake.operators.enrich import enriched_transactions, with_calendar_keys
-from ledgerlake.operators.lookup import HOT_MIN_ROWS, HOT_SHARE, hot_keys, left_lookup
+from ledgerlake.operators.lookup import hot_keys, key_counts, left_lookup
 from ledgerlake.schemas import DW_REJECT, FACT_PATTERN, FACT_TRANSACTION, UNKNOWN_KEY
 
 ACCOUNT_KEYS = ["bank_id", "account_number"]
@@ -25,6 +25,9 @@ TRANSACTION_LOOKUP_KEYS = [
 ENTITY_KEYS = ["from_entity_key", "to_entity_key"]
 
 
+NON_POSITIVE = "NON_POSITIVE_AMOUNT"
+
+
 def any_unknown(keys: list[str]) -> Column:
     test = F.col(keys[0]) == UNKNOWN_KEY
     for key in keys[1:]:
@@ -32,18 +35,22 @@ def any_unknown(keys: list[str]) -> Column:
     return test
 
 
-def hot_accounts(transactions: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame | None:
-    """Accounts in at least ``share`` of all sender and receiver roles, from one scan."""
+Hot = dict[str, DataFrame]
+
+
+def hot_parties(transactions: DataFrame) -> Hot:
+    """Hot accounts and hot banks among all sender and receiver roles, from one rollup of one scan."""
     both = F.array(
         F.struct(F.col("from_bank_id").alias("bank_id"), F.col("from_account_id").alias("account_number")),
         F.struct(F.col("to_bank_id").alias("bank_id"), F.col("to_account_id").alias("account_number")),
     )
-    roles = transactions.select(F.inline(both))
-    return hot_keys(roles, ACCOUNT_KEYS, 2 * transactions.count(), share, min_rows)
+    counts = key_counts(transactions.select(F.inline(both)), ACCOUNT_KEYS)
+    by_bank = counts.groupBy("bank_id").agg(F.sum("_rows").alias("_rows"))
+    return {"account": hot_keys(counts, ACCOUNT_KEYS), "bank": hot_keys(by_bank, ["bank_id"])}
 
 
 def with_account_keys(
-    facts: DataFrame, accounts: DataFrame, role: str, spread_by: str, hot: DataFrame | None
+    facts: DataFrame, accounts: DataFrame, role: str, spread_by: str, hot: DataFrame
 ) -> DataFrame:
     """Keys of the current account version for one role."""
     side = accounts.select(
@@ -62,7 +69,7 @@ def _lookup(facts: DataFrame, dim: DataFrame, dim_column: str, fact_column: str,
 
 
 def _with_dimension_keys(
-    facts: DataFrame, dims: dict[str, DataFrame], spread_by: str, hot: DataFrame | None
+    facts: DataFrame, dims: dict[str, DataFrame], spread_by: str, hot: Hot
 ) -> DataFrame:
     dates = dims["dim_date"].select(F.col("date_key").alias("_date"))
     # 1,441 rows by construction.
@@ -72,7 +79,8 @@ def _with_dimension_keys(
     rows = rows.join(times, F.col("time_key") == F.col("_time"), "left")
     rows = rows.withColumns({"date_key": F.col("_date"), "time_key": F.col("_time")}).drop("_date", "_time")
     for role in ("from", "to"):
-        rows = _lookup(rows, dims["dim_bank"], "bank_id", f"{role}_bank_id", "bank_key", f"{role}_bank_key")
+        banks = dims["dim_bank"].select("bank_id", F.col("bank_key").alias(f"{role}_bank_key"))
+        rows = left_lookup(rows, banks, {f"{role}_bank_id": "bank_id"}, spread_by, hot["bank"])
     for role in ("payment", "receiving"):
         name, out = f"{role}_currency", f"{role}_currency_key"
         rows = _lookup(rows, dims["dim_currency"], "currency_name", name, "currency_key", out)
@@ -80,7 +88,7 @@ def _with_dimension_keys(
         rows, dims["dim_payment_format"], "payment_format", "payment_format", "payment_format_key", "payment_format_key"
     )
     for role in ("from", "to"):
-        rows = with_account_keys(rows, current, role, spread_by, hot)
+        rows = with_account_keys(rows, current, role, spread_by, hot["account"])
     keys = [*TRANSACTION_LOOKUP_KEYS, *ENTITY_KEYS]
     return rows.withColumns({key: F.coalesce(key, F.lit(UNKNOWN_KEY)) for key in keys})
 
@@ -90,7 +98,7 @@ def positive_amounts() -> Column:
 
 
 def fact_transactions(
-    transactions: DataFrame, dims: dict[str, DataFrame], dw_batch_id: int, hot: DataFrame | None = None
+    transactions: DataFrame, dims: dict[str, DataFrame], dw_batch_id: int, hot: Hot
 ) -> DataFrame:
     """One fact row per transfer with positive amounts; failed lookups get the unknown key."""
     # The transfer's month, taken before the lookup can turn its date into the unknown key.
@@ -108,7 +116,7 @@ def fact_transactions(
 
 
 def fact_patterns(
-    patterns: DataFrame, dims: dict[str, DataFrame], dw_batch_id: int, hot: DataFrame | None = None
+    patterns: DataFrame, dims: dict[str, DataFrame], dw_batch_id: int, hot: Hot
 ) -> DataFrame:
     rows = _with_dimension_keys(with_calendar_keys(patterns), dims, "pattern_transaction_id", hot)
     rows = _lookup(
@@ -170,7 +178,7 @@ def amount_rejects(transactions: DataFrame, dw_batch_id: int) -> DataFrame:
             F.lit(dw_batch_id).alias("dw_batch_id"),
             F.lit("transactions").alias("source_object"),
             F.col("source_transaction_id").alias("source_key"),
-            F.lit("NON_POSITIVE_AMOUNT").alias("error_code"),
+            F.lit(NON_POSITIVE).alias("error_code"),
             F.lit("paid and received amounts must be above zero").alias("error_description"),
             F.to_json(F.struct("amount_paid", "amount_received")).alias("raw_payload"),
         ),

@@ -249,7 +249,7 @@ def profile_top_banks(transactions: DataFrame, accounts: DataFrame, size: int =
     )
 
 
-def with_account_master(transactions: DataFrame, accounts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def with_account_master(transactions: DataFrame, accounts: DataFrame, hot: DataFrame) -> DataFrame:
     """Optional enrichment with the sender's master row. Accounts are unique, so rows cannot multiply."""
     master = accounts.select(
         "bank_id",
@@ -259,3 +259,9 @@ def with_account_master(transactions: DataFrame, accounts: DataFrame, hot: DataF
     )
     on = {"from_bank_id": "bank_id", "from_account_id": "account_number"}
     return left_lookup(transactions, master, on, "source_transaction_id", hot)
+
+
+def rows_around_join(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The row-count check of an enrichment: it may neither lose nor multiply rows."""
+    counts = before.agg(F.count("*").alias("rows_before")).crossJoin(after.agg(F.count("*").alias("rows_after")))
+    return counts.withColumn("status", F.when(F.col("rows_before") == F.col("rows_after"), "PASSED").otherwise("FAILED"))

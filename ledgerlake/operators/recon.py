@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.measures import total
 from ledgerlake.operators import enrich
-from ledgerlake.operators.facts import TRANSACTION_LOOKUP_KEYS, any_unknown
+from ledgerlake.operators.facts import NON_POSITIVE, TRANSACTION_LOOKUP_KEYS, any_unknown, positive_amounts
 from ledgerlake.schemas import MONEY_TOTAL, UNKNOWN_KEY
+from ledgerlake.session import run_together, stage
 
+# Fixed values of the specification.
 # (from table, from column, to table, to column): one to many, filters flow to the right.
 RELATIONSHIPS = [
     ("dim_date", "date_key", "fact_daily_transaction", "date_key"),
@@ -40,23 +42,26 @@ def count_where(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
-def source_totals(transactions: DataFrame) -> DataFrame:
-    """One scan, every count the checks need."""
-    return transactions.agg(
-        F.count("*").alias("source_rows"),
-        count_where(F.col("is_laundering")).alias("source_laundering"),
-        count_where(enrich.cross_bank()).alias("source_cross_bank"),
-        count_where(enrich.cross_currency()).alias("source_cross_currency"),
-        count_where(enrich.self_transfer()).alias("source_self_transfer"),
+def _source_measures() -> list[Column]:
+    """Over the rows the fact admits; ``source_refused`` counts the others."""
+    admitted = positive_amounts()
+    when = lambda condition: count_where(admitted & condition)
+    return [
+        count_where(admitted).alias("source_rows"),
+        when(F.col("is_laundering")).alias("source_laundering"),
+        when(enrich.cross_bank()).alias("source_cross_bank"),
+        when(enrich.cross_currency()).alias("source_cross_currency"),
+        when(enrich.self_transfer()).alias("source_self_transfer"),
+        (F.count("*") - count_where(admitted)).alias("source_refused"),
         F.to_date(F.min("transaction_timestamp")).alias("source_min_date"),
         F.to_date(F.max("transaction_timestamp")).alias("source_max_date"),
-    )
+    ]
 
 
-def fact_totals(fact: DataFrame) -> DataFrame:
+def _fact_measures() -> list[Column]:
     lookups = any_unknown(TRANSACTION_LOOKUP_KEYS)
     with_entities = any_unknown([*TRANSACTION_LOOKUP_KEYS, "from_entity_key", "to_entity_key"])
-    return fact.agg(
+    return [
         F.count("*").alias("fact_rows"),
         count_where(F.col("is_laundering")).alias("fact_laundering"),
         count_where(F.col("is_cross_bank")).alias("fact_cross_bank"),
@@ -65,20 +70,46 @@ def fact_totals(fact: DataFrame) -> DataFrame:
         count_where((F.col("amount_paid") <= 0) | (F.col("amount_received") <= 0)).alias("fact_bad_amount"),
         count_where(lookups).alias("fact_unknown_lookup"),
         count_where(with_entities).alias("fact_unknown_any"),
-    )
+    ]
 
 
-def amounts_by_source_currency(transactions: DataFrame) -> DataFrame:
-    return transactions.groupBy(F.col("payment_currency").alias("currency_name")).agg(
-        F.count("*").alias("row_count"), total("amount_paid").alias("total_amount")
-    )
+def source_totals(transactions: DataFrame) -> DataFrame:
+    """One scan, every count the checks need."""
+    return transactions.agg(*_source_measures())
 
 
-def amounts_by_fact_currency(fact: DataFrame, dim_currency: DataFrame) -> DataFrame:
-    grouped = fact.groupBy(F.col("payment_currency_key").alias("currency_key")).agg(
-        F.count("*").alias("row_count"), total("amount_paid").alias("total_amount")
-    )
-    return grouped.join(dim_currency, "currency_key").select("currency_name", "row_count", "total_amount")
+def fact_totals(fact: DataFrame) -> DataFrame:
+    return fact.agg(*_fact_measures())
+
+
+def _summed(by_currency: DataFrame, side: str) -> DataFrame:
+    """Totals out of one row per currency."""
+    names = [c for c in by_currency.columns if c.startswith(side) and not c.endswith("_date")]
+    return by_currency.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+
+
+def _source_by_currency(transactions: DataFrame) -> DataFrame:
+    paid = total(F.when(positive_amounts(), F.col("amount_paid")))
+    return transactions.groupBy(F.col("payment_currency").alias("currency_name")).agg(*_source_measures(), paid.alias("total_amount"))
+
+
+def _fact_by_currency(fact: DataFrame) -> DataFrame:
+    return fact.groupBy(F.col("payment_currency_key").alias("currency_key")).agg(*_fact_measures(), total("amount_paid").alias("total_amount"))
+
+
+def _amounts_of_source(by_currency: DataFrame) -> DataFrame:
+    admitted = by_currency.where("source_rows > 0")
+    return admitted.select("currency_name", F.col("source_rows").alias("row_count"), "total_amount")
+
+
+def _amounts_of_fact(by_currency: DataFrame, dim_currency: DataFrame) -> DataFrame:
+    named = by_currency.join(dim_currency, "currency_key")
+    return named.select("currency_name", F.col("fact_rows").alias("row_count"), "total_amount")
+
+
+def _currencies_compared(source: DataFrame, fact: DataFrame, dim_currency: DataFrame) -> DataFrame:
+    sides = _amounts_of_source(source), _amounts_of_fact(fact, dim_currency)
+    return compare_by_key(*sides, ["currency_name"], ["row_count", "total_amount"])
 
 
 def compare_by_key(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -92,12 +123,7 @@ def compare_by_key(left: DataFrame, right: DataFrame, keys: list[str], values: l
 
 
 def currency_recon(transactions: DataFrame, fact: DataFrame, dim_currency: DataFrame) -> DataFrame:
-    return compare_by_key(
-        amounts_by_source_currency(transactions),
-        amounts_by_fact_currency(fact, dim_currency),
-        ["currency_name"],
-        ["row_count", "total_amount"],
-    )
+    return _currencies_compared(_source_by_currency(transactions), _fact_by_currency(fact), dim_currency)
 
 
 def current_accounts(dim_account: DataFrame) -> DataFrame:
@@ -112,12 +138,24 @@ def warehouse_checks(
     fact_pattern: DataFrame,
     dim_account: DataFrame,
     dim_currency: DataFrame,
+    rejected: DataFrame,
 ) -> DataFrame:
-    """The nine source-to-warehouse checks, one row each. Only one-row frames meet in the cross joins."""
-    mismatch = currency_recon(transactions, fact, dim_currency).where("not matches")
+    """The nine source-to-warehouse checks, one row each. Only one-row frames meet in the cross joins.
+
+    Source and fact are scanned once each, down to one row per payment currency. The fact must
+    hold what the source has, without the amounts it refused; every refused one is a reject.
+    """
+    source, loaded = run_together(
+        transactions.sparkSession,
+        [lambda: stage(_source_by_currency(transactions), "recon"), lambda: stage(_fact_by_currency(fact), "recon")],
+    )
+    mismatch = _currencies_compared(source, loaded, dim_currency).where("not matches")
+    refused = rejected.where(F.col("error_code") == NON_POSITIVE)
     sides = (
-        source_totals(transactions)
-        .crossJoin(fact_totals(fact))
+        _summed(source, "source_")
+        .crossJoin(_summed(loaded, "fact_"))
+        .crossJoin(refused.agg(F.count("*").alias("refused")))
+        .withColumns({"source_all": F.col("source_rows") + F.col("source_refused"), "fact_all": F.col("fact_rows") + F.col("refused")})
         .crossJoin(patterns.agg(F.count("*").alias("source_patterns")))
         .crossJoin(fact_pattern.agg(F.count("*").alias("fact_patterns")))
         .crossJoin(accounts.agg(F.count("*").alias("source_accounts")))
@@ -126,7 +164,7 @@ def warehouse_checks(
         .withColumn("nothing", F.lit(0))
     )
     checks = [
-        ("TRANSACTION_ROW_COUNT", "source_rows", "fact_rows", "one source transfer is one fact row"),
+        ("TRANSACTION_ROW_COUNT", "source_all", "fact_all", "one source transfer is one fact row"),
         ("PATTERN_ROW_COUNT", "source_patterns", "fact_patterns", "one pattern transfer is one pattern fact row"),
         ("CURRENT_ACCOUNT_COUNT", "source_accounts", "fact_accounts", "the unknown account is not counted"),
         ("LAUNDERING_COUNT", "source_laundering", "fact_laundering", "the label is carried over unchanged"),

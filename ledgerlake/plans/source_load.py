@@ -95,7 +95,7 @@ def load_source_batch(
             state[f"{name}_landing_rows"] = sum(split.values())
         rejected = sum(split.get(False, 0) for split in splits)
     except Exception as error:
-        failed = {"status": "FAILED", "completed_at": clock(), "error_message": str(error)[:500]}
+        failed = {"status": "FAILED", "completed_at": clock(), "error_message": str(error)}
         store.append_event(LOG, LOAD_BATCH, {**state, **failed})
         raise
     state |= {"rejected_rows": rejected, "status": "COMPLETED", "completed_at": clock()}

@@ -120,7 +120,7 @@ class Warehouse:
                 raise StaleSourceError("source was reloaded: reset the warehouse and run a FULL load")
             versions = self._load_tables(source, state, versions)
         except Exception as error:
-            failed = {"status": "FAILED", "completed_at": self.clock(), "error_message": str(error)[:500]}
+            failed = {"status": "FAILED", "completed_at": self.clock(), "error_message": str(error)}
             self.store.append_event(LOG, DW_BATCH, {**state, **failed})
             raise
         state |= {"status": "COMPLETED", "completed_at": self.clock(), "table_versions": versions_text(versions)}
@@ -166,8 +166,8 @@ class Warehouse:
         # Facts: only ids in the window that are not there yet.
         reject_frames = []
         if low <= high:
-            frame = self._append_transactions(transactions, dims, state, versions)
-            reject_frames += [fx.unknown_transaction_rejects(frame), fx.amount_rejects(transactions, batch_id)]
+            frame, fresh = self._append_transactions(transactions, dims, state, versions)
+            reject_frames += [fx.unknown_transaction_rejects(frame), fx.amount_rejects(fresh, batch_id)]
         if low_p <= high_p:
             frame = self._append_patterns(patterns, dims, state, versions)
             reject_frames.append(fx.unknown_pattern_rejects(frame))
@@ -206,7 +206,8 @@ class Warehouse:
         state["currency_rows_affected"] = added.get("currency", 0)
         state["payment_format_rows_affected"] = added.get("format", 0)
 
-    def _append_transactions(self, delta, dims, state, versions) -> DataFrame:
+    def _append_transactions(self, delta, dims, state, versions) -> tuple[DataFrame, DataFrame]:
+        """The rows of this load in the fact, and the delta they were made of."""
         held = versions.get("fact_transaction", [])
         existing = None
         if held:
@@ -218,20 +219,28 @@ class Warehouse:
                 state["source_high_watermark"],
             )
         fresh = fx.absent_from(delta, existing, "source_transaction_id", "transaction_key")
+        if versions.get("dw_rejected_row"):
+            # A refused amount is refused once; it must not come up as new in every rerun.
+            refused = self._read("dw_rejected_row", versions).where(F.col("error_code") == fx.NON_POSITIVE)
+            fresh = fx.absent_from(fresh, refused, "source_transaction_id", "source_key")
         if held:
-            # Written, so that the anti-join runs once for the hot-key count and the load.
+            # Written, so that the anti-joins run once for the hot-key count, the load and the rejects.
             fresh = stage(fresh, "delta")
-        hot = fx.hot_accounts(fresh)
-        rows = fx.fact_transactions(fresh, dims, state["dw_batch_id"], hot)
+        rows = fx.fact_transactions(fresh, dims, state["dw_batch_id"], fx.hot_parties(fresh))
         # rebalance: adaptive execution splits a month that outgrows one task and merges small ones.
         self.store.write(rows.hint("rebalance", "txn_month"), "fact_transaction", state["dw_batch_id"], ["txn_month"])
-        return self._published_delta("fact_transaction", state, versions, "transaction_rows_inserted")
+        return self._published_delta("fact_transaction", state, versions, "transaction_rows_inserted"), fresh
 
     def _append_patterns(self, delta, dims, state, versions) -> DataFrame:
         held = versions.get("fact_pattern_transaction", [])
-        existing = self._read("fact_pattern_transaction", versions) if held else None
+        existing = None
+        if held:
+            low, high = state["pattern_low_watermark"], state["pattern_high_watermark"]
+            existing = between(self._read("fact_pattern_transaction", versions), "pattern_transaction_key", low, high)
         fresh = fx.absent_from(delta, existing, "pattern_transaction_id", "pattern_transaction_key")
-        rows = fx.fact_patterns(fresh, dims, state["dw_batch_id"], fx.hot_accounts(fresh))
+        if held:
+            fresh = stage(fresh, "delta-pattern")
+        rows = fx.fact_patterns(fresh, dims, state["dw_batch_id"], fx.hot_parties(fresh))
         self.store.write(rows, "fact_pattern_transaction", state["dw_batch_id"])
         return self._published_delta("fact_pattern_transaction", state, versions, "pattern_rows_inserted")
 
@@ -260,6 +269,7 @@ class Warehouse:
             t["fact_pattern_transaction"],
             t["dim_account"],
             t["dim_currency"],
+            t["dw_rejected_row"],
         )
         batch_id = latest["dw_batch_id"]
         rows = checks.withColumns(

@@ -218,10 +218,18 @@ def curated_sample(ws):
 
 @query
 def txn_account_enriched(ws):
-    hot = fx.hot_accounts(ws.source.transactions)
-    return kpis.with_account_master(ws.source.transactions, ws.source.accounts, hot).select(
-        "source_transaction_id", "from_bank_name", "from_entity_id"
-    )
+    return _with_master(ws).select("source_transaction_id", "from_bank_name", "from_entity_id")
+
+
+def _with_master(ws) -> DataFrame:
+    hot = fx.hot_parties(ws.source.transactions)["account"]
+    return kpis.with_account_master(ws.source.transactions, ws.source.accounts, hot)
+
+
+@query
+def txn_account_join_check(ws):
+    """Rows before and after the account join."""
+    return kpis.rows_around_join(ws.source.transactions, _with_master(ws))
 
 
 # -- dimensions ----------------------------------------------------------------------------------
@@ -707,8 +715,9 @@ def batch_failure(ws):
     warehouse = ws.scratch_warehouse()
     try:
         warehouse.load(source, "FULL")
-    except Exception:  # the load logs the failure and raises it again
-        pass
+    except Exception as error:  # the load logs the failure and raises it again
+        if "unreadable row" not in str(error):
+            raise
     published = warehouse.tables()["fact_transaction"].agg(F.count("*").alias("published_rows"))
     return (
         warehouse.batches()

@@ -283,6 +283,9 @@ def _raw() -> dict[str, str]:
     sql["txn_account_enriched"] = """SELECT source_transaction_id, bank_name AS from_bank_name,
         entity_id AS from_entity_id FROM v_txn LEFT JOIN v_account a
         ON a.bank_id = from_bank_id AND a.account_number = from_account_id"""
+    sql["txn_account_join_check"] = f"""SELECT n AS rows_before, m AS rows_after,
+        CASE WHEN n = m THEN 'PASSED' ELSE 'FAILED' END AS status
+        FROM (SELECT count(*) AS n FROM v_txn), (SELECT count(*) AS m FROM ({sql["txn_account_enriched"]}))"""
     # Dimensions
     for dim in ("dim_date", "dim_currency", "dim_payment_format", "dim_pattern_type"):
         sql[dim] = f"SELECT * FROM v_{dim}"
