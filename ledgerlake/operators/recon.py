@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.measures import total
@@ -237,6 +237,30 @@ def expected_kpi(kpi: DataFrame, expected: DataFrame) -> DataFrame:
     return both.select(F.inline(pairs)).withColumn("status", passed)
 
 
+def lakehouse_assertions(spark: SparkSession, expected: list[str], prefix: str) -> DataFrame:
+    """One row for each assertion on the loaded tables: expected and actual value, PASS or FAIL.
+
+    Tables that should exist but do not are the set difference of two name lists. A missing
+    table has no row count.
+    """
+    held = {t.name.removeprefix(prefix) for t in spark.catalog.listTables() if t.name.startswith(prefix)}
+    named = lambda names: spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    missing = named(expected).subtract(named(held))
+    parts = [missing.agg(F.lit("missing_tables").alias("assertion"), F.lit(0).cast("decimal(38,8)").alias("expected"), F.count("*").cast("decimal(38,8)").alias("actual"))]
+    for name in sorted(held & set(expected)):
+        rows = spark.table(f"{prefix}{name}").agg(F.count("*").alias("n"))
+        at_least = F.least("n", F.lit(1)).cast("decimal(38,8)")
+        parts.append(rows.select(F.lit(f"rows_{name}").alias("assertion"), F.lit(1).cast("decimal(38,8)").alias("expected"), at_least.alias("actual")))
+    if {"fact_daily_transaction", "kpi_overview"} <= held:
+        daily = spark.table(f"{prefix}fact_daily_transaction").agg(F.sum("transaction_count").cast("decimal(38,8)").alias("actual"))
+        kpi = spark.table(f"{prefix}kpi_overview").select(F.col("transaction_count").cast("decimal(38,8)").alias("expected"))
+        parts.append(kpi.crossJoin(daily).select(F.lit("daily_total_is_kpi").alias("assertion"), "expected", "actual"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result.withColumn("status", F.when(F.col("expected").eqNullSafe(F.col("actual")), "PASS").otherwise("FAIL"))
+
+
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     result = None
     for name, frame in frames.items():

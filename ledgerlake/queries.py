@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.ordinals import dense_ordinal, file_ordinal
@@ -147,6 +147,16 @@ def snk_lakehouse(ws):
     return ws.spark.table("lake_fact_daily_transaction")
 
 
+@query
+def lakehouse_assertions(ws):
+    """Tables that are missing, rows of each table, and daily totals against the KPI row."""
+    folder = ws.path("reports")
+    sinks.export_views(ws.reports, folder)
+    schemas = {name: frame.schema for name, frame in ws.reports.items()}
+    sinks.load_lakehouse(ws.spark, folder, schemas, ws.path("lakehouse"), "check_")
+    return recon.lakehouse_assertions(ws.spark, list(schemas), "check_")
+
+
 def _curated(ws) -> DataFrame:
     lenient = ty.lenient_transactions(ws.landing["transaction"])
     return enrich.curated_transactions(lenient, "run-1")
@@ -211,9 +221,14 @@ register("curated_txn", _curated)
 
 @query
 def curated_sample(ws):
+    """A month of the partitioned copy: only that partition is read."""
     low, high = SAMPLE_DATES
+    rows, folder = _curated(ws), ws.path("curated")
+    sinks.write_curated(rows.withColumn("txn_month", F.date_format("txn_date", "yyyyMM").cast("int")), folder, "txn_month")
     inside = F.col("txn_date").between(F.lit(low).cast("date"), F.lit(high).cast("date"))
-    return _curated(ws).where(F.col("is_valid") & inside).drop("is_valid").orderBy("transaction_key").limit(100)
+    month = F.col("txn_month") == int(low[:7].replace("-", ""))
+    columns = [c for c in rows.columns if c != "is_valid"]
+    return ws.spark.read.parquet(f"{folder}/fact_transaction").where(month & inside).orderBy("transaction_key").limit(100).select(columns)
 
 
 @query
@@ -286,7 +301,30 @@ def dim_unknown(ws):
         parts[dim] = (
             ws.tables[dim].where(F.col(key) == -1).select(F.col(key).cast("long").alias("key"), F.col(name).alias("label"))
         )
-    return tagged_union(parts, "dimension")
+    used = facts_on_unknown(ws)
+    return tagged_union(parts, "dimension").join(used, "dimension")
+
+
+# Dimension -> the columns of the transfer fact that may point at its unknown member.
+UNKNOWN_COLUMNS = {
+    "dim_date": ["date_key"],
+    "dim_time": ["time_key"],
+    "dim_currency": ["payment_currency_key", "receiving_currency_key"],
+    "dim_payment_format": ["payment_format_key"],
+    "dim_bank": ["from_bank_key", "to_bank_key"],
+    "dim_entity": ["from_entity_key", "to_entity_key"],
+    "dim_account": ["from_account_key", "to_account_key"],
+}
+
+
+def facts_on_unknown(ws) -> DataFrame:
+    """How often facts fall back on each unknown member: one scan of each fact."""
+    sums = {dim: sum((F.count_if(F.col(c) == -1) for c in columns), F.lit(0)) for dim, columns in UNKNOWN_COLUMNS.items()}
+    in_fact = ws.tables["fact_transaction"].agg(*[n.cast("long").alias(dim) for dim, n in sums.items()])
+    pattern = F.count_if(F.col("pattern_type_key") == -1).alias("dim_pattern_type")
+    both = in_fact.crossJoin(ws.tables["fact_pattern_transaction"].agg(pattern))
+    pairs = [F.struct(F.lit(c).alias("dimension"), F.col(c).alias("fact_references")) for c in both.columns]
+    return both.select(F.inline(F.array(*pairs)))
 
 
 @query
@@ -343,8 +381,8 @@ def not_exists_current(ws):
 
 @query
 def dim_bank_semi(ws):
-    banks = topk.compact_banks(ws.reports["fact_bank_activity"], 10)
-    accounts = topk.compact_accounts(ws.reports["fact_aml_account_risk"], 20)
+    banks = topk.compact_banks(ws.reports["fact_bank_activity"])
+    accounts = topk.compact_accounts(ws.reports["fact_aml_account_risk"])
     return topk.referenced_banks(ws.reports["dim_bank"], banks, accounts)
 
 
@@ -458,7 +496,7 @@ def pattern_sequence_build(ws):
 
 register("compact_banks", lambda ws: topk.compact_banks(ws.reports["fact_bank_activity"]))
 register("compact_accounts", lambda ws: topk.compact_accounts(ws.reports["fact_aml_account_risk"]))
-register("compact_snapshot", lambda ws: recon.row_counts(topk.compact_snapshot(ws.reports, 10, 100)))
+register("compact_snapshot", lambda ws: recon.row_counts(topk.compact_snapshot(ws.reports)))
 register(
     "latest_batch",
     lambda ws: rp.latest_rows(ws.warehouse.batches(), "dw_batch_id").select(
@@ -545,9 +583,9 @@ register(
     "measure_cloud18",
     lambda ws: semantic.snapshot_measures({name: semantic.as_text(frame) for name, frame in ws.reports.items()}),
 )
-register("measure_non_laundering", lambda ws: semantic.non_laundering(_sliced(ws)))
+register("measure_non_laundering", lambda ws: semantic.non_laundering(ws.daily))
 register("measure_status_flag", lambda ws: semantic.status_flag(ws.reports))
-register("measure_period_title", lambda ws: semantic.period_title(_sliced(ws)))
+register("measure_period_title", lambda ws: semantic.period_title(ws.daily))
 
 # -- dashboard datasets -------------------------------------------------------------------------
 
@@ -572,7 +610,7 @@ register(
 register("ds_pattern_detail", lambda ws: rounded(ds.pattern_detail(ws.reports), "transactions_per_attempt"))
 register("ds_batch_history", lambda ws: ds.batch_history(ws.reports))
 register("ds_daily_detail", lambda ws: rounded(ds.daily_detail(ws.daily), "aml_ratio"))
-register("ds_format_volume", lambda ws: rounded(ds.format_volume(_sliced(ws)), "aml_ratio"))
+register("ds_format_volume", lambda ws: rounded(ds.format_volume(ws.daily), "aml_ratio"))
 register("ds_aml_trend", lambda ws: ds.aml_trend(ws.daily))
 register("ds_corridor_detail", lambda ws: rounded(ds.corridor_detail(ws.reports), "aml_ratio"))
 register("ds_sent_received_mix", lambda ws: topk.sent_received_mix(ws.reports))
@@ -678,18 +716,50 @@ def incremental_noop(ws):
     return ws.warehouse.batches().where("load_type = 'INCREMENTAL'").select(BATCH_COLUMNS)
 
 
+def _streamed(ws, first: Column, second: Column, between=lambda stream: None) -> TransactionStream:
+    """Two drops of files; ``between`` runs when the first has been taken in."""
+    inbox, landed = ws.path("inbox"), ws.landing["transaction"]
+    stream = TransactionStream(ws.spark, inbox, ws.path("stream"), ws.path("stream-checkpoint"))
+    landed.where(first).write.parquet(inbox)
+    stream.run_available()
+    between(stream)
+    landed.where(second).write.mode("append").parquet(inbox)
+    stream.run_available()
+    return stream
+
+
+def _overlapping(ws) -> TransactionStream:
+    """The second drop repeats part of the first."""
+    even = F.col("landing_row_id") % 2 == 0
+    return _streamed(ws, even, ~even | (F.col("landing_row_id") % 3 == 0))
+
+
+@query
+def stream_rejects(ws):
+    """Rows of the drops that do not parse, each once."""
+    return _overlapping(ws).rejects().select("source_object", "source_row_id", "error_code", "error_description", "raw_payload")
+
+
+@query
+def incremental_files(ws):
+    """Files land twice: a FULL load after the first drop, an INCREMENTAL one after the second."""
+    warehouse, source = ws.scratch_warehouse(), ws.source
+    older = F.col("landing_row_id") <= _halfway(ws)
+
+    def full(stream):
+        warehouse.load(stream.source(source.accounts, source.patterns), "FULL")
+
+    stream = _streamed(ws, older, ~older | (F.col("landing_row_id") % 3 == 0), full)
+    warehouse.load(stream.source(source.accounts, source.patterns), "INCREMENTAL")
+    return warehouse.batches().select(
+        "dw_batch_id", "load_type", "status", "source_low_watermark", "source_high_watermark", "transaction_rows_inserted"
+    )
+
+
 @query
 def incremental_stream(ws):
     """Two drops of files, the second repeating part of the first; every transfer arrives once."""
-    inbox, target = ws.path("inbox"), ws.path("stream")
-    landed = ws.landing["transaction"]
-    even = F.col("landing_row_id") % 2 == 0
-    stream = TransactionStream(ws.spark, inbox, target, ws.path("stream-checkpoint"))
-    landed.where(even).write.parquet(inbox)
-    stream.run_available()
-    landed.where(~even | (F.col("landing_row_id") % 3 == 0)).write.mode("append").parquet(inbox)
-    stream.run_available()
-    return stream.table().select(
+    return _overlapping(ws).table().select(
         "source_transaction_id", "transaction_timestamp", "from_bank_id", "from_account_id", "amount_paid", "is_laundering"
     )
 

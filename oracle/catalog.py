@@ -213,6 +213,14 @@ def _half_load() -> str:
         {delta('v_fact_pattern', 'source_pattern_transaction_id', '>')}, {unknown('>')}"""
 
 
+def _unknown_uses(dim: str) -> str:
+    """Facts that point at the unknown member, each role counted."""
+    key = dim.removeprefix("dim_") + "_key"
+    roles = {"dim_bank": ("from_", "to_"), "dim_entity": ("from_", "to_"), "dim_account": ("from_", "to_"), "dim_currency": ("payment_", "receiving_")}
+    fact = "v_fact_pattern" if dim == "dim_pattern_type" else "v_fact"
+    return "(" + " + ".join(f"(SELECT count(*) FROM {fact} WHERE {role}{key} = -1)" for role in roles.get(dim, ("",))) + ")"
+
+
 def _label_column(dim: str) -> tuple[str, str]:
     return {
         "dim_date": ("date_key", "day_name"),
@@ -253,6 +261,12 @@ def _raw() -> dict[str, str]:
         to_account_text, amount_paid_text FROM v_txn_landing"""
     sql["snk_reporting_csv"] = counts({v: f"r_{v}" for v in VIEWS})
     sql["snk_lakehouse"] = "SELECT * FROM r_fact_daily_transaction"
+    amount = lambda value: f"CAST({value} AS DECIMAL(38,8))"
+    named = [f"('rows_{view}', {amount(1)}, {amount(f'least(1, (SELECT count(*) FROM r_{view}))')})" for view in VIEWS]
+    total_rows = amount("(SELECT sum(transaction_count) FROM r_fact_daily_transaction)")
+    sql["lakehouse_assertions"] = f"""SELECT *, CASE WHEN expected = actual THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM (VALUES ('missing_tables', {amount(0)}, {amount(len(VIEWS))} - {amount(len(set(VIEWS)))}), {', '.join(named)},
+            ('daily_total_is_kpi', {amount('(SELECT transaction_count FROM r_kpi_overview)')}, {total_rows})) t(assertion, expected, actual)"""
     sql["snk_curated_fact"] = """
     SELECT transaction_key, txn_date, is_laundering, is_cross_bank, is_cross_currency, is_self_transfer,
         CAST(strftime(txn_date, '%Y%m') AS INTEGER) AS txn_month FROM v_curated WHERE is_valid"""
@@ -296,7 +310,7 @@ def _raw() -> dict[str, str]:
     sql["account_snapshot"] = "SELECT * FROM v_snapshot"
     sql["dim_account_scd2"] = "SELECT * FROM v_dim_account2"
     sql["dim_unknown"] = " UNION ALL ".join(
-        f"SELECT '{dim}' AS dimension, {big(key)} AS key, {label} AS label FROM v_{dim} WHERE {key} = -1"
+        f"SELECT '{dim}' AS dimension, {big(key)} AS key, {label} AS label, {_unknown_uses(dim)} AS fact_references FROM v_{dim} WHERE {key} = -1"
         for dim in DIMS
         for key, label in [_label_column(dim)]
     )
@@ -326,9 +340,9 @@ def _raw() -> dict[str, str]:
     sql["dim_bank_semi"] = """
     SELECT * FROM r_dim_bank WHERE bank_key IN (
         SELECT bank_key FROM (SELECT * FROM r_fact_bank_activity
-            ORDER BY total_participations DESC, laundering_participations DESC, bank_key LIMIT 10)
+            ORDER BY total_participations DESC, laundering_participations DESC, bank_key LIMIT 1000)
         UNION SELECT bank_key FROM (SELECT * FROM r_fact_aml_account_risk
-            ORDER BY laundering_participations DESC, laundering_sent_count DESC, account_key LIMIT 20))"""
+            ORDER BY laundering_participations DESC, laundering_sent_count DESC, account_key LIMIT 5000))"""
     sql["latest_batch_cross"] = "SELECT * FROM r_data_quality_overview"
     # Marts, KPIs, profiles
     for name, block in MARTS.items():
@@ -446,8 +460,8 @@ def _raw() -> dict[str, str]:
     sql["compact_accounts"] = """SELECT * FROM r_fact_aml_account_risk
         ORDER BY laundering_participations DESC, laundering_sent_count DESC, account_key LIMIT 5000"""
     small = {v: f"r_{v}" for v in VIEWS}
-    kept_banks = "(SELECT * FROM r_fact_bank_activity ORDER BY total_participations DESC, laundering_participations DESC, bank_key LIMIT 10)"
-    kept_accounts = "(SELECT * FROM r_fact_aml_account_risk ORDER BY laundering_participations DESC, laundering_sent_count DESC, account_key LIMIT 100)"
+    kept_banks = "(SELECT * FROM r_fact_bank_activity ORDER BY total_participations DESC, laundering_participations DESC, bank_key LIMIT 1000)"
+    kept_accounts = "(SELECT * FROM r_fact_aml_account_risk ORDER BY laundering_participations DESC, laundering_sent_count DESC, account_key LIMIT 5000)"
     small["fact_bank_activity"], small["fact_aml_account_risk"] = kept_banks, kept_accounts
     small["dim_bank"] = f"(SELECT * FROM r_dim_bank WHERE bank_key IN (SELECT bank_key FROM {kept_banks} UNION SELECT bank_key FROM {kept_accounts}))"
     sql["compact_snapshot"] = counts(small)
@@ -525,11 +539,11 @@ def _raw() -> dict[str, str]:
         for name, view, column, kind in MEASURES
     )
     sql["measure_non_laundering"] = f"""SELECT {both},
-        {big('sum(transaction_count) - sum(laundering_count)')} AS non_laundering_transactions FROM v_sliced"""
+        {big('sum(transaction_count) - sum(laundering_count)')} AS non_laundering_transactions FROM v_daily"""
     sql["measure_status_flag"] = f"""SELECT failed_batches, rejected_rows, validation_failed,
         CASE WHEN failed_batches = 0 AND rejected_rows = 0 AND validation_failed = 0 THEN {GOOD} ELSE {BAD} END
             AS etl_status_color FROM ({ETL}), ({VALIDATION})"""
-    sql["measure_period_title"] = f"SELECT 'Period ' || {period('min(full_date)', 'max(full_date)')} AS selected_period_title FROM v_sliced"
+    sql["measure_period_title"] = f"SELECT 'Period ' || {period('min(full_date)', 'max(full_date)')} AS selected_period_title FROM v_daily"
     # Dashboard datasets
     sql["ds_daily_average"] = f"""SELECT {sum_of('transaction_count', 'transactions')},
         count(DISTINCT full_date) AS active_dates,
@@ -548,7 +562,7 @@ def _raw() -> dict[str, str]:
         rejected_rows, validation_status FROM r_etl_batch_monitor"""
     sql["ds_daily_detail"] = f"SELECT *, {ratio('laundering_transactions', 'transactions')} AS aml_ratio FROM v_per_day"
     sql["ds_format_volume"] = f"""SELECT payment_format, {both},
-        {ratio('sum(laundering_count)', 'sum(transaction_count)')} AS aml_ratio FROM v_sliced GROUP BY 1"""
+        {ratio('sum(laundering_count)', 'sum(transaction_count)')} AS aml_ratio FROM v_daily GROUP BY 1"""
     sql["ds_aml_trend"] = "SELECT full_date, laundering_transactions FROM v_per_day"
     sql["ds_sent_received_mix"] = """SELECT bank_name, sent_participations, received_participations FROM
         (SELECT * FROM v_by_bank_name ORDER BY total_participations DESC, bank_name LIMIT 15)"""
@@ -582,6 +596,9 @@ def _raw() -> dict[str, str]:
     sql["incremental_noop"] = f"SELECT {BATCH} FROM v_batches WHERE load_type = 'INCREMENTAL'"
     sql["incremental_stream"] = """SELECT source_transaction_id, transaction_timestamp, from_bank_id, from_account_id,
         amount_paid, is_laundering FROM v_txn"""
+    sql["stream_rejects"] = f"SELECT source_object, source_row_id, error_code, error_description, raw_payload FROM ({sql['reject_transaction']})"
+    sql["incremental_files"] = f"""SELECT dw_batch_id, load_type, status, source_low_watermark, source_high_watermark,
+        transaction_rows_inserted FROM ({_half_load()})"""
     sql["reject_unknown_keys_txn"] = "SELECT * FROM v_dw_reject WHERE source_object = 'transactions'"
     sql["reject_unknown_keys_pattern"] = "SELECT * FROM v_dw_reject WHERE source_object = 'pattern_transactions'"
     sql["batch_failure"] = f"""SELECT {ONE} AS dw_batch_id, 'FULL' AS load_type, 'FAILED' AS status,
