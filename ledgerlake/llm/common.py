@@ -211,41 +211,90 @@ def split_by(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[order[lo]]), order[lo:hi]
 
 
-def place_lists(docs: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """One row for each document: its places, as little-endian 32-bit integers."""
-    order = np.lexsort((places, docs))
-    docs, places = docs[order], np.ascontiguousarray(places[order].astype("<i4"))
-    starts = run_starts(docs)
-    offsets = np.append(starts, len(docs)).astype(np.int32) * 4
-    lists = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(places)])
-    return pa.RecordBatch.from_arrays([pa.array(docs[starts], pa.int64()), lists], ["doc_id", "places"])
+# --- places on their way back to their documents ---
+
+LISTS = "kind int, target int, payload binary"
+
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns as byte planes, which compress well where upper bytes repeat."""
+    head, body = [len(columns)], []
+    for x in columns:
+        head += [len(x), x.dtype.itemsize]
+        body.append(np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T).tobytes() if len(x) else b"")
+    return np.array(head, np.int64).tobytes() + b"".join(body)
+
 
+def unpack(payloads: list[bytes], kinds: tuple) -> list[np.ndarray]:
+    """The columns of several payloads, one after the other."""
+    parts = []
+    for raw in payloads:
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        head = np.frombuffer(raw, np.int64, 1 + 2 * n)[1:].reshape(n, 2).tolist()
+        at, out = 8 + 16 * n, []
+        for (rows, width), kind in zip(head, kinds):
+            planes = np.frombuffer(raw, np.uint8, rows * width, at).reshape(width, rows)
+            out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+            at += rows * width
+        parts.append(out)
+    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, k) for k in kinds]
+
+
+def to_targets(kind: int, targets: int, docs: np.ndarray, *numbers: np.ndarray) -> pa.RecordBatch:
+    """32-bit ``numbers`` of documents, one row for each group of documents they belong to."""
+    keys, payloads = [], []
+    order = np.lexsort((*numbers[::-1], docs)) if len(docs) else np.empty(0, np.int64)
+    docs, numbers = docs[order].astype(np.int64), [x[order].astype(np.int32) for x in numbers]
+    for target, at in split_by(bucket_of(mixed(docs.view(np.uint64) ^ np.uint64(0x51ED270B)), targets)):
+        keys.append(target)
+        payloads.append(pack(docs[at], *(x[at] for x in numbers)))
+    kinds = pa.array(np.full(len(keys), kind, np.int32))
+    return pa.RecordBatch.from_arrays([kinds, pa.array(keys, pa.int32()), binary(payloads)], ["kind", "target", "payload"])
+
+
+def place_lists(sent: DataFrame, **widths: int) -> DataFrame:
+    """One row for each document in ``sent`` rows of :func:`to_targets`: row, and a list for each kind.
+
+    Kinds are numbered in the order of ``widths``, which tells how many numbers an entry has. A
+    list is the sorted entries as little-endian 32-bit integers, empty where there are none.
+    """
+
+    def work(table: pa.Table) -> pa.Table:
+        kinds = table.column("kind").to_numpy()
+        payloads = table.column("payload").to_pylist()
+        parts = []
+        for kind, width in enumerate(widths.values()):
+            docs, *numbers = unpack([payloads[i] for i in np.flatnonzero(kinds == kind)], (np.int64, *[np.int32] * width))
+            order = np.lexsort((*numbers[::-1], docs))
+            parts.append((docs[order], np.ascontiguousarray(np.stack([x[order] for x in numbers], 1).astype("<i4"))))
+        rows = np.unique(np.concatenate([docs for docs, _ in parts]))
+        columns = [pa.array(rows, pa.int64())]
+        for (docs, entries), width in zip(parts, widths.values()):
+            ends = np.searchsorted(docs, rows, "right")
+            offsets = (np.append(0, ends) * 4 * width).astype(np.int32)
+            columns.append(pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(entries)]))
+        return pa.Table.from_arrays(columns, ["row", *widths])
 
-def gathered(lists: DataFrame) -> DataFrame:
-    """All place lists of a document together."""
-    return lists.groupBy("doc_id").agg(F.collect_list("places").alias("places"))
+    return sent.groupBy("target").applyInArrow(work, "row long, " + ", ".join(f"{name} binary" for name in widths))
 
 
-def joined_places(value) -> np.ndarray:
-    """The sorted places of one document's collected lists."""
-    parts = [np.frombuffer(x, "<i4") for x in (value or ())]
-    return np.sort(np.concatenate(parts)).astype(np.int64) if parts else np.empty(0, np.int64)
+def listed(value: bytes | None, width: int = 1) -> np.ndarray:
+    """The entries of one list, one row for each if they have several numbers."""
+    numbers = np.frombuffer(value or b"", "<i4").astype(np.int64)
+    return numbers if width == 1 else numbers.reshape(-1, width)
 
 
-def keyed_rows(docs: DataFrame, id_col: str, text: str, label: str) -> DataFrame:
+def keyed_rows(docs: DataFrame, id_col: str, text: str, label: str, carried: tuple[str, ...] = ()) -> DataFrame:
     """(row, id, text) with a ``row`` that is unique and the same in every scan.
 
     The id itself serves where it is unique and not null; otherwise the rows are numbered
-    in a written copy, so that repeated rows stay apart.
+    in a written copy, so that repeated rows stay apart. ``carried`` columns come along in
+    one column ``rest``, where their names clash with nothing.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    rest = [F.struct(*carried).alias("rest")] if carried else []
     ids = docs.select(F.col(id_col).cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    row = F.col(id_col).cast("long").alias("row")
+    own = [F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), *rest]
     if ids.filter("n > 1 or id is null").limit(1).count():
-        return stage(rows.select(F.monotonically_increasing_id().alias("row"), "id", "text"), label)
-    return rows.select(F.col("id").alias("row"), "id", "text")
-
-
-def with_places(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
-    """Join the collected places to the rows; the side without texts is the one that is hashed."""
-    lists = gathered(places).withColumnRenamed("doc_id", "row")
-    return rows.join(lists.hint("shuffle_hash"), "row", how)
+        return stage(docs.select(F.monotonically_increasing_id().alias("row"), *own), label)
+    return docs.select(row, *own)

@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import (
+    LISTS,
     binary,
     bucket_of,
     buckets_for,
     flat,
     hashed_words,
-    joined_places,
     keyed_rows,
+    listed,
     packed,
     place_lists,
     rolling,
@@ -33,9 +34,9 @@ from ledgerlake.llm.common import (
     split_by,
     stage,
     steps,
+    to_targets,
     unpacked,
     whitespace,
-    with_places,
     words_of,
 )
 
@@ -75,25 +76,21 @@ def _probes(buckets: int, block: int, window: int):
     return work
 
 
-def _hits(table: pa.Table) -> pa.Table:
-    """Places of the runs that equal an indexed block at another place."""
-    hashes, docs, places, blocks = unpacked(table.column("payload").to_pylist())
-    order = np.argsort(hashes)
-    starts = run_starts(hashes[order])
-    counts = np.diff(np.append(starts, len(order)))
-    hit = (counts > 1) & np.logical_or.reduceat(blocks[order], starts) if len(starts) else counts > 1
-    chosen = order[np.repeat(hit, counts)]
-    return pa.Table.from_batches([place_lists(docs[chosen], places[chosen])])
+def _repeated(targets: int, indexed: bool):
+    """Places of the fingerprints that occur again; of those in the index only, if ``indexed``."""
 
+    def work(table: pa.Table) -> pa.Table:
+        hashes, docs, places, blocks = unpacked(table.column("payload").to_pylist())
+        order = np.argsort(hashes)
+        starts = run_starts(hashes[order])
+        counts = np.diff(np.append(starts, len(order)))
+        again = counts > 1
+        if indexed and len(starts):
+            again &= np.logical_or.reduceat(blocks[order], starts)
+        chosen = order[np.repeat(again, counts)]
+        return pa.Table.from_batches([to_targets(0, targets, docs[chosen], places[chosen])])
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """Places of the windows that occur more than once."""
-    hashes, docs, places, _ = unpacked(table.column("payload").to_pylist())
-    order = np.argsort(hashes)
-    starts = run_starts(hashes[order])
-    counts = np.diff(np.append(starts, len(order)))
-    chosen = order[np.repeat(counts > 1, counts)]
-    return pa.Table.from_batches([place_lists(docs[chosen], places[chosen])])
+    return work
 
 
 def _windows(buckets: int, block: int, window: int):
@@ -106,7 +103,7 @@ def _windows(buckets: int, block: int, window: int):
             whole = rolling(words, window, _WINDOW_SEED)
             near = np.zeros(len(words) + 1, np.int64)
             for i, value in enumerate(batch.column("places").to_pylist()):
-                place = joined_places(value)
+                place = listed(value)
                 np.add.at(near, first[i] + np.maximum(place - (window - block), 0), 1)
                 np.add.at(near, first[i] + place + 1, -1)
             near = np.cumsum(near)[: len(whole)] > 0
@@ -126,8 +123,7 @@ def _without(window: int):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for text, value in zip(texts, batch.column("places").to_pylist()):
                 words = (text or b"").split()  # bytes split at the six ASCII white-space bytes
-                places = joined_places(value)
-                runs = run_bounds(places, window)
+                runs = run_bounds(listed(value), window)
                 out, at = [], 0
                 for lo, hi in runs:
                     out += words[at:lo]
@@ -167,13 +163,15 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str =
     block = (window + 1) // 2  # the largest block that every window holds whole
     rows = keyed_rows(docs, id_col, text, "blocks-rows")
     buckets = buckets_for(rows)
-    packed_schema, place_schema = "bucket int, payload binary", "doc_id long, places binary"
-    probes = rows.select("row", "text").mapInArrow(_probes(buckets, block, window), packed_schema)
-    hits = stage(probes.groupBy("bucket").applyInArrow(_hits, place_schema), "blocks-hits")
-    near = with_places(rows.select("row", "text"), hits, "inner").mapInArrow(_windows(buckets, block, window), packed_schema)
-    repeats = stage(near.groupBy("bucket").applyInArrow(_repeated, place_schema), "blocks-repeats")
+    sent = "bucket int, payload binary"
+    probes = rows.select("row", "text").mapInArrow(_probes(buckets, block, window), sent)
+    hits = stage(probes.groupBy("bucket").applyInArrow(_repeated(buckets, True), LISTS), "blocks-hits")
+    near = rows.select("row", "text").join(place_lists(hits, places=1).hint("shuffle_hash"), "row")
+    windows = near.mapInArrow(_windows(buckets, block, window), sent)
+    repeats = stage(windows.groupBy("bucket").applyInArrow(_repeated(buckets, False), LISTS), "blocks-repeats")
     span = "spans array<struct<start:bigint,end:bigint>>"
-    return with_places(rows, repeats, "left").mapInArrow(_without(window), f"doc_id long, kept string, n_words long, n_removed long, {span}")
+    joined = rows.join(place_lists(repeats, places=1).hint("shuffle_hash"), "row", "left")
+    return joined.mapInArrow(_without(window), f"doc_id long, kept string, n_words long, n_removed long, {span}")
 
 
 def op8_fixed_blocks(docs: DataFrame) -> DataFrame:
