@@ -46,10 +46,11 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     Rounds grow with the logarithm of the number of nodes. Each round is a written table;
     a centre with very many neighbours is split by the adaptive skew join.
     """
-    edges = edges.mapInArrow(_contracted, "u long, v long").filter("u != v")
+    # Twice: what many small tasks have left is read back by few.
+    for _ in range(2):
+        edges = stage(edges.mapInArrow(_contracted, "u long, v long").filter("u != v"), f"{label}-edges")
     done = None
     while True:
-        edges = stage(edges, f"{label}-edges")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == done or not state[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
@@ -61,4 +62,4 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+        edges = stage(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), f"{label}-edges")
