@@ -76,7 +76,7 @@ def run_pipeline(
             reports,
             warehouse.batches(),
             warehouse.validations(),
-            len(warehouse.marts()),
+            warehouse.marts(),
             expected_figures or {},
             run_id,
         ),

@@ -872,7 +872,7 @@ def raw_valid_reject_balance(ws):
 
 def _acceptance(ws, run_id: int = 1) -> DataFrame:
     return acceptance.run_acceptance(
-        ws.source, ws.tables, ws.reports, ws.warehouse.batches(), ws.warehouse.validations(), len(ws.marts), {}, run_id
+        ws.source, ws.tables, ws.reports, ws.warehouse.batches(), ws.warehouse.validations(), ws.marts, {}, run_id
     )
 
 
