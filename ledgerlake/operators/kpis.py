@@ -112,11 +112,26 @@ def active_account_coverage(transactions: DataFrame, accounts: DataFrame) -> Dat
     )
 
 
-def active_bank_count(transactions: DataFrame) -> DataFrame:
-    return transactions.agg(
-        F.count_distinct("from_bank_id").alias("sender_bank_count"),
-        F.count_distinct("to_bank_id").alias("receiver_bank_count"),
+def _bank_roles(transactions: DataFrame, keys: list[str], rows: Column, flagged: Column) -> DataFrame:
+    """Rows and flagged rows for each (key, role, bank), combined on the map side.
+
+    Two distinct counts side by side would expand every row; here a row gives one entry
+    for each role, and only the distinct banks of a key travel.
+    """
+    roles = F.array(
+        F.struct(F.lit("sender").alias("role"), F.col("from_bank_id").alias("bank_id"), rows.alias("n"), flagged.alias("flagged")),
+        F.struct(F.lit("receiver").alias("role"), F.col("to_bank_id").alias("bank_id"), F.lit(0).alias("n"), F.lit(0).alias("flagged")),
     )
+    entries = transactions.select(*keys, F.inline(roles))
+    return entries.groupBy(*keys, "role", "bank_id").agg(F.sum("n").alias("n"), F.sum("flagged").alias("flagged"))
+
+
+def _banks_of(role: str) -> Column:
+    return F.count_if((F.col("role") == role) & F.col("bank_id").isNotNull()).alias(f"{role}_bank_count")
+
+
+def active_bank_count(transactions: DataFrame) -> DataFrame:
+    return _bank_roles(transactions, [], F.lit(1), F.lit(0)).agg(_banks_of("sender"), _banks_of("receiver"))
 
 
 def top_sender_banks(transactions: DataFrame, bank_directory: DataFrame, size: int = 20) -> DataFrame:
@@ -209,11 +224,17 @@ def profile_payment_formats(transactions: DataFrame) -> DataFrame:
 
 
 def profile_daily(transactions: DataFrame) -> DataFrame:
-    return transactions.groupBy(F.to_date("transaction_timestamp").alias("transaction_date")).agg(
-        _rows(),
-        _is_aml(),
-        F.count_distinct("from_bank_id").alias("sender_bank_count"),
-        F.count_distinct("to_bank_id").alias("receiver_bank_count"),
+    flagged = F.coalesce((F.col("is_laundering") == 1).cast("int"), F.lit(0))
+    dated = transactions.withColumn("transaction_date", F.to_date("transaction_timestamp"))
+    return (
+        _bank_roles(dated, ["transaction_date"], F.lit(1), flagged)
+        .groupBy("transaction_date")
+        .agg(
+            F.sum("n").alias("transaction_count"),
+            F.sum("flagged").alias("laundering_count"),
+            _banks_of("sender"),
+            _banks_of("receiver"),
+        )
     )
 
 

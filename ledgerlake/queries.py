@@ -527,6 +527,10 @@ def mart_top20(ws):
     return tagged_union(parts, "report")
 
 
+# The same sample reports, each with all its columns.
+for _report in ("formats", "banks", "corridors", "patterns", "accounts"):
+    register(f"mart_top20_{_report}", lambda ws, _report=_report: topk.mart_leaders(ws.marts)[_report])
+
 register("last_seven_days", lambda ws: rounded(topk.last_seven_days(ws.daily), "aml_ratio"))
 
 
@@ -915,6 +919,32 @@ def demo_queries(ws):
     return tagged_union(parts, "question")
 
 
+# Result sets of the demo, each with all its columns.
+@query
+def demo_latest_run(ws):
+    """The newest recorded run, and its verdict."""
+    store = TableStore(ws.spark, ws.path("acceptance"))
+    acceptance.record_run(store, lambda run_id: _acceptance(ws, run_id), clock=step_clock())
+    return acceptance.latest_results(acceptance.test_runs(store), acceptance.test_results(store)).select(
+        "test_run_id", "run_label", "run_status", "category", "test_code", "expected_value", "actual_value", "status"
+    )
+
+
+register("demo_format_rate", lambda ws: rp_named(ws, "fact_aml_payment_format", "dim_payment_format", "payment_format_key"))
+register("demo_pattern_attempts", lambda ws: rp_named(ws, "fact_pattern_summary", "dim_pattern_type", "pattern_type_key"))
+
+
+def rp_named(ws, fact: str, dim: str, key: str) -> DataFrame:
+    return ws.reports[fact].join(ws.reports[dim], key)
+
+
+@query
+def demo_latest_checks(ws):
+    """Every column of the checks of the newest load."""
+    newest = rp.latest_rows(ws.reports["etl_batch_monitor"], "dw_batch_id").select("dw_batch_id")
+    return ws.reports["etl_validation_result"].join(F.broadcast(newest), "dw_batch_id")
+
+
 @query
 def curated_vs_local(ws):
     """Curated copy against the warehouse, per payment format; the copies apply different validity rules."""

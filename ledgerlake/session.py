@@ -11,6 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+ROW_GROUP_BYTES = 16 << 20
 
 
 def build_session(app: str = "ledgerlake", cpus: int | str = "*", driver_memory: str = "12g") -> SparkSession:
@@ -65,7 +66,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     decide on a broadcast.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    # Row groups well below a task's share: also a single file is read by many tasks.
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

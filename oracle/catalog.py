@@ -494,6 +494,13 @@ def _raw() -> dict[str, str]:
     UNION ALL SELECT 'patterns', pattern_type, pattern_transaction_count FROM m_pattern
     UNION ALL SELECT 'accounts', account_number, laundering_participations FROM
         (SELECT * FROM m_risk ORDER BY laundering_participations DESC, account_key LIMIT 20)"""
+    sql |= {
+        "mart_top20_formats": "SELECT * FROM m_format",
+        "mart_top20_banks": "SELECT * FROM m_bank ORDER BY total_participations DESC, bank_key LIMIT 20",
+        "mart_top20_corridors": "SELECT * FROM m_flow ORDER BY transaction_count DESC, payment_currency_key, receiving_currency_key LIMIT 20",
+        "mart_top20_patterns": "SELECT * FROM m_pattern",
+        "mart_top20_accounts": "SELECT * FROM m_risk ORDER BY laundering_participations DESC, account_key LIMIT 20",
+    }
     sql["last_seven_days"] = f"""SELECT full_date, transactions, laundering_transactions, daily_transaction_change,
         {ratio('laundering_transactions', 'transactions')} AS aml_ratio FROM {CHANGE} ORDER BY full_date DESC LIMIT 7"""
     sql["mix_top5_other"] = (
@@ -653,6 +660,12 @@ def _raw() -> dict[str, str]:
     UNION ALL SELECT 'format_rate', payment_format, CAST(laundering_count AS VARCHAR) FROM m_format
     UNION ALL SELECT 'pattern_attempts', pattern_type, CAST(attempt_count AS VARCHAR) FROM m_pattern
     UNION ALL SELECT 'latest_checks', check_name, status FROM v_checks WHERE dw_batch_id = 2"""
+    sql["demo_latest_run"] = f"""SELECT test_run_id, 'acceptance' AS run_label,
+        CASE WHEN count(*) FILTER (WHERE status = 'FAILED') OVER () = 0 THEN 'PASSED' ELSE 'FAILED' END AS run_status,
+        category, test_code, expected_value, actual_value, status FROM ({acceptance()})"""
+    sql["demo_format_rate"] = "SELECT * FROM r_fact_aml_payment_format JOIN r_dim_payment_format USING (payment_format_key)"
+    sql["demo_pattern_attempts"] = "SELECT * FROM r_fact_pattern_summary JOIN r_dim_pattern_type USING (pattern_type_key)"
+    sql["demo_latest_checks"] = "SELECT * FROM r_etl_validation_result WHERE dw_batch_id = (SELECT max(dw_batch_id) FROM r_etl_batch_monitor)"
     sql["curated_vs_local"] = f"""
     SELECT coalesce(s.payment_format, t.payment_format) AS payment_format, s.n AS source_row_count,
         s.l AS source_laundering_count, t.n AS target_row_count, t.l AS target_laundering_count,
