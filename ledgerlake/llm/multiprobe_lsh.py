@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import binary, stage
 
-TABLES, HASHES, SLOT, PROBES = 8, 6, 1.5, 90
+TABLES, HASHES, SLOT, PROBES = 8, 6, 1.5, 160
 NEIGHBOUR_DISTANCE = 1.05  # at which a probe's success is estimated
 GROUP_ROWS = 8192  # vectors of one table that are searched together
 _SEED, _BASE, _HALF = 20, 64, 32
