@@ -11,6 +11,7 @@ from ledgerlake.functions.ordinals import dense_ordinal, file_ordinal
 from ledgerlake.plans import acceptance, source_load
 from ledgerlake.plans.store import Clock, TableStore, utc_now
 from ledgerlake.plans.warehouse import Warehouse
+from ledgerlake.session import stage
 from ledgerlake.sources import files, sinks
 from ledgerlake.sources.patterns import read_pattern_blocks
 
@@ -36,12 +37,13 @@ def landing_from_files(
             "step": F.col("pattern_sequence_text").cast("long"),
         }
     )
-    landing = {
+    numbered = {
         "account": file_ordinal(files.read_accounts(spark, accounts)),
         "transaction": file_ordinal(files.read_transactions(spark, transactions)),
         "pattern": dense_ordinal(place, ["attempt", "step"], name="landing_row_id").drop("attempt", "step"),
     }
-    return landing, rejected
+    # Written once: the gate, the typing and the duplicate check read the same numbers.
+    return {name: stage(frame, f"landing-{name}") for name, frame in numbered.items()}, rejected
 
 
 def run_pipeline(
@@ -55,12 +57,22 @@ def run_pipeline(
     expected_figures: dict[str, str] | None = None,
     export_folder: str | None = None,
     clock: Clock = utc_now,
+    append: bool = False,
 ) -> RunResult:
-    """One run below ``root``, a folder all executors can reach."""
+    """One run below ``root``, a folder all executors can reach.
+
+    With ``append`` the files hold transfers and patterns that are new since the last run, and
+    a whole account snapshot; ids continue, and an INCREMENTAL load takes in what is new.
+    """
     landing, rejected = landing_from_files(spark, accounts, transactions, pattern_text)
     source_store = TableStore(spark, f"{root}/source")
+    earlier = source_load.completed_batches(source_store) if append else []
+    if earlier:
+        landing = source_load.continued(landing, source_store, earlier)
     batch = source_load.load_source_batch(source_store, landing, clock=clock, expected_rows=expected_rows)
-    source = source_load.source_tables(source_store, batch)
+    source = source_load.source_tables(source_store, batch, earlier)
+    lines = rejected.withColumn("load_batch_id", F.lit(batch).cast("long"))
+    source_store.write(lines, "rejected_pattern_line", batch)
 
     warehouse = Warehouse(TableStore(spark, f"{root}/warehouse"), clock)
     dw_batch = warehouse.load(source, load_type)
@@ -84,4 +96,5 @@ def run_pipeline(
     )
     if export_folder:
         sinks.export_views(reports, export_folder)
-    return RunResult(batch, dw_batch, verdict, test_run, warehouse, rejected)
+    kept_lines = spark.read.schema(lines.schema).parquet(source_store.path("rejected_pattern_line", batch))
+    return RunResult(batch, dw_batch, verdict, test_run, warehouse, kept_lines)

@@ -114,15 +114,35 @@ def _tagged(store: TableStore, name: str, batch_id: int) -> DataFrame:
     return store.read(f"tagged_{name}", [batch_id], TAGGED[name])
 
 
-def source_tables(store: TableStore, batch_id: int) -> SourceTables:
-    """Typed tables and rejects of a batch. ``is_valid`` is a folder, so each side reads only its files."""
+def source_tables(store: TableStore, batch_id: int, earlier: list[int] | None = None) -> SourceTables:
+    """Typed tables and rejects of a batch. ``is_valid`` is a folder, so each side reads only its files.
+
+    With ``earlier`` batches, whose ids the batch continues, their transfers, patterns and
+    rejects belong to the source, too, which keeps the name of the first. Accounts are the
+    newest snapshot.
+    """
+    batches = [*(earlier or []), batch_id]
     typed, rejected = {}, None
     for name, (_, columns, source_object) in OBJECTS.items():
-        tagged = _tagged(store, name, batch_id)
+        tagged = store.read(f"tagged_{name}", [batch_id] if name == "account" else batches, TAGGED[name])
         typed[name] = tagged.where("is_valid").select(columns)
         bad = ty.rejects(tagged.where("not is_valid"), source_object)
         rejected = bad if rejected is None else rejected.unionByName(bad)
-    return SourceTables(typed["account"], typed["transaction"], typed["pattern"], rejected, batch_id)
+    return SourceTables(typed["account"], typed["transaction"], typed["pattern"], rejected, batches[0])
+
+
+def completed_batches(store: TableStore) -> list[int]:
+    return [r["batch_id"] for r in store.log_rows(LOG, LOAD_BATCH, "batch_id") if r["status"] == "COMPLETED"]
+
+
+def continued(landing: dict[str, DataFrame], store: TableStore, batches: list[int]) -> dict[str, DataFrame]:
+    """Landing frames whose ids go on after those of the given batches."""
+    out = {}
+    for name, frame in landing.items():
+        held = store.read(f"tagged_{name}", batches, TAGGED[name])
+        last = held.agg(F.max("source_row_id")).first()[0] or 0
+        out[name] = frame.withColumn("landing_row_id", F.col("landing_row_id") + F.lit(last))
+    return out
 
 
 def unprocessed_landing(landing: dict[str, DataFrame], store: TableStore, batch_id: int) -> DataFrame:

@@ -61,8 +61,13 @@ class Warehouse:
         return self.store.log(LOG, DW_BATCH, "dw_batch_id")
 
     def _published(self, rows: list[dict]) -> dict[str, list[int]]:
-        done = [r for r in rows if r["status"] == "COMPLETED"]
-        return versions_from(done[-1]["table_versions"]) if done else {}
+        """Folders of every table: each completed load names those it added or replaced."""
+        versions: dict[str, list[int]] = {}
+        for row in rows:
+            if row["status"] == "COMPLETED":
+                for table, added in versions_from(row["table_versions"]).items():
+                    versions[table] = versions.get(table, []) + added if table in FACT_SCHEMAS else added
+        return versions
 
     def _read(self, table: str, versions: dict[str, list[int]]) -> DataFrame:
         ddl = DIM_SCHEMAS.get(table) or FACT_SCHEMAS[table]
@@ -118,12 +123,13 @@ class Warehouse:
             loaded = {r["source_load_batch_id"] for r in rows if r["status"] == "COMPLETED"}
             if versions.get("fact_transaction") and loaded - {source.load_batch_id}:
                 raise StaleSourceError("source was reloaded: reset the warehouse and run a FULL load")
-            versions = self._load_tables(source, state, versions)
+            held, versions = versions, self._load_tables(source, state, versions)
         except Exception as error:
             failed = {"status": "FAILED", "completed_at": self.clock(), "error_message": str(error)}
             self.store.append_event(LOG, DW_BATCH, {**state, **failed})
             raise
-        state |= {"status": "COMPLETED", "completed_at": self.clock(), "table_versions": versions_text(versions)}
+        state |= {"status": "COMPLETED", "completed_at": self.clock()}
+        state["table_versions"] = versions_text({t: [batch_id] for t, v in versions.items() if v != held.get(t)})
         self.store.append_event(LOG, DW_BATCH, state)
         return batch_id
 

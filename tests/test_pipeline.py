@@ -60,3 +60,22 @@ def test_wrong_expected_figure_fails_the_test(spark, files):
     run_pipeline(spark, root, *paths, expected_figures={"laundering": "6"})
     results = acceptance.test_results(TableStore(spark, f"{root}/tests"))
     assert {r.test_code for r in results.where("status = 'FAILED'").collect()} == {"ETL_03", "BR_01"}
+
+
+def test_new_files_continue_the_ids_and_load_incrementally(spark, files, tmp_path):
+    root = fresh_path(spark, "test-pipeline")
+    run_pipeline(spark, root, str(files / "accounts.csv"), str(files / "trans.csv"), str(files / "patterns.txt"))
+    lines = [f"2022/09/05 01:{i:02d},00,A0,1,A1,7.5,Euro,7.5,Euro,Wire,0" for i in range(5)] + ["no date,0,A0,1,A1,1,Euro,1,Euro,ACH,0"]
+    (tmp_path / "trans.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    (tmp_path / "patterns.txt").write_text("stray line\n")
+    result = run_pipeline(
+        spark, root, str(files / "accounts.csv"), str(tmp_path / "trans.csv"), str(tmp_path / "patterns.txt"), load_type="INCREMENTAL", append=True
+    )
+    assert result.validation == "PASSED"
+    loads = [(r.load_type, r.source_low_watermark, r.source_high_watermark, r.transaction_rows_inserted) for r in result.warehouse.batches().collect()]
+    assert sorted(loads) == [("FULL", 1, 20, 20), ("INCREMENTAL", 21, 25, 5)]
+    assert result.warehouse.reports()["kpi_overview"].first().transaction_count == 25
+    assert [(r.error_code, r.load_batch_id) for r in result.rejected_pattern_lines.collect()] == [("PATTERN_LINE_OUTSIDE_BLOCK", 2)]
+    # Each log row names only what its load added.
+    rows = result.warehouse.batch_rows()
+    assert all("[1, 2]" not in r["table_versions"] for r in rows)
