@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import (
+    LISTS,
     binary,
     bucket_of,
     buckets_for,
     flat,
-    joined_places,
     keyed_rows,
+    listed,
     mixed,
+    pack,
     place_lists,
     rolling,
     run_starts,
@@ -37,6 +39,8 @@ from ledgerlake.llm.common import (
     split_by,
     stage,
     steps,
+    to_targets,
+    unpack,
 )
 
 LENGTH = 50
@@ -47,7 +51,7 @@ COVER = (0, 1, 2, 4)
 #: Places of one minimizer beyond which its windows travel by themselves.
 POPULAR = 20_000
 _BLOCK = 1 << 18  # suffixes sorted at once
-_FINER = 8  # a bucket of suffixes serves this part of the text that a bucket of minimizers does
+_FINER = 8  # a bucket of suffixes serves an eighth of the text that a bucket of minimizers does
 _STEP = 256 << 10
 _FLUSH = 4 << 20
 _PIECES, _HITS, _POPULAR = 0, 1, 2
@@ -55,35 +59,6 @@ _FORTY_BITS = np.uint64((1 << 40) - 1)  # with the bucket enough to choose candi
 _BYTE_SEED, _GRAM_SEED, _CUT_SEED, _WINDOW_SEED = 21, 22, 23, 24
 
 
-# --- packed columns ---
-
-
-def _pack(*columns: np.ndarray) -> bytes:
-    """Columns as byte planes, which compress well where upper bytes repeat."""
-    head = [len(columns)]
-    body = []
-    for x in columns:
-        head += [len(x), x.dtype.itemsize]
-        body.append(np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T).tobytes() if len(x) else b"")
-    return np.array(head, np.int64).tobytes() + b"".join(body)
-
-
-def _unpack(raw: bytes, kinds: tuple) -> list[np.ndarray]:
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    head = np.frombuffer(raw, np.int64, 1 + 2 * n)[1:].reshape(n, 2).tolist()
-    at, out = 8 + 16 * n, []
-    for (rows, width), kind in zip(head, kinds):
-        planes = np.frombuffer(raw, np.uint8, rows * width, at).reshape(width, rows)
-        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
-        at += rows * width
-    return out
-
-
-def _all(payloads: list[bytes], kinds: tuple) -> list[np.ndarray]:
-    parts = [_unpack(x, kinds) for x in payloads]
-    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, k) for k in kinds]
-
-
 class _Outbox:
     """Entries gathered over several steps, then packed for each kind and bucket."""
 
@@ -100,7 +75,7 @@ class _Outbox:
             for bucket, at in split_by(bucket_of(route, self.buckets)):
                 kinds.append(kind)
                 keys.append(bucket)
-                payloads.append(_pack(*(c[at] for c in columns)))
+                payloads.append(pack(*(c[at] for c in columns)))
         self.parts, self.bytes = {}, 0
         return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.int32()), binary(payloads)], ["kind", "bucket", "payload"])
 
@@ -198,24 +173,19 @@ def _anchors(buckets: int, length: int):
     return work
 
 
-def _kind_lists(kind: int, docs: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    lists = place_lists(docs, places)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(lists.num_rows, kind, np.int32)), *lists.columns], ["kind", "doc_id", "places"])
-
-
-def _repeats_by_kind(popular: int):
+def _repeats_by_kind(targets: int, popular: int):
     """Pieces seen in a smaller document, and minimizers seen in several documents."""
 
     def work(table: pa.Table) -> pa.Table:
         payloads = table.column("payload").to_pylist()
         if table.column("kind")[0].as_py() == _PIECES:
-            first, second, docs, starts, counts = _all(payloads, (np.uint64, np.uint64, np.int64, np.int32, np.int32))
+            first, second, docs, starts, counts = unpack(payloads, (np.uint64, np.uint64, np.int64, np.int32, np.int32))
             order = np.lexsort((docs, second, first))
             heads = run_starts(first[order], second[order])
             least = np.repeat(docs[order[heads]], np.diff(np.append(heads, len(order))))
             later = order[docs[order] > least]
-            return pa.Table.from_batches([_pairs(docs[later], starts[later], counts[later])])
-        keys, docs, places = _all(payloads, (np.uint64, np.int64, np.int32))
+            return pa.Table.from_batches([to_targets(_PIECES, targets, docs[later], starts[later], counts[later])])
+        keys, docs, places = unpack(payloads, (np.uint64, np.int64, np.int32))
         order = np.lexsort((docs, keys))
         heads = run_starts(keys[order])
         sizes = np.diff(np.append(heads, len(order)))
@@ -223,52 +193,69 @@ def _repeats_by_kind(popular: int):
         several = docs[order[heads]] != docs[order[last]] if len(order) else np.empty(0, bool)
         few = order[np.repeat(several & (sizes <= popular), sizes)]
         many = order[np.repeat(several & (sizes > popular), sizes)]
-        return pa.Table.from_batches([_kind_lists(_HITS, docs[few], places[few]), _kind_lists(_POPULAR, docs[many], places[many])])
+        return pa.Table.from_batches([to_targets(_HITS, targets, docs[few], places[few]), to_targets(_POPULAR, targets, docs[many], places[many])])
 
     return work
 
 
-def _pairs(docs: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """One row for each document: (first window, number of windows) of its repeated pieces."""
-    order = np.lexsort((starts, docs))
-    docs, flatpairs = docs[order], np.ascontiguousarray(np.stack([starts[order], counts[order]], 1).astype("<i4"))
-    heads = run_starts(docs)
-    offsets = (np.append(heads, len(docs)) * 8).astype(np.int32)
-    lists = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(flatpairs)])
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(heads), _PIECES, np.int32)), pa.array(docs[heads], pa.int64()), lists], ["kind", "doc_id", "places"])
+# --- contexts: the bytes around the minimizers that are found again ---
 
 
-def _intervals(value) -> np.ndarray:
-    parts = [np.frombuffer(x, "<i4").reshape(-1, 2) for x in (value or ())]
-    return np.concatenate(parts).astype(np.int64) if parts else np.empty((0, 2), np.int64)
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All positions of the given ranges, one range after the other."""
+    first = np.cumsum(sizes) - sizes
+    return np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))
 
 
-# --- contexts: the bytes around the minimizers that are found again ---
+class _ContextBox:
+    """Contexts of several steps, then packed for each bucket."""
+
+    def __init__(self, buckets: int, length: int):
+        self.buckets, self.more, self.parts, self.bytes = buckets, length - 1, [], 0
+
+    def add(self, route: np.ndarray, docs: np.ndarray, lows: np.ndarray, counts: np.ndarray, text: np.ndarray) -> None:
+        self.parts.append((route, docs, lows.astype(np.int32), counts.astype(np.int32), text))
+        self.bytes += len(text)
+
+    def batch(self) -> pa.RecordBatch:
+        keys, payloads = [], []
+        if self.parts:
+            route, docs, lows, counts, text = (np.concatenate(x) for x in zip(*self.parts))
+            sizes = counts.astype(np.int64) + self.more
+            first = np.cumsum(sizes) - sizes
+            for bucket, at in split_by(bucket_of(route, self.buckets)):
+                keys.append(bucket)
+                payloads.append(pack(docs[at], lows[at], counts[at], text[_ragged(first[at], sizes[at])]))
+        self.parts, self.bytes = [], 0
+        nothing = pa.nulls(len(keys), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), nothing, nothing, binary(payloads)], _CONTEXT_NAMES)
 
 
-def _contexts(buckets: int, length: int):
+_CONTEXT_NAMES = ["bucket", "kind", "target", "payload"]
+
+
+def _contexts(buckets: int, targets: int, length: int):
     """Runs of windows with one minimizer, with their bytes; equal windows of a popular one merged.
 
-    kind 0 rows go to a bucket; kind 1 rows are places already known to be repeated.
+    Rows with a bucket are contexts; rows with a target are places already known to be repeated.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, step=_FLUSH):
+        box = _ContextBox(buckets, length)
+        for batch in steps(batches, step=_STEP):
             texts = _Texts(batch.column("text"), length)
             ids = batch.column("row").to_numpy(zero_copy_only=False)
             known = np.zeros(len(texts.data) + 1, np.int8)  # 1 hit, 2 popular
             done = np.zeros(len(texts.data) + 1, np.int64)
             for i, (pieces, hits, popular) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("pieces", "hits", "popular")))):
                 at = texts.offsets[i]
-                known[at + joined_places(hits)] = 1
-                known[at + joined_places(popular)] = 2
-                span = _intervals(pieces)
+                known[at + listed(hits)] = 1
+                known[at + listed(popular)] = 2
+                span = listed(pieces, 2)
                 np.add.at(done, at + span[:, 0], 1)
                 np.add.at(done, at + span.sum(1), -1)
             starts, anchor = texts.windows()
             open_ = np.cumsum(done)[starts] == 0
-            kinds, keys, payloads = [], [], []
-            direct: list[pa.RecordBatch] = []
             for mark in (1, 2):
                 mine = np.flatnonzero((known[anchor] == mark) & open_)
                 x, a = starts[mine], anchor[mine]
@@ -288,26 +275,17 @@ def _contexts(buckets: int, length: int):
                     sizes = np.diff(np.append(tops, len(order)))
                     least = np.repeat(ids[doc[order[tops]]], sizes)
                     later = order[ids[doc[order]] > least]
-                    direct.append(place_lists(ids[doc[later]], x[later] - texts.offsets[doc[later]]))
+                    repeated = to_targets(0, targets, ids[doc[later]], x[later] - texts.offsets[doc[later]])
+                    yield pa.RecordBatch.from_arrays([pa.nulls(repeated.num_rows, pa.int32()), *repeated.columns], _CONTEXT_NAMES)
                     heads = np.sort(order[tops])
                     counts = np.ones(len(heads), np.int64)
                     route = mixed(whole[heads])
                 lows = x[heads]
-                for bucket, at in split_by(bucket_of(route, buckets)):
-                    sizes = counts[at] + length - 1
-                    first = np.cumsum(sizes) - sizes
-                    places = np.repeat(lows[at] - first, sizes) + np.arange(int(sizes.sum()))
-                    owner = texts.doc[lows[at]]
-                    kinds.append(0)
-                    keys.append(bucket)
-                    payloads.append(_pack(ids[owner], (lows[at] - texts.offsets[owner]).astype(np.int32), counts[at].astype(np.int32), texts.data[places]))
-            n = len(keys)
-            lists = [pa.array([None] * n, pa.int64()), pa.array([None] * n, pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.int32()), binary(payloads), *lists], ["kind", "bucket", "payload", "doc_id", "places"])
-            for found in direct:
-                n = found.num_rows
-                blank = [pa.array([1] * n, pa.int32()), pa.array([None] * n, pa.int32()), pa.array([None] * n, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*blank, *found.columns], ["kind", "bucket", "payload", "doc_id", "places"])
+                owner = texts.doc[lows]
+                box.add(route, ids[owner], lows - texts.offsets[owner], counts, texts.data[_ragged(lows, counts + length - 1)])
+            if box.bytes > _FLUSH:
+                yield box.batch()
+        yield box.batch()
 
     return work
 
@@ -330,14 +308,16 @@ def _dense(*keys: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def cover_ranks(text: np.ndarray, words: np.ndarray, span: int) -> np.ndarray:
+def cover_ranks(words: np.ndarray, span: int, wanted: np.ndarray | None = None) -> np.ndarray:
     """Rank, among the cover positions, of the ``span`` bytes that begin at each of them.
 
+    With ``wanted``, only of the positions it marks; a rank holds if all its bytes are marked.
     ``words`` holds the 8 bytes at every position, first byte uppermost. Doubling stays on
     cover positions because the period is 8: ranks of 8, 16, 32 bytes, then what is left.
     """
     n = len(words)
-    at = np.flatnonzero(np.isin(np.arange(n) % PERIOD, COVER))
+    cover = np.isin(np.arange(PERIOD), COVER)[np.arange(n) % PERIOD]
+    at = np.flatnonzero(cover if wanted is None else cover & wanted)
     place = np.full(n + span + PERIOD, len(at), np.int64)  # beyond the text: one rank below all
     place[at] = np.arange(len(at))
 
@@ -368,12 +348,22 @@ def smallest_owner(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, len
     words = np.zeros(len(text) + length, np.uint64)
     for k in range(PERIOD):
         words = (words << np.uint64(8)) | padded[k : k + len(words)]
+    out = owners.copy()
+    # Suffixes whose first and last 8 bytes no other owner has are settled.
+    both = mixed(words[starts]) + words[starts + length - PERIOD]
+    order = np.lexsort((owners, both))
+    heads = run_starts(both[order])
+    sizes = np.diff(np.append(heads, len(order)))
+    several = owners[order[heads]] != owners[order[heads + sizes - 1]] if len(order) else np.empty(0, bool)
+    left = order[np.repeat(several, sizes)]
     span = length - PERIOD  # 8 bytes before the shared cover position, ``span`` from it, 8 at the end
-    ranks = cover_ranks(text, words, span)
+    reach = np.zeros(len(words) + 1, np.int32)
+    np.add.at(reach, starts[left], 1)
+    np.add.at(reach, starts[left] + length, -1)
+    ranks = cover_ranks(words, span, np.cumsum(reach[:-1]) > 0)
     shared = [[next(d for d in range(PERIOD) if (a + d) % PERIOD in COVER and (b + d) % PERIOD in COVER) for b in range(PERIOD)] for a in range(PERIOD)]
-    out = owners.copy()
-    order = np.argsort(words[starts], kind="stable")
-    heads = run_starts(words[starts][order])
+    order = left[np.argsort(words[starts[left]], kind="stable")]
+    heads = run_starts(words[starts[order]])
     at = 0
     while at < len(order):  # one block of whole prefixes at a time
         stop = np.searchsorted(heads, at + _BLOCK)
@@ -401,9 +391,9 @@ def smallest_owner(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, len
     return out
 
 
-def _sorted_bucket(length: int):
+def _sorted_bucket(targets: int, length: int):
     def work(table: pa.Table) -> pa.Table:
-        docs, lows, counts, text = _all(table.column("payload").to_pylist(), (np.int64, np.int32, np.int32, np.uint8))
+        docs, lows, counts, text = unpack(table.column("payload").to_pylist(), (np.int64, np.int32, np.int32, np.uint8))
         counts = counts.astype(np.int64)
         sizes = counts + length - 1
         first = np.cumsum(sizes) - sizes
@@ -411,7 +401,7 @@ def _sorted_bucket(length: int):
         owner = np.repeat(docs, counts)
         least = smallest_owner(text, np.repeat(first, counts) + step, owner, length)
         later = np.flatnonzero(least < owner)
-        return pa.Table.from_batches([place_lists(owner[later], (np.repeat(lows, counts) + step)[later])])
+        return pa.Table.from_batches([to_targets(0, targets, owner[later], (np.repeat(lows, counts) + step)[later])])
 
     return work
 
@@ -419,9 +409,8 @@ def _sorted_bucket(length: int):
 # --- the operator ---
 
 
-def _merged(pieces, places, length: int) -> list[tuple[int, int]]:
-    """Maximal [start, end) covered by repeated windows."""
-    spans = _intervals(pieces)
+def _merged(spans: np.ndarray, places: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """Maximal [start, end) covered by repeated windows: runs of them, and single ones."""
     lows = np.concatenate([spans[:, 0], places])
     highs = np.concatenate([spans.sum(1) + length - 1, places + length])
     if not len(lows):
@@ -432,68 +421,85 @@ def _merged(pieces, places, length: int) -> list[tuple[int, int]]:
     return list(zip(lows[np.append(0, cuts + 1)].tolist(), highs[np.append(cuts, len(lows) - 1)].tolist()))
 
 
-def _without(length: int):
+def _whole_letters(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs without the letters of which they hold a part only."""
+    out = []
+    for lo, hi in runs:
+        while lo < hi and text[lo] & 0xC0 == 0x80:
+            lo += 1
+        while lo < hi < len(text) and text[hi] & 0xC0 == 0x80:
+            hi -= 1
+        if lo < hi:
+            out.append((lo, hi))
+    return out
+
+
+def _without(length: int, as_text: bool, carried: bool):
+    names = ["doc_id", "kept", "n_bytes", "n_removed", "spans"] + ["rest"] * carried
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             kept, spans, sizes, removed = [], [], [], []
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for text, pieces, places in zip(texts, batch.column("pieces").to_pylist(), batch.column("places").to_pylist()):
                 text = text or b""
-                runs = _merged(pieces, joined_places(places), length)
+                runs = _merged(listed(pieces, 2), listed(places), length)
+                sizes.append(len(text))
+                removed.append(sum(hi - lo for lo, hi in runs))
+                spans.append([{"start": lo, "end": hi} for lo, hi in runs])
                 out, at = [], 0
-                for lo, hi in runs:
+                for lo, hi in _whole_letters(text, runs) if as_text else runs:
                     out.append(text[at:lo])
                     at = hi
                 out.append(text[at:])
                 kept.append(b"".join(out))
-                sizes.append(len(text))
-                removed.append(len(text) - len(kept[-1]))
-                spans.append([{"start": lo, "end": hi} for lo, hi in runs])
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+            rest = [batch.column("rest")] if carried else []
+            left = binary(kept).cast(pa.string()) if as_text else binary(kept)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text"), binary(kept), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.list_(span))],
-                ["doc_id", "text", "kept", "n_bytes", "n_removed", "spans"],
+                [batch.column("id"), left, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.list_(span)), *rest], names
             )
 
     return work
 
 
-def drop_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, popular: int = POPULAR) -> DataFrame:
+def drop_repeated_bytes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    popular: int = POPULAR,
+    as_text: bool = False,
+    carried: tuple[str, ...] = (),
+) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts in a smaller document.
 
-    Returns doc_id, text, kept (the other bytes), n_bytes, n_removed and spans (the maximal
-    removed runs, as byte offsets). Strings are judged on the input and never cross documents.
-    A null or empty text has no bytes. Ids should be unique; rows that share an id, or have
-    none, are ordered by their place in a written copy and count as different documents then.
-    Other columns are ignored; an empty table gives no row.
+    Returns doc_id, kept (the other bytes), n_bytes, n_removed and spans (the maximal removed
+    runs, as byte offsets). With ``as_text``, kept is a text that also has the letters of which
+    a run holds only a part. ``carried`` columns are returned in a column ``rest``. Strings are
+    judged on the input and never cross documents. A null or empty text has no bytes. Ids should
+    be unique; rows that share an id, or have none, are ordered by their place in a written copy
+    and count as different documents then. Other columns are ignored; an empty table gives no row.
     """
-    if not 2 * GRAM <= length <= 7 * PERIOD:
-        raise ValueError(f"length must be {2 * GRAM} to {7 * PERIOD}")
-    rows = keyed_rows(docs, id_col, text, "suffix-rows")
+    if not GRAM + PERIOD <= length:
+        raise ValueError(f"length must be at least {GRAM + PERIOD}")
+    rows = keyed_rows(docs, id_col, text, "suffix-rows", carried)
     buckets = buckets_for(rows)
-    sent, lists = "kind int, bucket int, payload binary", "kind int, doc_id long, places binary"
-    anchors = rows.select("row", "text").mapInArrow(_anchors(buckets, length), sent)
-    found = stage(anchors.groupBy("kind", "bucket").applyInArrow(_repeats_by_kind(popular), lists), "suffix-anchors")
-
-    def of(kind: int, name: str):
-        return F.collect_list(F.when(F.col("kind") == kind, F.col("places"))).alias(name)
-
-    per_doc = found.groupBy(F.col("doc_id").alias("row")).agg(of(_PIECES, "pieces"), of(_HITS, "hits"), of(_POPULAR, "popular"))
-    per_doc = per_doc.filter("size(hits) + size(popular) > 0")
+    anchors = rows.select("row", "text").mapInArrow(_anchors(buckets, length), "kind int, bucket int, payload binary")
+    found = stage(anchors.groupBy("kind", "bucket").applyInArrow(_repeats_by_kind(buckets, popular), LISTS), "suffix-anchors")
+    per_doc = place_lists(found, pieces=2, hits=1, popular=1).filter("length(hits) + length(popular) > 0")
     near = rows.select("row", "text").join(per_doc.hint("shuffle_hash"), "row")
-    contexts = stage(near.mapInArrow(_contexts(buckets * _FINER, length), f"{sent}, doc_id long, places binary"), "suffix-contexts")
-    sorted_ = contexts.filter("kind = 0").select("bucket", "payload").groupBy("bucket").applyInArrow(_sorted_bucket(length), "doc_id long, places binary")
-    windows = stage(sorted_.union(contexts.filter("kind = 1").select("doc_id", "places")), "suffix-windows")
-    removed = (
-        found.filter(F.col("kind") == _PIECES)
-        .select("doc_id", F.col("places").alias("piece"), F.lit(None).cast("binary").alias("place"))
-        .union(windows.select("doc_id", F.lit(None).cast("binary"), "places"))
-        .groupBy(F.col("doc_id").alias("row"))
-        .agg(F.collect_list("piece").alias("pieces"), F.collect_list("place").alias("places"))
-    )
+    contexts = stage(near.mapInArrow(_contexts(buckets * _FINER, buckets, length), f"bucket int, {LISTS}"), "suffix-contexts")
+    by_bucket = contexts.filter("bucket is not null").select("bucket", "payload").groupBy("bucket")
+    windows = by_bucket.applyInArrow(_sorted_bucket(buckets, length), LISTS)
+    windows = stage(windows.union(contexts.filter("bucket is null").select("kind", "target", "payload")), "suffix-windows")
+    pieces = found.filter(F.col("kind") == _PIECES)
+    removed = place_lists(pieces.union(windows.withColumn("kind", F.lit(_PIECES + 1))), pieces=2, places=1)
     joined = rows.join(removed.hint("shuffle_hash"), "row", "left")
+    kind = "string" if as_text else "binary"
+    rest = f", rest {rows.schema['rest'].dataType.simpleString()}" if carried else ""
     span = "spans array<struct<start:bigint,end:bigint>>"
-    return joined.mapInArrow(_without(length), f"doc_id long, text string, kept binary, n_bytes long, n_removed long, {span}")
+    return joined.mapInArrow(_without(length, as_text, bool(carried)), f"doc_id long, kept {kind}, n_bytes long, n_removed long, {span}{rest}")
 
 
 def op2_suffix_array(docs: DataFrame) -> DataFrame:

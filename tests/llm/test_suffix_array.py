@@ -61,7 +61,7 @@ def test_cover_ranks_and_blocks():
     data = np.frombuffer((A[:90] * 4 + B[:300] + A[:77] * 3).encode(), np.uint8)
     padded = np.append(data, np.zeros(60, np.uint8))
     words = np.array([int.from_bytes(padded[i : i + 8].tobytes(), "big") for i in range(len(data))], np.uint64)
-    ranks = cover_ranks(data, words, 42)
+    ranks = cover_ranks(words, 42)
     at = [i for i in range(len(data) - 42) if ranks[i] >= 0]
     assert [x for _, x in sorted((data[i : i + 42].tobytes(), i) for i in at)] == sorted(at, key=lambda i: (ranks[i], i))
     starts = np.arange(len(data) - 50)
