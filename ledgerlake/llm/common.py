@@ -35,11 +35,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
         return _stage(df, f"llm-{label}")
 
 
-def buckets_for(docs: DataFrame, column: str = "text", bucket_bytes: int = BUCKET_BYTES) -> int:
-    """Buckets so that each one holds the fingerprints of a bounded amount of text."""
+def buckets_for(docs: DataFrame, column: str = "text", finer: int = 1) -> tuple[int, int]:
+    """Buckets so that each one holds the fingerprints of a bounded amount of text, and of a
+    ``finer`` part of it."""
     total = docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(width, -(-total // bucket_bytes))
+    return max(width, -(-total // BUCKET_BYTES)), max(width, -(-total * finer // BUCKET_BYTES))
 
 
 def flat(array: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

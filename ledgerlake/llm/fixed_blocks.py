@@ -162,7 +162,7 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str =
     """
     block = (window + 1) // 2  # the largest block that every window holds whole
     rows = keyed_rows(docs, id_col, text, "blocks-rows")
-    buckets = buckets_for(rows)
+    buckets, _ = buckets_for(rows)
     sent = "bucket int, payload binary"
     probes = rows.select("row", "text").mapInArrow(_probes(buckets, block, window), sent)
     hits = stage(probes.groupBy("bucket").applyInArrow(_repeated(buckets, True), LISTS), "blocks-hits")

@@ -484,12 +484,12 @@ def drop_repeated_bytes(
     if not GRAM + PERIOD <= length:
         raise ValueError(f"length must be at least {GRAM + PERIOD}")
     rows = keyed_rows(docs, id_col, text, "suffix-rows", carried)
-    buckets = buckets_for(rows)
+    buckets, small = buckets_for(rows, finer=_FINER)
     anchors = rows.select("row", "text").mapInArrow(_anchors(buckets, length), "kind int, bucket int, payload binary")
     found = stage(anchors.groupBy("kind", "bucket").applyInArrow(_repeats_by_kind(buckets, popular), LISTS), "suffix-anchors")
     per_doc = place_lists(found, pieces=2, hits=1, popular=1).filter("length(hits) + length(popular) > 0")
     near = rows.select("row", "text").join(per_doc.hint("shuffle_hash"), "row")
-    contexts = stage(near.mapInArrow(_contexts(buckets * _FINER, buckets, length), f"bucket int, {LISTS}"), "suffix-contexts")
+    contexts = stage(near.mapInArrow(_contexts(small, buckets, length), f"bucket int, {LISTS}"), "suffix-contexts")
     by_bucket = contexts.filter("bucket is not null").select("bucket", "payload").groupBy("bucket")
     windows = by_bucket.applyInArrow(_sorted_bucket(buckets, length), LISTS)
     windows = stage(windows.union(contexts.filter("bucket is null").select("kind", "target", "payload")), "suffix-windows")
