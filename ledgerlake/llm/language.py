@@ -19,6 +19,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from ledgerlake.llm.common import seeded, steps
 
 DIMENSIONS = 1024
+_STEP = 1 << 20  # text bundled at once: several tables of trigrams and vectors belong to it
 _SPACE = 0
 _CACHE: dict = {}
 
@@ -76,9 +77,9 @@ def _bundles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     bound = np.roll(profiles, 2, 1)[kinds // size // size]
     bound *= np.roll(profiles, 1, 1)[kinds // size % size]
     bound *= profiles[kinds % size]
-    for at in range(0, len(texts), 256):  # bounded tables of counts
-        lo, hi = np.searchsorted(owner, (at, at + 256))
-        n = min(256, len(texts) - at)
+    for at in range(0, len(texts), 128):  # bounded tables of counts
+        lo, hi = np.searchsorted(owner, (at, at + 128))
+        n = min(128, len(texts) - at)
         own, inverse = _dense(gram[lo:hi], len(kinds))
         counts = np.bincount((owner[lo:hi] - at) * len(own) + inverse, minlength=n * len(own))
         out[at : at + n] = np.sqrt(counts.reshape(n, len(own))).astype(np.float32) @ bound[own]
@@ -95,7 +96,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", _STEP):
             langs = np.array(batch.column("lang").to_pylist(), object)
             vectors, _ = _bundles(batch.column("text").to_pylist())
             for name in set(langs):
@@ -125,7 +126,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     place = kept.index(text)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text):
+        for batch in steps(batches, text, _STEP):
             vectors, has_letter = _bundles([x or "" for x in batch.column(place).to_pylist()])
             cosines = np.clip(vectors.astype(np.float64) @ matrix.T, 0.0, 1.0)
             best = cosines.argmax(1)
