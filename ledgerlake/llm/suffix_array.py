@@ -213,19 +213,19 @@ class _ContextBox:
     def __init__(self, buckets: int, length: int):
         self.buckets, self.more, self.parts, self.bytes = buckets, length - 1, [], 0
 
-    def add(self, route: np.ndarray, docs: np.ndarray, lows: np.ndarray, counts: np.ndarray, text: np.ndarray) -> None:
-        self.parts.append((route, docs, lows.astype(np.int32), counts.astype(np.int32), text))
+    def add(self, route: np.ndarray, docs: np.ndarray, lows: np.ndarray, counts: np.ndarray, marks: np.ndarray, text: np.ndarray) -> None:
+        self.parts.append((route, docs, lows.astype(np.int32), counts.astype(np.int32), marks.astype(np.uint8), text))
         self.bytes += len(text)
 
     def batch(self) -> pa.RecordBatch:
         keys, payloads = [], []
         if self.parts:
-            route, docs, lows, counts, text = (np.concatenate(x) for x in zip(*self.parts))
+            route, docs, lows, counts, marks, text = (np.concatenate(x) for x in zip(*self.parts))
             sizes = counts.astype(np.int64) + self.more
             first = np.cumsum(sizes) - sizes
             for bucket, at in split_by(bucket_of(route, self.buckets)):
                 keys.append(bucket)
-                payloads.append(pack(docs[at], lows[at], counts[at], text[_ragged(first[at], sizes[at])]))
+                payloads.append(pack(docs[at], lows[at], counts[at], marks[at], text[_ragged(first[at], sizes[at])]))
         self.parts, self.bytes = [], 0
         nothing = pa.nulls(len(keys), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), nothing, nothing, binary(payloads)], _CONTEXT_NAMES)
@@ -267,7 +267,7 @@ def _contexts(buckets: int, targets: int, length: int):
                     cut[1:] = (x[1:] != x[:-1] + 1) | (a[1:] != a[:-1])
                     heads = np.flatnonzero(cut)
                     counts = np.diff(np.append(heads, len(x)))
-                    route = _route(texts.grams[a[heads]])
+                    route, marks = _route(texts.grams[a[heads]]), a[heads] - x[heads]
                 else:
                     whole = rolling(texts.values, length, _WINDOW_SEED)[x]
                     order = np.lexsort((ids[doc], whole))
@@ -279,10 +279,10 @@ def _contexts(buckets: int, targets: int, length: int):
                     yield pa.RecordBatch.from_arrays([pa.nulls(repeated.num_rows, pa.int32()), *repeated.columns], _CONTEXT_NAMES)
                     heads = np.sort(order[tops])
                     counts = np.ones(len(heads), np.int64)
-                    route = mixed(whole[heads])
+                    route, marks = mixed(whole[heads]), np.zeros(len(heads), np.int64)
                 lows = x[heads]
                 owner = texts.doc[lows]
-                box.add(route, ids[owner], lows - texts.offsets[owner], counts, texts.data[_ragged(lows, counts + length - 1)])
+                box.add(route, ids[owner], lows - texts.offsets[owner], counts, marks, texts.data[_ragged(lows, counts + length - 1)])
             if box.bytes > _FLUSH:
                 yield box.batch()
         yield box.batch()
@@ -342,8 +342,12 @@ def cover_ranks(words: np.ndarray, span: int, wanted: np.ndarray | None = None)
     return out
 
 
-def smallest_owner(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """For the suffix at each start, the smallest owner of a suffix with the same first ``length`` bytes."""
+def smallest_owner(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: int = LENGTH, aligned: bool = False) -> np.ndarray:
+    """For the suffix at each start, the smallest owner of a suffix with the same first ``length`` bytes.
+
+    ``aligned`` promises that such suffixes start at places of the same residue, so that only
+    ties within a residue need resolving.
+    """
     padded = np.append(text, np.zeros(length + PERIOD, np.uint8))
     words = np.zeros(len(text) + length, np.uint64)
     for k in range(PERIOD):
@@ -376,7 +380,7 @@ def smallest_owner(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, len
         residue = starts[mine] % PERIOD
         by = [np.flatnonzero(residue == r) for r in range(PERIOD)]
         for a in range(PERIOD):
-            for b in range(a, PERIOD):
+            for b in range(a, a + 1 if aligned else PERIOD):
                 both = by[a] if a == b else np.concatenate([by[a], by[b]])
                 if not len(both):
                     continue
@@ -393,13 +397,19 @@ def smallest_owner(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, len
 
 def _sorted_bucket(targets: int, length: int):
     def work(table: pa.Table) -> pa.Table:
-        docs, lows, counts, text = unpack(table.column("payload").to_pylist(), (np.int64, np.int32, np.int32, np.uint8))
+        kinds = (np.int64, np.int32, np.int32, np.uint8, np.uint8)
+        docs, lows, counts, marks, sent = unpack(table.column("payload").to_pylist(), kinds)
         counts = counts.astype(np.int64)
         sizes = counts + length - 1
-        first = np.cumsum(sizes) - sizes
+        # Laid out so that minimizers lie at multiples of the period: equal windows share a residue.
+        lead = (-marks.astype(np.int64)) % PERIOD
+        room = -(-(lead + sizes) // PERIOD) * PERIOD + PERIOD
+        first = np.cumsum(room) - room + lead
+        text = np.zeros(int(room.sum()), np.uint8)
+        text[_ragged(first, sizes)] = sent
         step = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
         owner = np.repeat(docs, counts)
-        least = smallest_owner(text, np.repeat(first, counts) + step, owner, length)
+        least = smallest_owner(text, np.repeat(first, counts) + step, owner, length, aligned=True)
         later = np.flatnonzero(least < owner)
         return pa.Table.from_batches([to_targets(0, targets, owner[later], (np.repeat(lows, counts) + step)[later])])
 

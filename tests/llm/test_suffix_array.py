@@ -70,4 +70,12 @@ def test_cover_ranks_and_blocks():
     for s, o in zip(starts, owners):
         key = data[s : s + 50].tobytes()
         least[key] = min(least.get(key, o), o)
-    assert smallest_owner(data, starts, owners).tolist() == [least[data[s : s + 50].tobytes()] for s in starts]
+    want = [least[data[s : s + 50].tobytes()] for s in starts]
+    assert smallest_owner(data, starts, owners).tolist() == want
+    same_residue = starts % 8 == 0
+    least = {}
+    for s, o in zip(starts[same_residue], owners[same_residue]):
+        key = data[s : s + 50].tobytes()
+        least[key] = min(least.get(key, o), o)
+    found = smallest_owner(data, starts[same_residue], owners[same_residue], aligned=True)
+    assert found.tolist() == [least[data[s : s + 50].tobytes()] for s in starts[same_residue]]
