@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import stage
+from ledgerlake.llm.common import numbered, odd_ids, stage
 from ledgerlake.llm.language import accepted_languages
 from ledgerlake.llm.ngram_join import near_duplicates
 from ledgerlake.llm.packing import pack_documents
@@ -28,12 +28,12 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: of each class of near duplicates the document of the smallest id stays.
 
-    Of rows that share an id, or have none, the first in a written copy counts as smaller.
+    Rows without an id count as larger than all others; of rows that share an id, or have none,
+    the first in a written copy counts as smaller.
     """
     docs = docs.select(*COLUMNS)
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
-    if ids.filter("n > 1 or doc_id is null").limit(1).count():
-        docs = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+    if odd_ids(docs, "doc_id"):
+        docs = numbered(docs, "doc_id", "_row", "pipeline-rows")
     else:
         docs = docs.withColumn("_row", F.col("doc_id"))
     first = near_duplicates(docs, id_col="_row").filter("is_first").select(F.col("doc_id").alias("_row"))

@@ -285,17 +285,34 @@ def listed(value: bytes | None, width: int = 1) -> np.ndarray:
     return numbers if width == 1 else numbers.reshape(-1, width)
 
 
+def odd_ids(docs: DataFrame, id_col: str) -> bool:
+    """Whether an id is null or repeats."""
+    ids = docs.select(F.col(id_col).cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    return bool(ids.filter("n > 1 or id is null").limit(1).count())
+
+
+def numbered(docs: DataFrame, id_col: str, name: str, label: str) -> DataFrame:
+    """``docs`` in a written copy with a unique number ``name`` that rises with the id.
+
+    Rows without an id come last; rows that share one follow their place in a first copy. The
+    range partitions hold the place, too, so rows of one id are spread over many tasks.
+    """
+    placed = stage(docs.withColumn("_place", F.monotonically_increasing_id()), label)
+    order = [F.col(id_col).cast("long").asc_nulls_last(), F.col("_place").asc()]
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stage(ordered.select(F.monotonically_increasing_id().alias(name), *docs.columns), label)
+
+
 def keyed_rows(docs: DataFrame, id_col: str, text: str, label: str, carried: tuple[str, ...] = ()) -> DataFrame:
-    """(row, id, text) with a ``row`` that is unique and the same in every scan.
+    """(row, id, text) with a ``row`` that is unique, the same in every scan and in id order.
 
-    The id itself serves where it is unique and not null; otherwise the rows are numbered
-    in a written copy, so that repeated rows stay apart. ``carried`` columns come along in
-    one column ``rest``, where their names clash with nothing.
+    The id itself serves where it is unique and not null; otherwise the rows are numbered in
+    id order in a written copy, so that repeated rows stay apart and the order of all others is
+    that of their ids. ``carried`` columns come along in one column ``rest``, where their names
+    clash with nothing.
     """
     rest = [F.struct(*carried).alias("rest")] if carried else []
-    ids = docs.select(F.col(id_col).cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
-    row = F.col(id_col).cast("long").alias("row")
-    own = [F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), *rest]
-    if ids.filter("n > 1 or id is null").limit(1).count():
-        return stage(docs.select(F.monotonically_increasing_id().alias("row"), *own), label)
-    return docs.select(row, *own)
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), *rest)
+    if odd_ids(docs, id_col):
+        return numbered(own, "id", "row", label)
+    return own.select(F.col("id").alias("row"), *own.columns)

@@ -278,9 +278,10 @@ def near_duplicates(
     Words end at ASCII white space and are compared unchanged. Two documents are linked if the
     Jaccard similarity of their shingle sets is at least ``least``; a class is a connected
     component of links and named by its smallest doc_id, whose row has ``is_first``. Texts of
-    one to four words have one shingle; null or empty texts have none and no link. Ids should be
-    unique: otherwise rows are numbered in a written copy and class_id is such a number. Other
-    columns are ignored; an empty table gives no row.
+    one to four words have one shingle; null or empty texts have none and no link. Rows that
+    share an id are documents of their own, the first in a written copy counts as smaller; rows
+    without an id count as larger than all others, so class_id is null where no member has one.
+    Other columns are ignored; an empty table gives no row.
     """
     base = keyed_rows(docs, id_col, text, "join-rows")
     width_conf = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -321,9 +322,16 @@ def near_duplicates(
     per_class = per_class.select(
         "a", "b", "n", F.coalesce("root", "node").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
     )
+    if sketch.filter("doc_id is null or doc_id != row").limit(1).count():
+        # Rows are numbered: a class gets the id of the row it is named by.
+        ids = sketch.select(F.col("row").alias("root"), F.col("doc_id").alias("root_id"))
+        per_class = per_class.join(ids, "root")
+    else:
+        per_class = per_class.withColumn("root_id", F.col("root"))
     own = sketch.select("row", "doc_id", "a", "b", "n").join(per_class, ["a", "b", "n"], "left")
-    class_id = F.coalesce("root", "row")
-    return own.select("doc_id", class_id.alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), (class_id == F.col("row")).alias("is_first"))
+    class_id = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("root_id"))
+    is_first = F.coalesce("root", "row") == F.col("row")
+    return own.select("doc_id", class_id.alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), is_first.alias("is_first"))
 
 
 def op7_ngram_join(docs: DataFrame) -> DataFrame:

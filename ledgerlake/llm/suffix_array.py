@@ -487,9 +487,9 @@ def drop_repeated_bytes(
     Returns doc_id, kept (the other bytes), n_bytes, n_removed and spans (the maximal removed
     runs, as byte offsets). With ``as_text``, kept is a text that also has the letters of which
     a run holds only a part. ``carried`` columns are returned in a column ``rest``. Strings are
-    judged on the input and never cross documents. A null or empty text has no bytes. Ids should
-    be unique; rows that share an id, or have none, are ordered by their place in a written copy
-    and count as different documents then. Other columns are ignored; an empty table gives no row.
+    judged on the input and never cross documents. A null or empty text has no bytes. Rows that
+    share an id count as different documents, ordered by their place in a written copy; so do
+    rows without an id, after all others. Other columns are ignored; an empty table gives no row.
     """
     if not GRAM + PERIOD <= length:
         raise ValueError(f"length must be at least {GRAM + PERIOD}")

@@ -86,6 +86,11 @@ def test_odd_documents_pass_every_stage(spark, frame):
         assert {r["doc_id"] for r in docs.collect()} <= {None, 4, 5, 6}
 
 
+def test_the_smallest_id_stays_beside_odd_rows(spark, frame):
+    rows = [(9, "one two three four five six"), (3, "one two three four five six"), (None, "one two three four five six"), (7, "a b"), (7, "c d")]
+    assert sorted(r["doc_id"] for r in cp.one_of_each(spark, frame(rows).repartition(1), SF).collect()) == [3, 7, 7]
+
+
 def test_run_is_registered():
     assert entry.queries()["pipeline"] is cp.run
     assert [name for name in entry.queries() if re.match(r"op\d+_", name)] and cp.ORACLE_SQL is None

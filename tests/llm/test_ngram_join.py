@@ -55,6 +55,15 @@ def test_empty_table_repeated_ids_and_clashing_columns(frame):
     assert sorted((r["n_links"], r["is_first"]) for r in out) == [(0, True), (1, False), (1, True)]
 
 
+def test_odd_ids_leave_the_names_of_other_classes(frame):
+    rows = CASES["copies and near copies"]
+    out = near_duplicates(frame([*rows, (50, "x y z"), (50, "u v w"), (None, "k l m"), (None, " ".join(BASE))])).collect()
+    want = similar(rows)
+    assert {r["doc_id"]: r["class_id"] for r in out if (r["doc_id"] or 50) != 50} == {i: c for i, (c, _) in want.items()}
+    assert {r["doc_id"] for r in out if r["is_first"]} == {c for c, _ in want.values()} | {50, None}
+    assert sorted(r["class_id"] or 0 for r in out if r["doc_id"] is None) == [0, want[4][0]]
+
+
 def test_pruning_keeps_likely_pairs_and_drops_others():
     assert least_matches(32, 0.8, 1e-6) < 0.6 * 32
     assert least_matches(200, 0.8, 1e-6) > 0.6 * 200

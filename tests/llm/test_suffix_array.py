@@ -51,6 +51,14 @@ def test_repeated_ids_stay_apart(frame):
     assert sorted(r["n_removed"] for r in out) == [0, 100, 400]
 
 
+def test_odd_ids_leave_the_order_of_the_others(frame):
+    rows = [(9, A), (7, text(3, 80)), (None, A), (3, A[:200]), (7, text(4, 80)), (2, A[100:300])]
+    out = op2_suffix_array(frame(rows).repartition(1)).collect()
+    gone = {r["doc_id"]: r["n_removed"] for r in out if r["doc_id"] != 7}
+    assert gone == {9: 300, None: 400, 3: 100, 2: 0}
+    assert [r["n_removed"] for r in out if r["doc_id"] == 7] == [0, 0]
+
+
 def test_empty_table_and_clashing_columns(frame):
     assert op2_suffix_array(frame([])).collect() == []
     clash = frame(CASES["shifted"]).selectExpr("*", "1 AS row", "2 AS places", "3 AS bucket", "4 AS kind", "5 AS id")
