@@ -4,7 +4,8 @@ Vectors are scaled to length 1, so cosine and Euclidean distance order them alik
 hashes a vector to floor((a.v + b) / w) in a few Gaussian directions a. A query visits, in
 every table, the perturbed buckets of highest estimated success: the chance, by how close the
 query lies to each slot's edges, that a neighbour at the expected distance falls there. What
-the tables yield is merged and ranked by exact cosine.
+the tables yield is merged and ranked by exact cosine. A query that found fewer than were
+asked for, though there are more candidates, is compared with every vector, in blocks.
 
 Equal vectors are one entry with their smallest ids, so a very common vector costs one row. A
 bucket with too many different vectors is cut into parts that get the same probes.
@@ -147,7 +148,10 @@ def _probed(hashes: Hashes, kind: str, parts: int, probes: int):
 
 
 def _ranked(kind: str, nearest: int):
-    """Exact cosine of what the probes of each query find in this part of a table."""
+    """Exact cosine of what the probes of each query find in this part of a table.
+
+    Probes without codes visit all of it.
+    """
 
     def work(table: pa.Table) -> pa.Table:
         role = table.column("kind").to_numpy()
@@ -163,28 +167,69 @@ def _ranked(kind: str, nearest: int):
             queries = _matrix(probes.column("v"), kind)
             query_units = _unit(queries)
             for i, ([own], wanted) in enumerate(zip(probes.column("ids").to_pylist(), probes.column("codes").to_pylist())):
-                lo, hi = np.searchsorted(codes, wanted), np.searchsorted(codes, wanted, "right")
-                found = [np.arange(a, b) for a, b in zip(lo, hi) if b > a]
-                if not found:
-                    continue
-                at = np.concatenate(found)
-                near = unit[at] @ query_units[i]
-                if len(at) > nearest + 1:  # one more than asked for, as the query itself may be among them
-                    at = at[near >= np.partition(near, -nearest - 1)[-nearest - 1] - 1e-9]
+                if wanted is None:
+                    everywhere, near = np.arange(len(unit)), unit @ query_units[i]
+                else:
+                    lo, hi = np.searchsorted(codes, wanted), np.searchsorted(codes, wanted, "right")
+                    found = [np.arange(a, b) for a, b in zip(lo, hi) if b > a]
+                    if not found:
+                        continue
+                    everywhere = np.concatenate(found)
+                    near = unit[everywhere] @ query_units[i]
                 q = queries[i]
                 length = np.sqrt((q * q).sum())
-                with np.errstate(over="ignore", invalid="ignore"):
-                    scores = (vectors[at] * q).sum(1) / (lengths[at] * length)
-                odd = ~np.isfinite(scores) | (lengths[at] == 0)
-                scores[odd] = (unit[at[odd]] * query_units[i]).sum(1)
-                best = sorted((-s, x) for s, place in zip(scores.tolist(), order[at].tolist()) for x in ids[place] if x != own)
-                out += [(own, x, -s) for s, x in best[:nearest]]
+                most = nearest + 1  # one more than asked for, as the query itself may be among them
+                while True:
+                    at = everywhere
+                    if len(at) > most:
+                        at = at[near >= np.partition(near, -most)[-most] - 1e-9]
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        scores = (vectors[at] * q).sum(1) / (lengths[at] * length)
+                    odd = ~np.isfinite(scores) | (lengths[at] == 0)
+                    scores[odd] = (unit[at[odd]] * query_units[i]).sum(1)
+                    best: dict[int, float] = {}  # each id with its best score
+                    for s, x in sorted((-s, x) for s, place in zip(scores.tolist(), order[at].tolist()) for x in ids[place] if x != own):
+                        best.setdefault(x, -s)
+                    if len(best) >= nearest or len(at) == len(everywhere):
+                        break
+                    most *= 4  # ids repeat with different vectors
+                out += [(own, x, s) for x, s in list(best.items())[:nearest]]
         columns = list(zip(*out)) or [(), (), ()]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
 
     return work
 
 
+_FOUND = "query_id long, vec_id long, score double"
+
+
+def _best(found: DataFrame, nearest: int) -> DataFrame:
+    merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return merged.withColumn("rank", rank).filter(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
+
+
+def _compared_with_all(index: DataFrame, asked: DataFrame, kind: str, nearest: int, parts: int, group_rows: int) -> DataFrame:
+    """What each asked query finds among all vectors: blocks of vectors against blocks of queries."""
+    sets = max(1, -(-asked.count() // group_rows))
+    none, no_codes = F.lit(None).cast("long"), F.lit(None).cast("array<long>")
+    part = F.pmod(F.xxhash64("v"), F.lit(parts)).cast("int")
+    entries = index.select(F.lit(0).alias("kind"), part.alias("part"), F.lit(0).cast("long").alias("code"), "ids", no_codes.alias("codes"), "v")
+    entries = entries.withColumn("cut", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))))
+
+    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(kind)
+            rows = flat.reshape(batch.num_rows, -1) if batch.num_rows else flat.reshape(0, 1)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), binary([x.tobytes() for x in rows])], ["id", "v"])
+
+    queries = asked.select("id", "v").mapInArrow(raw, "id long, v binary").withColumn("cut", F.pmod(F.xxhash64("id", "v"), F.lit(sets)).cast("int"))
+    sent = queries.select(
+        F.lit(1).alias("kind"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), none.alias("code"), F.array("id").alias("ids"), no_codes.alias("codes"), "v", "cut"
+    )
+    return entries.unionByName(sent).groupBy("part", "cut").applyInArrow(_ranked(kind, nearest), _FOUND)
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     queries: Column,
@@ -196,6 +241,7 @@ def nearest_neighbours(
 ) -> DataFrame:
     """The ``nearest`` rows found for every row that ``queries`` selects: query_id, rank, vec_id, score.
 
+    A query gets fewer only if the table has fewer candidates.
     Every vector is indexed; the directions are drawn, not fitted. A query's own id is no
     candidate. Ties go to the smaller vec_id. Null ids, and vectors that are null, zero, not of
     the table's usual length, or hold a null or non-finite number take no part. Rows that
@@ -220,10 +266,15 @@ def nearest_neighbours(
     cuts_of = F.coalesce("cuts", F.lit(1))
     entries = entries.join(cuts, "part", "left").withColumn("cut", F.pmod(F.xxhash64("v"), cuts_of).cast("int")).drop("cuts")
     sent = sent.join(cuts, "part", "left").withColumn("cut", F.explode(F.sequence(F.lit(0), cuts_of - 1))).drop("cuts")
-    found = entries.unionByName(sent).groupBy("part", "cut").applyInArrow(_ranked(kind, nearest), "query_id long, vec_id long, score double")
-    merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return merged.withColumn("rank", rank).filter(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
+    found = entries.unionByName(sent).groupBy("part", "cut").applyInArrow(_ranked(kind, nearest), _FOUND)
+    best = stage(_best(found, nearest), "ann-best")
+    # Queries with fewer than there are: no bucket they visit holds the others.
+    wanted = min(nearest, usable.select("id").distinct().limit(nearest + 1).count() - 1)
+    counts = best.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n"))
+    short = stage(asked.join(counts, "id", "left").filter(F.coalesce("n", F.lit(0)) < wanted).select("id", "v"), "ann-short")
+    if not short.limit(1).count():
+        return best
+    return _best(best.drop("rank").unionByName(_compared_with_all(index, short, kind, nearest, parts, group_rows)), nearest)
 
 
 def op4_multiprobe_lsh(embeddings: DataFrame) -> DataFrame:

@@ -66,3 +66,19 @@ def test_cut_parts_give_the_same(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     whole = found(nearest_neighbours(table, F.col("id") % 50 == 0))
     assert found(nearest_neighbours(table, F.col("id") % 50 == 0, group_rows=20)) == whole
+
+
+def test_far_candidates_are_found_where_there_are_few(spark):
+    rng = np.random.default_rng(8)
+    q, other = rng.normal(size=(2, 64)).astype(np.float32).tolist()
+    spread = [(50 * i, v) for i, v in enumerate(rng.normal(size=(4, 64)).astype(np.float32).tolist())]
+    spread += [(i + 1, [-x for x in v]) for i, v in spread[:2]]
+    opposite = [(0, q), (1, [-x for x in q])]
+    copies = [(0, q), (50, other)] + [(100 + i, [-x for x in q]) for i in range(300)]
+    again = [(0, q)] + [(1, [x + i / 100 for x in q]) for i in range(40)] + [(2 + i, [-x for x in q]) for i in range(5)]
+    for rows in (opposite, spread[:3], spread, copies):  # at most five candidates, or copies
+        df = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA)
+        want = {i: [x for x, _ in best] for i, best in exact(rows).items()}
+        assert {i: [x for x, _, _ in best] for i, best in found(op4_multiprobe_lsh(df)).items()} == want
+    got = found(nearest_neighbours(spark.createDataFrame([(i, v, 1) for i, v in again], SCHEMA), F.col("id") == 0, group_rows=3))
+    assert [x for x, _, _ in got[0]] == [1, 2, 3, 4, 5]
