@@ -6,6 +6,9 @@ of the test items are joined with those of every place of every document. A hit
 diagonal (a place in the document for each token of the item), on which the overlap is
 verified token by token, substitutions allowed.
 
+An item of fewer than 15 tokens has its own few seeds: they leave out, in turn, each part that
+its allowed substitutions could hit, so one of them always holds. Its whole diagonal is judged.
+
 The test side is taken in blocks of bounded size; each block goes to all tasks and the
 documents are scanned once for it, without a shuffle.
 """
@@ -21,10 +24,28 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import flat, hashed_words, seeded, stage, steps, words_of
+from ledgerlake.llm.common import flat, hashed_words, run_starts, seeded, stage, steps, words_of
 
 #: Five tokens each; 0 is a place that is ignored.
 MASKS = ("11111", "1101011", "1011101", "11100101")
+#: For items below 15 tokens: masks and their places in the item, one of which avoids the
+#: substitutions that SHORT_SHARE allows (none up to 4 tokens, one up to 9, two up to 14).
+SHORT_SEEDS = {
+    1: (("1", 0),),
+    2: (("11", 0),),
+    3: (("111", 0),),
+    4: (("1111", 0),),
+    5: (("1111", 0), ("1111", 1), ("10111", 0), ("11011", 0), ("11101", 0)),
+    6: (("1111", 0), ("1111", 2), ("110011", 0)),
+    7: (("11111", 0), ("11111", 2), ("1100011", 0)),
+    8: (("1111", 0), ("1111", 4)),
+    9: (("1111", 0), ("11111", 4)),
+    10: (("111", 0), ("111", 3), ("1111", 6)),
+    11: (("111", 0), ("1111", 3), ("1111", 7)),
+    12: (("1111", 0), ("1111", 4), ("1111", 8)),
+    13: (("1111", 0), ("1111", 4), ("11111", 8)),
+    14: (("1111", 0), ("11111", 4), ("11111", 9)),
+}
 BLOCK_BYTES = 2 << 20  # text of the test items searched for in one scan
 #: Tokens that must agree; a shorter item must agree in SHORT_SHARE of its tokens.
 LEAST_TOKENS, SHORT_SHARE = 12, 0.8
@@ -42,18 +63,43 @@ def _separators() -> np.ndarray:
     return table
 
 
+#: Code points of scripts written without spaces, with their punctuation and full-width forms:
+#: Thai to Tibetan, Myanmar, Khmer, Tai, kana and Han, Yi, compatibility and full-width, rare Han.
+UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x312F), (0x31A0, 0xA4CF),
+    (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFE30, 0xFE4F), (0xFF00, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+)
+
+
+def _unspaced_letters(data: np.ndarray) -> np.ndarray:
+    """The first byte and the byte after each letter of a script without spaces, in UTF-8."""
+    edges = [np.empty(0, np.int64)]
+    lead = np.flatnonzero(data >= 0xE0)
+    for size, at in ((3, lead[data[lead] < 0xF0]), (4, lead[data[lead] >= 0xF0])):
+        code = data[at].astype(np.int32) & (0x0F if size == 3 else 0x07)
+        for k in range(1, size):
+            code = code << 6 | data[at + k] & 0x3F
+        place = np.searchsorted(np.array(UNSPACED).ravel(), code, "right")
+        inside = place % 2 == 1
+        inside |= np.isin(code, [high for _, high in UNSPACED])
+        edges += [at[inside], at[inside] + size]
+    return np.concatenate(edges)
+
+
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of the lower-cased tokens, and each text's first one."""
+    """Fingerprints of the lower-cased tokens, and each text's first one.
+
+    A letter of a script without spaces is a token of its own.
+    """
     data, offsets = flat(pc.utf8_lower(column))
-    starts, ends, first = words_of(data, offsets, _separators())
-    return hashed_words(data, starts, ends, _TOKEN_SEED), first
+    starts, ends, _ = words_of(data, np.append(offsets, _unspaced_letters(data)), _separators())
+    return hashed_words(data, starts, ends, _TOKEN_SEED), np.searchsorted(starts, offsets)
 
 
-def _seeds(tokens: np.ndarray, number: int) -> np.ndarray:
+def _seeds(tokens: np.ndarray, mask: str) -> np.ndarray:
     """The seed of a mask at every place where the mask fits."""
-    mask = MASKS[number]
     n = max(0, len(tokens) - len(mask) + 1)
-    out = np.full(n, seeded(_SEED_SEED + number, 1)[0])
+    out = np.full(n, seeded(_SEED_SEED + int("1" + mask, 2), 1)[0])
     for p, bit in enumerate(mask):
         if bit == "1":
             out = (out ^ tokens[p : p + n]) * np.uint64(0x9FB21C651E98DF25)
@@ -70,53 +116,78 @@ class TestItems:
     ids: list
     tokens: np.ndarray
     first: np.ndarray
-    seeds: list[np.ndarray]
-    places: list[np.ndarray]  # token number of each seed
-    sieve: list[np.ndarray]
+    seeds: dict[str, np.ndarray]
+    places: dict[str, np.ndarray]  # token number of each seed
+    sieve: dict[str, np.ndarray]
 
     @classmethod
     def of(cls, rows: list[tuple]) -> TestItems:
         tokens, first = _tokens(pa.array([text for _, text in rows], pa.string()))
-        item = np.repeat(np.arange(len(rows)), np.diff(first))
-        out = cls([i for i, _ in rows], tokens, first, [], [], [])
-        for number, mask in enumerate(MASKS):
-            seeds = _seeds(tokens, number)
-            at = np.arange(len(seeds))
-            at = at[at + len(mask) <= first[item[at] + 1]]
+        sizes = np.diff(first)
+        item = np.repeat(np.arange(len(rows)), sizes)
+        out = cls([i for i, _ in rows], tokens, first, {}, {}, {})
+        wanted: dict[str, list[np.ndarray]] = {}
+        for mask in MASKS:
+            at = np.flatnonzero(sizes[item] > max(SHORT_SEEDS))
+            wanted[mask] = [at[at + len(mask) <= first[item[at] + 1]]]
+        for size, fitted in SHORT_SEEDS.items():
+            mine = first[:-1][sizes == size]
+            for mask, place in fitted:
+                wanted.setdefault(mask, []).append(mine + place)
+        for mask, places in wanted.items():
+            at = np.unique(np.concatenate(places))
+            if not len(at):
+                continue
+            seeds = _seeds(tokens, mask)
             order = at[np.argsort(seeds[at], kind="stable")]
             sieve = np.zeros(1 << _SIEVE_BITS, bool)
             sieve[seeds[order] & np.uint64((1 << _SIEVE_BITS) - 1)] = True
-            out.seeds.append(seeds[order])
-            out.places.append(order)
-            out.sieve.append(sieve)
+            out.seeds[mask], out.places[mask], out.sieve[mask] = seeds[order], order, sieve
         return out
 
-    def overlaps(self, tokens: np.ndarray, first: np.ndarray) -> list[tuple]:
-        """(document, item, document token, item token, length, agreeing) for every verified overlap."""
-        found = []
+    def _diagonals(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """(document, item, shift of the item's token numbers) of all hits, each once."""
+        found = [np.empty((0, 3), np.int64)]
         owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        for number, mask in enumerate(MASKS):
-            seeds = _seeds(tokens, number)
-            at = np.flatnonzero(self.sieve[number][seeds & np.uint64((1 << _SIEVE_BITS) - 1)])
+        for mask, sieve in self.sieve.items():
+            seeds = _seeds(tokens, mask)
+            at = np.flatnonzero(sieve[seeds & np.uint64((1 << _SIEVE_BITS) - 1)])
             at = at[at + len(mask) <= first[owner[at] + 1]] if len(at) else at
-            lo = np.searchsorted(self.seeds[number], seeds[at])
-            hi = np.searchsorted(self.seeds[number], seeds[at], "right")
+            lo = np.searchsorted(self.seeds[mask], seeds[at])
+            hi = np.searchsorted(self.seeds[mask], seeds[at], "right")
             counts = hi - lo
             at = np.repeat(at, counts)
             step = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
-            theirs = self.places[number][np.repeat(lo, counts) + step]
+            theirs = self.places[mask][np.repeat(lo, counts) + step]
             found.append(np.stack([owner[at], np.searchsorted(self.first, theirs, "right") - 1, at - theirs], 1))
-        diagonals = np.unique(np.concatenate(found), axis=0)
+        rows = np.concatenate(found)
+        rows = rows[np.lexsort(rows.T[::-1])]
+        return rows[run_starts(*rows.T)]
+
+    def overlaps(self, tokens: np.ndarray, first: np.ndarray) -> list[tuple]:
+        """(document, item, document token, item token, length, agreeing) for every verified overlap."""
+        diagonals = self._diagonals(tokens, first)
+        sizes = np.diff(self.first)[diagonals[:, 1]]
         out = []
-        for doc, item, shift in diagonals.tolist():
+        for doc, item, shift in diagonals[sizes > max(SHORT_SEEDS)].tolist():
             low = max(self.first[item], first[doc] - shift)
             high = min(self.first[item + 1], first[doc + 1] - shift)
             same = self.tokens[low:high] == tokens[low + shift : high + shift]
             lo, hi = _best_segment(same)
             agreeing = int(same[lo:hi].sum())
-            total = int(self.first[item + 1] - self.first[item])
-            if agreeing >= min(LEAST_TOKENS, SHORT_SHARE * total):
+            if agreeing >= LEAST_TOKENS:
                 out.append((doc, item, int(low + lo + shift - first[doc]), int(low + lo - self.first[item]), hi - lo, agreeing))
+        for size in np.unique(sizes[sizes <= max(SHORT_SEEDS)]):  # all diagonals of one length at once
+            doc, item, shift = diagonals[sizes == size].T
+            own = self.first[item][:, None] + np.arange(size)
+            there = own + shift[:, None]
+            inside = (there >= first[doc][:, None]) & (there < first[doc + 1][:, None])
+            same = inside & (self.tokens[own] == tokens[np.where(inside, there, 0)])
+            agreeing = same.sum(1)
+            lo, hi = same.argmax(1), size - same[:, ::-1].argmax(1)
+            start = self.first[item] + lo + shift - first[doc]
+            good = agreeing >= SHORT_SHARE * size
+            out += list(zip(*(x[good].tolist() for x in (doc, item, start, lo, hi - lo, agreeing))))
         return out
 
 
@@ -143,9 +214,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """Every verified overlap: doc_id, item_id, doc_start, item_start, length, agreeing (in tokens).
 
     An overlap needs LEAST_TOKENS agreeing tokens, or SHORT_SHARE of an item that has fewer
-    than that would be. Tokens are lower-cased runs of letters and digits. Items or documents
-    without text overlap nothing; an item shorter than the shortest mask cannot be found.
-    Repeated rows are judged one by one; other columns are ignored; empty tables give no row.
+    than that would be, in any place of it. Tokens are lower-cased runs of letters and digits, and
+    the single letters of scripts without spaces. An item of one to four tokens must be there
+    whole; items or documents without tokens overlap nothing. Repeated rows are judged one by one; other columns are ignored; empty tables give no row.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     names = ["doc_id", "item_id", "doc_start", "item_start", "length", "agreeing"]

@@ -92,3 +92,33 @@ def test_empty_tables_and_clashing_columns(spark, frame, empty):
     docs, benchmark = (docs.limit(0), benchmark) if empty == "docs" else (docs, benchmark.limit(0))
     assert overlaps(docs, benchmark).collect() == []
     assert without_overlap(docs, benchmark).count() == docs.count()
+
+
+def pairs(spark, frame, docs, items):
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in op5_spaced_seeds(frame(docs), benchmark).collect()}
+
+
+def test_short_items_are_found_wherever_their_substitutions_lie(spark, frame):
+    items, docs, want = [], [], set()
+    for n in range(1, 15):
+        words = [f"item{n}word{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        allowed = 0 if n < 5 else 1 if n < 10 else 2
+        for i in range(n + 1):
+            for j in range(i, n + 1):  # n stands for no substitution
+                doc = len(docs)
+                changed = {i, j} - {n}
+                docs.append((doc, " ".join(["before"] + ["x" if k in changed else w for k, w in enumerate(words)] + ["after"])))
+                if len(changed) <= allowed:
+                    want.add((doc, n))
+        edge = len(docs)  # the text ends or begins within the item
+        docs += [(edge, " ".join(words[allowed:])), (edge + 1, " ".join(words[: n - allowed]))]
+        want |= {(edge, n), (edge + 1, n)}
+    assert pairs(spark, frame, docs, items) == want
+
+
+def test_scripts_without_spaces(spark, frame):
+    items = [(1, "什么是最小的素数"), (2, "ประเทศไทยมีกี่จังหวัด"), (3, "東京はどこにありますか"), (4, "𠀀𠀁𠀂"), (5, "большой дом")]
+    docs = [(i, f"前面的话{t}後の文ต่อ") for i, t in items] + [(9, "什么是最大的素数"), (10, "什么东西"), (11, "ein большой дом, ja")]
+    assert pairs(spark, frame, docs, items) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (9, 1), (11, 5)}
