@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.llm.contract_sql import filter_audit_sql
+from ledgerlake.llm.filter_audit import op13_filter_audit
 from ledgerlake.llm.fixed_blocks import op8_fixed_blocks
 from ledgerlake.llm.html_mincut import op1_html_mincut
 from ledgerlake.llm.kd_shards import op10_kd_shards
@@ -29,6 +31,7 @@ OPERATORS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op8_fixed_blocks": (op8_fixed_blocks, ("documents",)),
     "op9_packing": (op9_packing, ("documents",)),
     "op10_kd_shards": (op10_kd_shards, ("documents",)),
+    "op13_filter_audit": (op13_filter_audit, ("documents", "labels")),
 }
 
 
@@ -37,5 +40,5 @@ def _query(operator: Callable[..., DataFrame], tables: tuple[str, ...]) -> Calla
 
 
 QUERIES = {name: _query(*x) for name, x in OPERATORS.items()}
-#: None of these operators can be written in SQL over whole tables; tests/llm holds brute-force versions.
-SQL: dict[str, str] = {}
+#: What SQL can state over whole tables; tests/llm holds brute-force versions of the others.
+SQL: dict[str, str] = {"op13_filter_audit": filter_audit_sql()}
