@@ -49,3 +49,51 @@ SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed:
        unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
        (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
 FROM counts"""
+
+
+def prefix_trie_sql() -> str:
+    """Prefixes as lists of turns; a node's subtree holds every node that has it among its ancestors."""
+    # CRC-32 of the ASCII bytes of a decimal number, bit by bit.
+    rounds = "list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc32 = (
+        "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda z: ascii(z)::BIGINT)), "
+        f"lambda crc, byte: {rounds}), 4294967295)"
+    )
+    return f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {crc32} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+    SELECT c.conv_id, 0 AS seg, p, role, text FROM convs c JOIN turns t ON t.conv_id = c.base WHERE p <= h
+    UNION ALL
+    SELECT t.conv_id, 1, p, role, text FROM turns t JOIN convs c ON c.conv_id = t.conv_id WHERE p > h),
+numbered AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY seg, p) AS depth FROM rebuilt),
+members AS (
+    SELECT conv_id, depth, length(text) AS chars,
+           list(sha256(length(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY depth) AS prefix
+    FROM numbered
+    UNION ALL SELECT conv_id, 0, 0, [] FROM convs),
+nodes AS (SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM members GROUP BY prefix, depth),
+named AS (SELECT m.conv_id AS member, n.depth, n.conv_id FROM members m JOIN nodes n USING (prefix)),
+above AS (
+    SELECT n.conv_id, n.depth, a.conv_id AS top_id, a.depth AS top, n.n_convs, n.chars
+    FROM nodes n JOIN named a ON a.member = n.conv_id AND a.depth <= n.depth),
+children AS (SELECT top_id AS conv_id, top AS depth, count(*) AS n_children FROM above WHERE top = depth - 1 GROUP BY 1, 2),
+leaves AS (SELECT conv_id, depth FROM nodes ANTI JOIN children USING (conv_id, depth)),
+subtrees AS (
+    SELECT top_id AS conv_id, top AS depth, count(l.conv_id) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+    FROM above a LEFT JOIN leaves l ON l.conv_id = a.conv_id AND l.depth = a.depth GROUP BY 1, 2),
+ends AS (
+    SELECT n.conv_id, n.depth, sha256(string_agg(member::VARCHAR, ',' ORDER BY member)) AS ends_sha256
+    FROM named n JOIN (SELECT conv_id AS member, max(depth) AS depth FROM members GROUP BY 1) USING (member, depth)
+    GROUP BY 1, 2)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.top_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n
+JOIN subtrees s ON s.conv_id = n.conv_id AND s.depth = n.depth
+LEFT JOIN above p ON p.conv_id = n.conv_id AND p.depth = n.depth AND p.top = n.depth - 1
+LEFT JOIN children c ON c.conv_id = n.conv_id AND c.depth = n.depth
+LEFT JOIN ends e ON e.conv_id = n.conv_id AND e.depth = n.depth"""

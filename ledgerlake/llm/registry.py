@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm.contract_sql import filter_audit_sql
+from ledgerlake.llm.contract_sql import filter_audit_sql, prefix_trie_sql
 from ledgerlake.llm.filter_audit import op13_filter_audit
 from ledgerlake.llm.fixed_blocks import op8_fixed_blocks
 from ledgerlake.llm.html_mincut import op1_html_mincut
@@ -15,6 +15,7 @@ from ledgerlake.llm.language import op6_language
 from ledgerlake.llm.multiprobe_lsh import op4_multiprobe_lsh
 from ledgerlake.llm.ngram_join import op7_ngram_join
 from ledgerlake.llm.packing import op9_packing
+from ledgerlake.llm.prefix_trie import op11_prefix_trie
 from ledgerlake.llm.spaced_seeds import op5_spaced_seeds
 from ledgerlake.llm.suffix_array import op2_suffix_array
 from ledgerlake.llm.url_markov import op3_url_markov
@@ -31,6 +32,7 @@ OPERATORS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op8_fixed_blocks": (op8_fixed_blocks, ("documents",)),
     "op9_packing": (op9_packing, ("documents",)),
     "op10_kd_shards": (op10_kd_shards, ("documents",)),
+    "op11_prefix_trie": (op11_prefix_trie, ("conversations",)),
     "op13_filter_audit": (op13_filter_audit, ("documents", "labels")),
 }
 
@@ -41,4 +43,4 @@ def _query(operator: Callable[..., DataFrame], tables: tuple[str, ...]) -> Calla
 
 QUERIES = {name: _query(*x) for name, x in OPERATORS.items()}
 #: What SQL can state over whole tables; tests/llm holds brute-force versions of the others.
-SQL: dict[str, str] = {"op13_filter_audit": filter_audit_sql()}
+SQL: dict[str, str] = {"op11_prefix_trie": prefix_trie_sql(), "op13_filter_audit": filter_audit_sql()}
