@@ -15,6 +15,7 @@ from ledgerlake.llm.language import op6_language
 from ledgerlake.llm.multiprobe_lsh import op4_multiprobe_lsh
 from ledgerlake.llm.ngram_join import op7_ngram_join
 from ledgerlake.llm.packing import op9_packing
+from ledgerlake.llm.pii_bootstrap import op12_pii_bootstrap
 from ledgerlake.llm.prefix_trie import op11_prefix_trie
 from ledgerlake.llm.spaced_seeds import op5_spaced_seeds
 from ledgerlake.llm.suffix_array import op2_suffix_array
@@ -33,6 +34,7 @@ OPERATORS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op9_packing": (op9_packing, ("documents",)),
     "op10_kd_shards": (op10_kd_shards, ("documents",)),
     "op11_prefix_trie": (op11_prefix_trie, ("conversations",)),
+    "op12_pii_bootstrap": (op12_pii_bootstrap, ("documents",)),
     "op13_filter_audit": (op13_filter_audit, ("documents", "labels")),
 }
 
