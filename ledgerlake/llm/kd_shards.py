@@ -17,17 +17,16 @@ _TIE_BITS = 43
 _COORDINATE = (1 << 20) - 1
 _SHIFTS = (50, 37, 24, 11, 0)
 _TASK_BITS = 33
-#: Copies that weigh more than this part of a shard may be split among shards.
-HEAVY_PART = 0.05
 
 
-def text_metadata(lang: str = "lang", n_chars: str = "n_chars", text: str = "text") -> dict[str, Column]:
-    """Dimensions of a document that do not differ between copies of one text."""
+def text_metadata(text: str = "text") -> dict[str, Column]:
+    """Dimensions of a document taken from its text alone, so copies of a text share them all."""
     body = F.coalesce(F.col(text), F.lit(""))
+    chars = F.length(body)
     return {
         "size": F.log2(F.octet_length(body) + 1.0),
-        "n_chars": F.log2(F.greatest(F.coalesce(F.col(n_chars), F.length(body)), F.lit(0)) + 1.0),
-        "lang": (F.crc32(F.coalesce(F.col(lang), F.lit("")).cast("binary")) % 65536).cast("double"),
+        "width": (F.octet_length(body) + 1.0) / (chars + 1.0),  # bytes a character: the script
+        "word": (chars + 1.0) / (chars - F.length(F.replace(body, F.lit(" "))) + 1.0),  # characters a word
     }
 
 
@@ -43,11 +42,11 @@ def kd_shards(
 
     Give the number of ``shards``, or None and the ``target_bytes`` of a leaf. Returns
     (id_col, size, text_crc32, shard, slot); size is the text's UTF-8 bytes plus 1, slots
-    are gapless from 0 in each shard. Equal texts share a shard unless their group is
-    heavier than HEAVY_PART of a shard; such a group is cut by id.
-    A null text counts as empty; a repeated id keeps each of its rows; null metadata
-    falls back to the text's own length or an empty name; an empty table gives no row;
-    other columns are ignored.
+    are gapless from 0 in each shard. Equal texts share a shard; only a group larger than a
+    whole shard is cut, by id and place. ``dims`` must be the same for equal texts.
+    A null text counts as empty; a repeated id keeps each of its rows; a null dimension
+    counts as the smallest; an empty table gives no row; a very long text is one row of
+    its size and may make its shard larger than others; other columns are ignored.
     """
     dims = dims or text_metadata(text=text)
     body = F.coalesce(F.col(text), F.lit(""))
@@ -57,6 +56,7 @@ def kd_shards(
             (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
             F.crc32(body.cast("binary")).alias("text_crc32"),
             F.xxhash64(body).alias("_group"),
+            F.monotonically_increasing_id().alias("_at"),
             *[value.cast("double").alias(f"_d{i}") for i, value in enumerate(dims.values())],
         ),
         "kd-points",
@@ -64,7 +64,7 @@ def kd_shards(
     total = points.agg(F.sum("size")).first()[0] or 0
     leaves = shards or max(1, -(-total // target_bytes))
     heavy = _heavy_groups(points, total, leaves)
-    own = F.when(F.col("_group").isin(heavy), F.xxhash64("_group", id_col)).otherwise(F.xxhash64("_group"))
+    own = F.when(F.col("_group").isin(heavy), F.xxhash64("_group", id_col, "_at")).otherwise(F.xxhash64("_group"))
     points = points.withColumn("_tie", F.shiftrightunsigned(own, 64 - _TIE_BITS))
     bounds = points.agg(*[f(f"_d{i}").alias(f"{n}{i}") for i in range(len(dims)) for n, f in (("lo", F.min), ("hi", F.max))]).first()
     spans = [(bounds[f"lo{i}"] or 0.0, (bounds[f"hi{i}"] or 0.0) - (bounds[f"lo{i}"] or 0.0)) for i in range(len(dims))]
@@ -72,15 +72,15 @@ def kd_shards(
     def key(i: int) -> Column:
         low, span = spans[i]
         place = F.round((F.col(f"_d{i}") - F.lit(low)) / F.lit(span or 1.0) * _COORDINATE).cast("long")
-        return F.shiftleft(place, _TIE_BITS) + F.col("_tie")
+        return F.shiftleft(F.coalesce(place, F.lit(0)), _TIE_BITS) + F.col("_tie")
 
     shard = _leaf(points, leaves, spans, key)
     return _numbered(points.select(id_col, "size", "text_crc32", shard.cast("int").alias("shard")))
 
 
 def _heavy_groups(points: DataFrame, total: int, leaves: int) -> list[int]:
-    """Groups of more than HEAVY_PART of a shard: fewer than leaves / HEAVY_PART of them."""
-    limit = total / max(1, leaves) * HEAVY_PART
+    """Groups larger than a whole shard: fewer than there are shards."""
+    limit = total / max(1, leaves)
     groups = points.groupBy("_group").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     return [row["_group"] for row in groups.filter((F.col("bytes") > limit) & (F.col("n") > 1)).collect()]
 
@@ -171,7 +171,7 @@ def _numbered(rows: DataFrame) -> DataFrame:
     within = Window.partitionBy("_task", "shard").orderBy("_slot")  # a group is part of one task's rows
     return (
         placed.withColumn("_place", F.row_number().over(within) - 1)
-        .join(F.broadcast(starts), ["shard", "_task"])
+        .join(starts, ["shard", "_task"])
         .withColumn("slot", (F.col("_start") + F.col("_place")).cast("long"))
         .drop("_slot", "_task", "_place", "_start")
     )

@@ -9,6 +9,7 @@ vectors of its training texts. A text gets the language of the largest cosine.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,8 @@ def _dense(values: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _bundles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """A unit vector for each text (zero if it has no letter), and whether it has one."""
-    joined = "\x00".join(x.lower() for x in texts)
+    # A space on both sides: a text's trigrams do not depend on the texts beside it.
+    joined = "\x00".join(f" {x.lower()} " for x in texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     breaks = codes == 0
     row = np.cumsum(breaks)
@@ -58,7 +60,7 @@ def _bundles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return _bundles([x.replace("\x00", " ") for x in texts])
     letters = _letter_table()[codes]
     # Runs of other characters count as one space, so a trigram sees where words begin and end.
-    keep = letters | np.append(True, letters[:-1]) | breaks
+    keep = (letters | np.append(False, letters[:-1]) | np.append(True, breaks[:-1])) & ~breaks
     codes, row, letters = np.where(letters, codes, _SPACE)[keep], row[keep], letters[keep]
     alphabet, symbols = _dense(codes, 0x110000)
     size = len(alphabet)
@@ -141,22 +143,36 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
 
 
 def held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    """Whether a document is kept from learning; one without an id is not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def op6_language(docs: DataFrame) -> DataFrame:
-    """Predictions for all documents, learned from those that are not held out."""
-    prototypes = train(docs.filter(F.coalesce(~held_out(), F.lit(True))))
+    """Predictions for all documents, learned from those that are not held out.
+
+    A row without an id is not held out. Texts of any length are bundled whole, one of a single
+    letter too; an empty table gives no row.
+    """
+    prototypes = train(docs.filter(~held_out()))
     return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), prototypes).drop("text")
 
 
-def accepted_languages(docs: DataFrame, least: float = 0.05) -> DataFrame:
+def least_cosine(languages: int, error: float = 1e-4) -> float:
+    """The cosine that a text unlike every language reaches for any of them with probability ``error``.
+
+    Cosines of unrelated directions are normal with standard deviation 1 / sqrt(DIMENSIONS).
+    """
+    return NormalDist().inv_cdf(1 - error / max(1, languages)) / DIMENSIONS**0.5
+
+
+def accepted_languages(docs: DataFrame, least: float | None = None) -> DataFrame:
     """``docs`` without texts of no recognisable language.
 
-    Rejects a text without letters, and one whose cosine with every language is below
-    ``least``: two random directions of 1,024 dimensions rarely reach it, while even a text
-    of a few words in a learned language does.
+    Rejects a text that is null or has no letter, and one whose cosine with every language is
+    below ``least``, by default :func:`least_cosine` of the languages learned. Repeated rows and
+    rows without an id are judged like others; an empty table stays empty.
     """
-    prototypes = train(docs.filter(F.coalesce(~held_out(), F.lit(True))))
+    prototypes = train(docs.filter(~held_out()))
     judged = predict(docs, prototypes)
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    bound = least_cosine(len(prototypes)) if least is None else least
+    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= bound)).select(*docs.columns)

@@ -30,8 +30,31 @@ def test_whole_table_in_near_equal_shards(documents):
     texts = dict(docs)
     for r in rows:
         shard_of[texts[r["doc_id"]]].add(r["shard"])
-    light = [t for t in shard_of if len(t.encode()) * 2 < sum(weight.values()) / 8 * 0.05]
-    assert sum(len(shard_of[t]) > 1 for t in light) <= 0.01 * len(light)
+    assert all(len(found) == 1 for found in shard_of.values())
+
+
+def test_equal_texts_share_a_shard_whatever_their_other_columns(spark):
+    """Groups of up to 8 % of a shard and more, with differing lang and n_chars, in one shard each."""
+    rows = [(i, f"group {i % 200} " + "x" * (i % 200 % 23), "abcd"[i % 4], i) for i in range(800)]
+    rows += [(1000 + i, "a heavy group of many", "ab"[i % 2], -i) for i in range(300)]
+    rows += [(2000 + i, f"other words {i} " * (1 + i % 11), None, None) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long")
+    out = op10_kd_shards(frame).collect()
+    weight = check(out, [(r[0], r[1]) for r in rows])
+    texts, shard_of = {r[0]: r[1] for r in rows}, defaultdict(set)
+    for r in out:
+        shard_of[texts[r["doc_id"]]].add(r["shard"])
+    assert {len(x) for x in shard_of.values()} == {1}
+    assert max(weight.values()) - min(weight.values()) <= 300 * 22
+
+
+def test_only_a_group_larger_than_a_shard_is_cut(frame):
+    rows = [(i, "w" * 90) for i in range(500)] + [(1000 + i, "v" * 90 if i < 80 else f"{i:090}") for i in range(500)]
+    out = op10_kd_shards(frame(rows)).collect()
+    weight = check(out, rows)
+    assert len({r["shard"] for r in out if r["doc_id"] < 500}) > 1
+    assert len({r["shard"] for r in out if 1000 <= r["doc_id"] < 1080}) == 1
+    assert max(weight.values()) <= 1.7 * sum(weight.values()) / 8
 
 
 CASES = {
@@ -59,9 +82,21 @@ def test_empty_table_null_metadata_and_clashing_columns(spark, frame):
 
 
 def test_leaves_reach_the_target_bytes(frame):
-    rows = [(i, "w" * (i % 37)) for i in range(1000)]
+    rows = [(i, "w" * (i % 37) + str(i)) for i in range(1000)]
     out = kd_shards(frame(rows), shards=None, target_bytes=1000).collect()
     weight = Counter()
     for r in out:
         weight[r["shard"]] += r["size"]
     assert set(weight) == set(range(-(-sum(weight.values()) // 1000))) and max(weight.values()) <= 1150
+
+
+def test_leaves_of_groups_as_large_as_the_target(frame):
+    """37 texts in groups of up to a leaf's bytes: a group stays whole, so a leaf may hold one more."""
+    rows = [(i, "w" * (i % 37)) for i in range(1000)]
+    out = kd_shards(frame(rows), shards=None, target_bytes=1000).collect()
+    weight, group = Counter(), Counter()
+    for r in out:
+        weight[r["shard"]] += r["size"]
+        group[r["size"]] += r["size"]
+    print(weight, group)
+    assert max(weight.values()) <= 1000 + max(group.values())

@@ -2,7 +2,11 @@ from __future__ import annotations
 
 import zlib
 
-from ledgerlake.llm.language import accepted_languages, op6_language, predict, train
+from collections import Counter, defaultdict
+
+import numpy as np
+
+from ledgerlake.llm.language import DIMENSIONS, _bundles, _letter_vector, accepted_languages, least_cosine, op6_language, predict, train
 
 
 def test_held_out_accuracy_on_the_whole_table(documents):
@@ -45,3 +49,62 @@ def test_nothing_to_learn_from_and_empty_table(spark):
     assert train(df) == {}
     assert [(r["lang_pred"], r["score"]) for r in predict(df, {}).collect()] == [("und", 0.0)]
     assert op6_language(df.limit(0)).collect() == []
+
+
+def plain_vector(text):
+    """The bundle of one text, trigram by trigram."""
+    kept = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    while "  " in kept:
+        kept = kept.replace("  ", " ")
+    code = lambda c: _letter_vector(0 if c == " " else ord(c))
+    grams = Counter(kept[i : i + 3] for i in range(len(kept) - 2) if kept[i + 1] != " ")
+    out = np.zeros(DIMENSIONS)
+    for gram, n in grams.items():
+        a, b, c = (code(x) for x in gram)
+        out += np.sqrt(n) * np.roll(a, 2) * np.roll(b, 1) * c
+    return out / max(np.linalg.norm(out), 1e-9)
+
+
+def test_bundles_against_a_plain_version():
+    texts = ["a", "ab", "Zwei  Wörter!", "", "12", "ends in a letter", " 7x7 ", "ñ", "a\x00b", "the the the"]
+    vectors, letters = _bundles(texts)
+    for text, vector, has in zip(texts, vectors, letters):
+        assert has == any(c.isalpha() for c in text)
+        assert np.allclose(vector, plain_vector(text.replace("\x00", " ")), atol=1e-5)
+    alone = np.concatenate([_bundles([t])[0] for t in texts])
+    assert np.allclose(alone, vectors, atol=1e-6)
+
+
+def test_predictions_do_not_depend_on_the_partitioning(spark, documents):
+    rows = [(i, t, l) for i, (t, l) in enumerate((r["text"], r["lang"]) for r in documents.limit(300).collect())]
+    rows += [(1000 + i, t, None) for i, t in enumerate(["a", "é", "on", "zu", "x y", "", "7"])] + [(None, "the end", "en")]
+    seen = []
+    for parts in (1, 7, 40):
+        frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts)
+        out = op6_language(frame).collect()
+        assert all(isinstance(r["held_out"], bool) for r in out) and not next(r for r in out if r["doc_id"] is None)["held_out"]
+        seen.append(sorted((repr(r["doc_id"]), r["lang_pred"], r["score"]) for r in out))
+    for other in seen[1:]:
+        assert [r[:2] for r in other] == [r[:2] for r in seen[0]]
+        assert max(abs(a[2] - b[2]) for a, b in zip(other, seen[0])) < 5e-6  # single precision sums
+
+
+def test_predictions_against_plain_prototypes(spark):
+    rows = [(i, TEXTS[l] * (1 + i % 3) + f"{l}{i}", l) for i, l in enumerate("abc" * 8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sums = defaultdict(lambda: np.zeros(DIMENSIONS))
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            sums[lang] += plain_vector(text)
+    for r in op6_language(frame).collect():
+        cosines = {k: float(plain_vector(rows[r["doc_id"]][1]) @ v / np.linalg.norm(v)) for k, v in sums.items()}
+        best = max(cosines, key=cosines.get)
+        assert r["lang_pred"] == best and abs(r["score"] - cosines[best]) < 1e-5
+
+
+def test_unlearned_script_is_rejected(spark):
+    rows = [(i, TEXTS[l] * 3, l) for i, l in enumerate("ab" * 20)]
+    rows += [(100 + i, "".join(chr(0x4E00 + (i * 131 + j * 17) % 4000) for j in range(60)), None) for i in range(300)]
+    kept = {r["doc_id"] for r in accepted_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert kept == set(range(40))
+    assert least_cosine(200) > least_cosine(2) > 3.5 / DIMENSIONS**0.5
