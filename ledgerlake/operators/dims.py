@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.measures import change_hash
 from ledgerlake.functions.ordinals import dense_ordinal
+from ledgerlake.operators.growth import merge_on_read
 from ledgerlake.operators.enrich import date_key
 from ledgerlake.schemas import DIM_SCHEMAS, OPEN_END, UNKNOWN_KEY
 from ledgerlake.session import stage
@@ -172,20 +173,29 @@ def type1_changes(current: DataFrame, incoming: DataFrame, business_key: str, ke
     )
 
 
-def type1_merge(current: DataFrame, incoming: DataFrame, business_key: str, key: str) -> tuple[DataFrame, int]:
-    """Type 1 upsert. Returns the merged dimension and the number of rows touched."""
-    changes = stage(type1_changes(current, incoming, business_key, key), "type1")
+def type1_delta(
+    current: DataFrame, incoming: DataFrame, business_key: str, key: str, held: DataFrame | None = None
+) -> tuple[DataFrame | None, int]:
+    """The overwritten and added rows of a type 1 upsert and their number; None if there are none.
+
+    ``held`` may name the part of ``current`` that ``incoming`` can touch.
+    """
+    changes = stage(type1_changes(current if held is None else held, incoming, business_key, key), "type1")
     touched = changes.count()
     if touched == 0:
-        return current, 0
+        return None, 0
     columns = current.columns
-    kept = current.join(changes.select(business_key), business_key, "left_anti")
     overwritten = changes.where(F.col(key).isNotNull())
     added = with_surrogate_keys(
         changes.where(F.col(key).isNull()).drop(key), [business_key], key, next_key(current, key)
     )
-    merged = kept.select(columns).unionByName(overwritten.select(columns)).unionByName(added.select(columns))
-    return merged, touched
+    return overwritten.select(columns).unionByName(added.select(columns)), touched
+
+
+def type1_merge(current: DataFrame, incoming: DataFrame, business_key: str, key: str) -> tuple[DataFrame, int]:
+    """Type 1 upsert. Returns the merged dimension and the number of rows touched."""
+    delta, touched = type1_delta(current, incoming, business_key, key)
+    return (current, 0) if delta is None else (merge_on_read(current, [delta], key), touched)
 
 
 def bank_directory(accounts: DataFrame) -> DataFrame:

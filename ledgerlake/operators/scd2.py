@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.measures import change_hash, moment
 from ledgerlake.operators.dims import conform, next_key, with_surrogate_keys
+from ledgerlake.operators.growth import merge_on_read
 from ledgerlake.operators.lookup import hot_keys, key_counts, left_lookup
 from ledgerlake.schemas import DIM_SCHEMAS, OPEN_END, UNKNOWN_KEY
 from ledgerlake.session import stage
@@ -42,27 +43,27 @@ def new_versions(snapshot: DataFrame, dim_account: DataFrame) -> DataFrame:
     return snapshot.join(held, [*ACCOUNT_KEYS, "source_hash"], "left_anti")
 
 
-def type2_merge(dim_account: DataFrame, snapshot: DataFrame, started_at: datetime) -> tuple[DataFrame, int]:
-    """Close changed versions at ``started_at`` and open their successors.
+def type2_delta(
+    dim_account: DataFrame, snapshot: DataFrame, started_at: datetime, held: DataFrame | None = None
+) -> tuple[DataFrame | None, int]:
+    """Closing rows of changed versions and their successors, and the number of both; None if there are none.
 
-    Intervals are half open. Accounts missing from the snapshot stay current.
-    Returns the merged dimension and the number of rows closed plus opened.
+    A closing row carries the key of the version it closes at ``started_at``. Intervals are half
+    open. Accounts missing from the snapshot stay current. ``held`` may name the part of
+    ``dim_account`` that the snapshot can touch.
     """
-    start = moment(started_at)
-    opened = stage(new_versions(snapshot, dim_account), "scd2")
+    start, held = moment(started_at), dim_account if held is None else held
+    opened = stage(new_versions(snapshot, held), "scd2")
     n_opened = opened.count()
     if n_opened == 0:
-        return dim_account, 0
-    succeeded = opened.select(*ACCOUNT_KEYS, F.lit(True).alias("has_successor"))
-    closing = F.col("is_current") & (F.col("account_key") != UNKNOWN_KEY) & F.col("has_successor").isNotNull()
-    history = (
-        dim_account.join(succeeded, ACCOUNT_KEYS, "left")
-        .withColumn("closing", closing)
-        .withColumn("effective_to", F.when(F.col("closing"), start).otherwise(F.col("effective_to")))
-        .withColumn("is_current", F.col("is_current") & ~F.col("closing"))
+        return None, 0
+    current = held.where(F.col("is_current") & (F.col("account_key") != UNKNOWN_KEY))
+    closed = stage(
+        current.join(opened.select(*ACCOUNT_KEYS), ACCOUNT_KEYS, "left_semi")
+        .withColumn("effective_to", start)
+        .withColumn("is_current", F.lit(False)),
+        "scd2-closed",
     )
-    # Every successor closes one version or is a new account.
-    n_closed = opened.join(dim_account.where("is_current"), ACCOUNT_KEYS, "left_semi").count()
     added = (
         with_surrogate_keys(opened, ACCOUNT_KEYS, "account_key", next_key(dim_account, "account_key"))
         .withColumn("effective_from", start)
@@ -70,7 +71,13 @@ def type2_merge(dim_account: DataFrame, snapshot: DataFrame, started_at: datetim
         .withColumn("is_current", F.lit(True))
     )
     ddl = DIM_SCHEMAS["dim_account"]
-    return conform(history, ddl).unionByName(conform(added, ddl)), n_opened + n_closed
+    return conform(closed, ddl).unionByName(conform(added, ddl)), n_opened + closed.count()
+
+
+def type2_merge(dim_account: DataFrame, snapshot: DataFrame, started_at: datetime) -> tuple[DataFrame, int]:
+    """The dimension with changed versions closed and their successors opened, and the number of both."""
+    delta, touched = type2_delta(dim_account, snapshot, started_at)
+    return (dim_account, 0) if delta is None else (merge_on_read(dim_account, [delta], "account_key"), touched)
 
 
 def overlapping_versions(dim_account: DataFrame) -> DataFrame:

@@ -13,8 +13,9 @@ from ledgerlake.operators import dims as dm
 from ledgerlake.operators import facts as fx
 from ledgerlake.operators import marts as mt
 from ledgerlake.operators import recon
+from ledgerlake.operators.growth import FINGERPRINT, fingerprints, merge_on_read, touched_buckets, within
 from ledgerlake.operators.reporting import reporting_views
-from ledgerlake.operators.scd2 import account_snapshot, type2_merge
+from ledgerlake.operators.scd2 import account_snapshot, type2_delta
 from ledgerlake.plans.source_load import SourceTables
 from ledgerlake.plans.store import Clock, TableStore, utc_now, versions_from, versions_text
 from ledgerlake.schemas import (
@@ -38,6 +39,13 @@ FACT_SCHEMAS = {
 }
 
 
+#: Dimensions that grow by deltas, with the key that tells which row a delta replaces.
+GROWING = {"dim_bank": "bank_key", "dim_entity": "entity_key", "dim_account": "account_key"}
+#: Deltas read beside a base; the next change folds them into a new base.
+FOLD_AFTER = 8
+PRINTS = "account_fingerprint"
+
+
 class StaleSourceError(RuntimeError):
     """The source was reloaded and hands out its ids anew; old watermarks mean nothing."""
 
@@ -61,17 +69,25 @@ class Warehouse:
         return self.store.log(LOG, DW_BATCH, "dw_batch_id")
 
     def _published(self, rows: list[dict]) -> dict[str, list[int]]:
-        """Folders of every table: each completed load names those it added or replaced."""
+        """Folders of every table: each completed load names those it added or replaced.
+
+        A trailing plus marks a delta, which is read beside the folders before it.
+        """
         versions: dict[str, list[int]] = {}
         for row in rows:
             if row["status"] == "COMPLETED":
-                for table, added in versions_from(row["table_versions"]).items():
-                    versions[table] = versions.get(table, []) + added if table in FACT_SCHEMAS else added
+                for name, added in versions_from(row["table_versions"]).items():
+                    table = name.rstrip("+")
+                    grows = name != table or table in FACT_SCHEMAS
+                    versions[table] = versions.get(table, []) + added if grows else added
         return versions
 
     def _read(self, table: str, versions: dict[str, list[int]]) -> DataFrame:
         ddl = DIM_SCHEMAS.get(table) or FACT_SCHEMAS[table]
         held = versions.get(table, [])
+        if table in GROWING and len(held) > 1:
+            base, *deltas = (self.store.read(table, [v], ddl) for v in held)
+            return merge_on_read(base, deltas, GROWING[table])
         if held or table in FACT_SCHEMAS:
             return self.store.read(table, held, ddl)
         seed = dm.unknown_member(self.spark, table)
@@ -129,7 +145,8 @@ class Warehouse:
             self.store.append_event(LOG, DW_BATCH, {**state, **failed})
             raise
         state |= {"status": "COMPLETED", "completed_at": self.clock()}
-        state["table_versions"] = versions_text({t: [batch_id] for t, v in versions.items() if v != held.get(t)})
+        added = {f"{t}+" if t in GROWING and len(v) > 1 else t: [batch_id] for t, v in versions.items() if v != held.get(t)}
+        state["table_versions"] = versions_text(added)
         self.store.append_event(LOG, DW_BATCH, state)
         return batch_id
 
@@ -148,23 +165,40 @@ class Warehouse:
         patterns = between(source.patterns, "pattern_transaction_id", low_p, high_p)
         dims = {name: self._read(name, versions) for name in DIM_SCHEMAS}
 
+        # Only keys in buckets whose fingerprint differs from the last load's are looked at.
+        prints = stage(fingerprints(source.accounts), "fingerprints")
+        touched = None
+        if versions.get(PRINTS):
+            touched = touched_buckets(self.store.read(PRINTS, versions[PRINTS], FINGERPRINT), prints)
+        changed = touched is None or any(touched.values())
+        near = lambda frame, kind: frame if touched is None else frame.where(within(kind, touched[kind]))
+
+        def grow(table: str, delta: DataFrame) -> DataFrame:
+            """Add a delta, or write a new base if there is none yet or too many deltas lie beside it."""
+            if not versions.get(table) or len(versions[table]) > FOLD_AFTER:
+                return publish(table, merge_on_read(self._read(table, versions), [delta], GROWING[table]))
+            self.store.write(delta, table, batch_id)
+            versions[table] = [*versions[table], batch_id]
+            return self._read(table, versions)
+
         # Members of the delta, banks and entities do not depend on each other. An
         # unchanged dimension keeps its version.
-        tasks = [
-            partial(self._merge_type1, dim, incoming, keys, counter, dims, state, publish)
-            for dim, incoming, keys, counter in (
-                ("dim_bank", dm.bank_source(source.accounts), ("bank_id", "bank_key"), "bank_rows_affected"),
-                ("dim_entity", dm.entity_source(source.accounts), ("entity_id", "entity_key"), "entity_rows_affected"),
-            )
-        ]
+        tasks = []
+        if changed:
+            for kind, collapse in (("bank", dm.bank_source), ("entity", dm.entity_source)):
+                incoming = collapse(near(source.accounts, kind))
+                tasks.append(partial(self._merge_type1, kind, incoming, near(dims[f"dim_{kind}"], kind), dims, state, grow))
         if low <= high or low_p <= high_p:
             tasks.append(partial(self._add_members, transactions, patterns, dims, state, publish))
         run_together(self.spark, tasks)
-        snapshot = account_snapshot(source.accounts, dims["dim_bank"], dims["dim_entity"])
-        merged, touched = type2_merge(dims["dim_account"], snapshot, state["started_at"])
-        state["account_rows_affected"] = touched
-        if touched:
-            dims["dim_account"] = publish("dim_account", merged)
+        if changed:
+            snapshot = account_snapshot(near(source.accounts, "account"), dims["dim_bank"], dims["dim_entity"])
+            held_accounts = near(dims["dim_account"], "account")
+            delta, state["account_rows_affected"] = type2_delta(dims["dim_account"], snapshot, state["started_at"], held_accounts)
+            if delta is not None:
+                dims["dim_account"] = grow("dim_account", delta)
+            self.store.write(prints, PRINTS, batch_id)
+            versions[PRINTS] = [batch_id]
         for name in DIM_SCHEMAS:
             if name not in versions:
                 dims[name] = publish(name, dims[name])
@@ -186,10 +220,11 @@ class Warehouse:
             state["rejected_rows"] = self.store.read("dw_rejected_row", [batch_id], DW_REJECT).count()
         return versions
 
-    def _merge_type1(self, dim, incoming, keys, counter, dims, state, publish) -> None:
-        merged, state[counter] = dm.type1_merge(dims[dim], incoming, *keys)
-        if state[counter]:
-            dims[dim] = publish(dim, merged)
+    def _merge_type1(self, kind, incoming, held, dims, state, grow) -> None:
+        dim = f"dim_{kind}"
+        delta, state[f"{kind}_rows_affected"] = dm.type1_delta(dims[dim], incoming, f"{kind}_id", f"{kind}_key", held)
+        if delta is not None:
+            dims[dim] = grow(dim, delta)
 
     def _add_members(self, transactions, patterns, dims, state, publish) -> None:
         members = stage(dm.reference_members(transactions, patterns), "members")
@@ -227,7 +262,8 @@ class Warehouse:
         fresh = fx.absent_from(delta, existing, "source_transaction_id", "transaction_key")
         if versions.get("dw_rejected_row"):
             # A refused amount is refused once; it must not come up as new in every rerun.
-            refused = self._read("dw_rejected_row", versions).where(F.col("error_code") == fx.NON_POSITIVE)
+            low, high = state["source_low_watermark"], state["source_high_watermark"]
+            refused = between(self._read("dw_rejected_row", versions), "source_key", low, high).where(F.col("error_code") == fx.NON_POSITIVE)
             fresh = fx.absent_from(fresh, refused, "source_transaction_id", "source_key")
         if held:
             # Written, so that the anti-joins run once for the hot-key count, the load and the rejects.
