@@ -105,13 +105,13 @@ def aml_by_payment_format(measures: DataFrame, dim_payment_format: DataFrame) ->
     )
 
 
-def bank_activity(fact: DataFrame, dim_bank: DataFrame) -> DataFrame:
-    """Sender and receiver roles unpivoted from one scan of three columns."""
+def bank_roles(fact: DataFrame) -> DataFrame:
+    """Sender and receiver roles of each bank, unpivoted from one scan of three columns; additive."""
     roles = F.array(
         F.struct(F.col("from_bank_key").alias("bank_key"), F.lit(1).cast("long").alias("sent")),
         F.struct(F.col("to_bank_key").alias("bank_key"), F.lit(0).cast("long").alias("sent")),
     )
-    grouped = (
+    return (
         fact.select(F.col("is_laundering").cast("long").alias("laundering"), F.inline(roles))
         .groupBy("bank_key")
         .agg(
@@ -121,7 +121,10 @@ def bank_activity(fact: DataFrame, dim_bank: DataFrame) -> DataFrame:
             F.sum("laundering").alias("laundering_participations"),
         )
     )
-    return grouped.join(dim_bank, "bank_key").select(
+
+
+def named_banks(roles: DataFrame, dim_bank: DataFrame) -> DataFrame:
+    return roles.join(dim_bank, "bank_key").select(
         "bank_key",
         "bank_id",
         "bank_name",
@@ -132,6 +135,10 @@ def bank_activity(fact: DataFrame, dim_bank: DataFrame) -> DataFrame:
     )
 
 
+def bank_activity(fact: DataFrame, dim_bank: DataFrame) -> DataFrame:
+    return named_banks(bank_roles(fact), dim_bank)
+
+
 def currency_flow(measures: DataFrame, dim_currency: DataFrame) -> DataFrame:
     grouped = measures.groupBy("payment_currency_key", "receiving_currency_key").agg(
         *_sums("transaction_count", "laundering_count", *AMOUNTS)
@@ -153,13 +160,16 @@ def currency_flow(measures: DataFrame, dim_currency: DataFrame) -> DataFrame:
     )
 
 
-def pattern_summary(fact_pattern: DataFrame, dim_pattern_type: DataFrame) -> DataFrame:
-    """Attempts collapse to one row each before the eight types are counted."""
-    attempts = fact_pattern.groupBy("pattern_type_key", "pattern_attempt_id").agg(
+def pattern_attempts(fact_pattern: DataFrame) -> DataFrame:
+    """One row for each attempt; rows add up, bounds combine."""
+    return fact_pattern.groupBy("pattern_type_key", "pattern_attempt_id").agg(
         F.count("*").alias("rows"),
         F.min("pattern_sequence").alias("low"),
         F.max("pattern_sequence").alias("high"),
     )
+
+
+def summed_attempts(attempts: DataFrame, dim_pattern_type: DataFrame) -> DataFrame:
     grouped = attempts.groupBy("pattern_type_key").agg(
         F.count("*").alias("attempt_count"),
         F.sum("rows").alias("pattern_transaction_count"),
@@ -176,13 +186,18 @@ def pattern_summary(fact_pattern: DataFrame, dim_pattern_type: DataFrame) -> Dat
     )
 
 
-def aml_account_risk(fact: DataFrame, dim_account: DataFrame) -> DataFrame:
-    """Laundering rows only; the filter reaches the Parquet scan."""
+def pattern_summary(fact_pattern: DataFrame, dim_pattern_type: DataFrame) -> DataFrame:
+    """Attempts collapse to one row each before the eight types are counted."""
+    return summed_attempts(pattern_attempts(fact_pattern), dim_pattern_type)
+
+
+def laundering_roles(fact: DataFrame) -> DataFrame:
+    """Roles of each account in laundering rows; the filter reaches the Parquet scan; additive."""
     roles = F.array(
         F.struct(F.col("from_account_key").alias("account_key"), F.lit(1).cast("long").alias("sent")),
         F.struct(F.col("to_account_key").alias("account_key"), F.lit(0).cast("long").alias("sent")),
     )
-    grouped = (
+    return (
         fact.where("is_laundering")
         .select(F.inline(roles))
         .groupBy("account_key")
@@ -192,8 +207,11 @@ def aml_account_risk(fact: DataFrame, dim_account: DataFrame) -> DataFrame:
             F.count("*").alias("laundering_participations"),
         )
     )
+
+
+def named_accounts(roles: DataFrame, dim_account: DataFrame) -> DataFrame:
     accounts = dim_account.select("account_key", "bank_id", "account_number", "entity_id")
-    return grouped.join(accounts, "account_key").select(
+    return roles.join(accounts, "account_key").select(
         "account_key",
         "bank_id",
         "account_number",
@@ -204,6 +222,36 @@ def aml_account_risk(fact: DataFrame, dim_account: DataFrame) -> DataFrame:
     )
 
 
+def aml_account_risk(fact: DataFrame, dim_account: DataFrame) -> DataFrame:
+    return named_accounts(laundering_roles(fact), dim_account)
+
+
+#: What a load adds to the marts: for each rollup its keys and how its columns combine over loads.
+ROLLUPS = {
+    "rollup_day": (ROLLUP_KEYS, {**dict.fromkeys(COUNTS, "sum"), **dict.fromkeys(AMOUNTS, "sum")}),
+    "rollup_bank": (["bank_key"], dict.fromkeys(["sent_count", "received_count", "total_participations", "laundering_participations"], "sum")),
+    "rollup_attempt": (["pattern_type_key", "pattern_attempt_id"], {"rows": "sum", "low": "min", "high": "max"}),
+    "rollup_account": (["account_key"], dict.fromkeys(["laundering_sent_count", "laundering_received_count", "laundering_participations"], "sum")),
+}
+
+
+def load_rollups(fact: DataFrame, fact_pattern: DataFrame) -> dict[str, DataFrame]:
+    """The rollups of the rows of one or several loads."""
+    return {
+        "rollup_day": base_rollup(fact),
+        "rollup_bank": bank_roles(fact),
+        "rollup_attempt": pattern_attempts(fact_pattern),
+        "rollup_account": laundering_roles(fact),
+    }
+
+
+def combined(name: str, kept: DataFrame) -> DataFrame:
+    """One row for each key over the rollups of several loads."""
+    keys, columns = ROLLUPS[name]
+    how = {"sum": lambda c: total(c) if c in AMOUNTS else F.sum(c), "min": F.min, "max": F.max}
+    return kept.groupBy(*keys).agg(*[how[kind](c).cast(kept.schema[c].dataType).alias(c) for c, kind in columns.items()])
+
+
 MART_NAMES = [
     "mart_kpi_overview",
     "mart_daily_transaction",
@@ -215,17 +263,17 @@ MART_NAMES = [
 ]
 
 
-def all_marts(tables: dict[str, DataFrame], rollup: DataFrame) -> dict[str, DataFrame]:
-    """Every mart as a frame; ``rollup`` is a written ``base_rollup`` of the fact."""
-    fact = tables["fact_transaction"]
+def all_marts(tables: dict[str, DataFrame], rollups: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every mart as a frame, from the combined rollups alone."""
+    day = rollups["rollup_day"]
     return {
-        "mart_kpi_overview": kpi_overview(rollup, tables["dim_date"]),
+        "mart_kpi_overview": kpi_overview(day, tables["dim_date"]),
         "mart_daily_transaction": daily_transaction(
-            rollup, tables["dim_date"], tables["dim_currency"], tables["dim_payment_format"]
+            day, tables["dim_date"], tables["dim_currency"], tables["dim_payment_format"]
         ),
-        "mart_aml_by_payment_format": aml_by_payment_format(rollup, tables["dim_payment_format"]),
-        "mart_bank_activity": bank_activity(fact, tables["dim_bank"]),
-        "mart_currency_flow": currency_flow(rollup, tables["dim_currency"]),
-        "mart_pattern_summary": pattern_summary(tables["fact_pattern_transaction"], tables["dim_pattern_type"]),
-        "mart_aml_account_risk": aml_account_risk(fact, tables["dim_account"]),
+        "mart_aml_by_payment_format": aml_by_payment_format(day, tables["dim_payment_format"]),
+        "mart_bank_activity": named_banks(rollups["rollup_bank"], tables["dim_bank"]),
+        "mart_currency_flow": currency_flow(day, tables["dim_currency"]),
+        "mart_pattern_summary": summed_attempts(rollups["rollup_attempt"], tables["dim_pattern_type"]),
+        "mart_aml_account_risk": named_accounts(rollups["rollup_account"], tables["dim_account"]),
     }

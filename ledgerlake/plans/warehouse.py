@@ -30,7 +30,7 @@ from ledgerlake.session import run_together, stage
 
 LOG = "dw_batch"
 MART_LOG = "mart_refresh"
-MART_REFRESH = "refresh_id long, refreshed_at timestamp_ntz, dw_batch_id long"
+MART_REFRESH = "refresh_id long, refreshed_at timestamp_ntz, dw_batch_id long, rollups string"
 PROCESS = "AML_SOURCE_TO_DW"
 FACT_SCHEMAS = {
     "fact_transaction": FACT_TRANSACTION,
@@ -334,18 +334,45 @@ class Warehouse:
         return self._validations([r["dw_batch_id"] for r in self.batch_rows() if r["validation_status"]])
 
     def refresh_marts(self) -> int:
-        """Recompute all marts from one shared rollup plus two fact scans; returns the refresh id."""
+        """Bring all marts up to the latest load; returns the refresh id.
+
+        Facts are only ever appended, so each load's rollups stay true. A refresh reads the facts
+        of the loads since the last one, writes their rollups and combines all kept ones; without
+        news no fact is read. Names come from the dimensions as they are now. When more than
+        FOLD_AFTER rollups lie side by side, the next ones are written as one with all of them.
+        """
         done = [r for r in self.batch_rows() if r["status"] == "COMPLETED"]
         history = self.store.log_rows(MART_LOG, MART_REFRESH, "refresh_id")
         refresh_id = max([r["refresh_id"] for r in history], default=0) + 1
-        t = self.tables()
-        rollup = stage(mt.base_rollup(t["fact_transaction"]), "rollup")
-        marts = mt.all_marts(t, rollup)
+        covered = history[-1]["dw_batch_id"] if history else 0
+        kept = versions_from(history[-1]["rollups"])["refreshes"] if history else []
+        versions = self._published(done)
+        news = {t: [v for v in versions.get(t, []) if v > covered] for t in ("fact_transaction", "fact_pattern_transaction")}
+        if not history or any(news.values()):
+            fresh = mt.load_rollups(*(self.store.read(t, news[t], FACT_SCHEMAS[t]) for t in news))
+            if len(kept) > FOLD_AFTER:
+                fresh = {n: mt.combined(n, f.unionByName(self._rollup(n, kept))) for n, f in fresh.items()}
+                kept = []
+            run_together(self.spark, [partial(self.store.write, frame, name, refresh_id) for name, frame in fresh.items()])
+            kept = [*kept, refresh_id]
+        rollups = {name: self._rollup(name, kept) for name in mt.ROLLUPS}
+        if len(kept) > 1:
+            rollups = {name: mt.combined(name, frame) for name, frame in rollups.items()}
+        dims = {name: self._read(name, versions) for name in DIM_SCHEMAS}
+        marts = mt.all_marts(dims, rollups)
         run_together(self.spark, [partial(self.store.write, frame, name, refresh_id) for name, frame in marts.items()])
-        row = {"refresh_id": refresh_id, "refreshed_at": self.clock(), "dw_batch_id": done[-1]["dw_batch_id"]}
+        row = {
+            "refresh_id": refresh_id,
+            "refreshed_at": self.clock(),
+            "dw_batch_id": done[-1]["dw_batch_id"],
+            "rollups": versions_text({"refreshes": kept}),
+        }
         self.store.append_event(MART_LOG, MART_REFRESH, row)
         return refresh_id
 
+    def _rollup(self, name: str, refreshes: list[int]) -> DataFrame:
+        return self.spark.read.parquet(*[self.store.path(name, r) for r in refreshes])
+
     def marts(self) -> dict[str, DataFrame]:
         """The marts of the latest refresh."""
         history = self.store.log_rows(MART_LOG, MART_REFRESH, "refresh_id")
