@@ -100,17 +100,26 @@ def src_pattern_blocks(ws):
 
 @query
 def src_manifest(ws):
-    """One source of the right size, one a byte short, one missing."""
-    expected = {}
-    for name, fields, short_by in (("transactions", TRANSACTION_FIELDS, 0), ("accounts", ACCOUNT_FIELDS, 1)):
-        lines = ws.landing[name[:-1]].select(F.concat_ws(",", *fields).alias("value"))
+    """One source as expected, one a byte short, one with its first two lines swapped, one missing."""
+
+    def written(name, fields, swap=False):
+        rows = ws.landing[name].select("landing_row_id", F.concat_ws(",", *fields).alias("value"))
+        place = F.col("landing_row_id")
+        order = F.when(place <= 2, 3 - place).otherwise(place) if swap else place
         path = ws.path("manifest")
-        lines.write.text(path)
-        size = lines.agg(F.sum(F.octet_length("value") + 1)).first()[0]
-        expected[name] = (path, size + short_by)
-    expected["patterns"] = (ws.path("nowhere"), 1)
-    found = files.manifest(ws.spark, expected)
-    return found.withColumn("has_digest", F.col("digest").isNotNull()).drop("digest")
+        ordered = rows.withColumn("_order", order).repartitionByRange("_order").sortWithinPartitions("_order")
+        ordered.select("value").write.text(path)
+        size = rows.agg(F.sum(F.octet_length("value") + 1)).first()[0]
+        return path, size, files.ordered_digest(dense_ordinal(rows, ["landing_row_id"], name="place")).first()["digest"]
+
+    path, size, digest = written("account", ACCOUNT_FIELDS)
+    expected = {
+        "transactions": written("transaction", TRANSACTION_FIELDS),
+        "accounts": (path, size + 1, digest),
+        "swapped": written("account", ACCOUNT_FIELDS, swap=True),
+        "patterns": (ws.path("nowhere"), 1),
+    }
+    return files.manifest(ws.spark, expected)
 
 
 @query

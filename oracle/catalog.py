@@ -258,12 +258,22 @@ def _raw() -> dict[str, str]:
     SELECT CAST(dense_rank() OVER (ORDER BY CAST(pattern_attempt_id_text AS BIGINT)) AS VARCHAR)
         AS pattern_attempt_id_text, {others} FROM v_pattern_landing"""
     size = lambda block, fields: f"SELECT CAST(sum(strlen(concat_ws(',', {fields})) + 1) AS BIGINT) AS size, count(*) AS lines FROM {block}"
+
+    def digest(block: str, fields: str, place: str = "landing_row_id") -> str:
+        """Lines, blocks of 4,096 lines, groups of 4,096 blocks, the whole."""
+        lines = f"SELECT row_number() OVER (ORDER BY {place}) - 1 AS node, sha256(concat_ws(',', {fields})) AS digest FROM {block}"
+        for _ in range(2):
+            lines = f"SELECT node // 4096 AS node, sha256(string_agg(digest, '' ORDER BY node)) AS digest FROM ({lines}) GROUP BY 1"
+        return f"(SELECT sha256(string_agg(digest, '' ORDER BY node)) FROM ({lines}))"
+
+    account, swapped = (digest("v_account_landing", b.ACCOUNT_TEXT, p) for p in ("landing_row_id", "if(landing_row_id <= 2, 3 - landing_row_id, landing_row_id)"))
+    txn = digest("v_txn_landing", b.TXN_TEXT)
     sql["src_manifest"] = f"""
     SELECT 'transactions' AS source_name, size AS expected_bytes, size AS actual_bytes, lines AS line_count,
-        'OK' AS status, true AS has_digest FROM ({size('v_txn_landing', b.TXN_TEXT)})
-    UNION ALL SELECT 'accounts', size + 1, size, lines, 'SIZE_MISMATCH', true
-        FROM ({size('v_account_landing', b.ACCOUNT_TEXT)})
-    UNION ALL SELECT 'patterns', 1, 0, 0, 'MISSING', false"""
+        {txn} AS expected_digest, {txn} AS digest, 'OK' AS status FROM ({size('v_txn_landing', b.TXN_TEXT)})
+    UNION ALL SELECT 'accounts', size + 1, size, lines, {account}, {account}, 'SIZE_MISMATCH' FROM ({size('v_account_landing', b.ACCOUNT_TEXT)})
+    UNION ALL SELECT 'swapped', size, size, lines, {account}, {swapped}, 'DIGEST_MISMATCH' FROM ({size('v_account_landing', b.ACCOUNT_TEXT)})
+    UNION ALL SELECT 'patterns', 1, 0, 0, NULL, NULL, 'MISSING'"""
     sql["src_landing_ordinal"] = """
     SELECT row_number() OVER (ORDER BY landing_row_id) AS landing_row_id, timestamp_text, from_account_text,
         to_account_text, amount_paid_text FROM v_txn_landing"""
