@@ -5,8 +5,8 @@
    the first stays a reference. Groups of copies, however large, end here.
 2. A window of 50 bytes is found again only if its minimizer (the smallest 24-byte fingerprint
    in it) is. Windows whose minimizer occurs in one document only are left out, exactly.
-3. The suffixes that begin the other windows meet by minimizer in buckets of bounded size. In a
-   bucket the ranks of a difference cover's suffixes are computed first (by doubling); then the
+3. The suffixes that begin the other windows meet by minimizer in buckets of bounded size. Runs of
+   windows whose bytes a smaller document has as they are need no sorting. For the others the ranks of a difference cover's suffixes are computed first (by doubling); then the
    suffixes are sorted one prefix block at a time. Long ties are resolved by the rank of the
    cover position that both suffixes share, without reading further into the texts.
 4. A minimizer with very many places has its windows sent by their own bytes instead, and equal
@@ -395,12 +395,29 @@ def smallest_owner(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, len
     return out
 
 
+def _equal_contexts(docs: np.ndarray, sizes: np.ndarray, sent: np.ndarray) -> np.ndarray:
+    """Marks contexts whose bytes a smaller document has as well; bytes are compared, not hashes.
+
+    All their windows are repeated, and the smallest document's context stands for them.
+    """
+    raw, ends, first = sent.tobytes(), np.cumsum(sizes), {}
+    starts, ends, owners = (ends - sizes).tolist(), ends.tolist(), docs.tolist()
+    copies = np.zeros(len(docs), bool)
+    for i in np.argsort(docs, kind="stable").tolist():
+        copies[i] = first.setdefault(raw[starts[i] : ends[i]], owners[i]) < owners[i]
+    return copies
+
+
 def _sorted_bucket(targets: int, length: int):
     def work(table: pa.Table) -> pa.Table:
         kinds = (np.int64, np.int32, np.int32, np.uint8, np.uint8)
         docs, lows, counts, marks, sent = unpack(table.column("payload").to_pylist(), kinds)
         counts = counts.astype(np.int64)
         sizes = counts + length - 1
+        copies = _equal_contexts(docs, sizes, sent)
+        known = np.repeat(docs[copies], counts[copies]), _ragged(lows[copies].astype(np.int64), counts[copies])
+        sent = sent[np.repeat(~copies, sizes)]
+        docs, lows, counts, marks, sizes = (x[~copies] for x in (docs, lows, counts, marks, sizes))
         # Laid out so that minimizers lie at multiples of the period: equal windows share a residue.
         lead = (-marks.astype(np.int64)) % PERIOD
         room = -(-(lead + sizes) // PERIOD) * PERIOD + PERIOD
@@ -411,7 +428,8 @@ def _sorted_bucket(targets: int, length: int):
         owner = np.repeat(docs, counts)
         least = smallest_owner(text, np.repeat(first, counts) + step, owner, length, aligned=True)
         later = np.flatnonzero(least < owner)
-        return pa.Table.from_batches([to_targets(0, targets, owner[later], (np.repeat(lows, counts) + step)[later])])
+        places = np.concatenate([(np.repeat(lows, counts) + step)[later], known[1]])
+        return pa.Table.from_batches([to_targets(0, targets, np.concatenate([owner[later], known[0]]), places)])
 
     return work
 
