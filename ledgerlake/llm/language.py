@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ledgerlake.llm.common import seeded, steps
+from ledgerlake.llm.common import give_back, seeded, steps
 
 DIMENSIONS = 1024
 _STEP = 1 << 20  # text bundled at once: several tables of trigrams and vectors belong to it
@@ -103,6 +103,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
             vectors, _ = _bundles(batch.column("text").to_pylist())
             for name in set(langs):
                 found[name] = found.get(name, 0) + vectors[langs == name].sum(0, dtype=np.float64)
+        give_back()
         values = [x.tolist() for x in found.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(values, pa.list_(pa.float64()))], ["lang", "v"])
 
@@ -136,6 +137,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
             lang = [names[b] if ok else "und" for b, ok in zip(best, found)]
             score = np.where(found, cosines[np.arange(len(best)), best], 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
+        give_back()
 
     out = docs.select(*kept)
     fields = [*out.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]

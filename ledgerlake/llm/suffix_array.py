@@ -28,6 +28,7 @@ from ledgerlake.llm.common import (
     bucket_of,
     buckets_for,
     flat,
+    give_back,
     keyed_rows,
     listed,
     mixed,
@@ -169,6 +170,7 @@ def _anchors(buckets: int, length: int):
             if box.bytes > _FLUSH:
                 yield box.batch()
         yield box.batch()
+        give_back()
 
     return work
 
@@ -286,6 +288,7 @@ def _contexts(buckets: int, targets: int, length: int):
             if box.bytes > _FLUSH:
                 yield box.batch()
         yield box.batch()
+        give_back()
 
     return work
 
@@ -429,7 +432,10 @@ def _sorted_bucket(targets: int, length: int):
         least = smallest_owner(text, np.repeat(first, counts) + step, owner, length, aligned=True)
         later = np.flatnonzero(least < owner)
         places = np.concatenate([(np.repeat(lows, counts) + step)[later], known[1]])
-        return pa.Table.from_batches([to_targets(0, targets, np.concatenate([owner[later], known[0]]), places)])
+        found = to_targets(0, targets, np.concatenate([owner[later], known[0]]), places)
+        del text, owner, least, sent, step
+        give_back()
+        return pa.Table.from_batches([found])
 
     return work
 
