@@ -166,17 +166,20 @@ def profile_summary(transactions: DataFrame, accounts: DataFrame, patterns: Data
         count_where(~enrich.cross_currency()).alias("same_currency_count"),
         count_where(enrich.self_transfer()).alias("self_transfer_count"),
     )
-    # A pair with a NULL part counts as a pair, so the tuple is counted as a struct.
-    master = accounts.agg(
-        F.count("*").alias("account_master_rows"),
-        F.count_distinct(F.struct("bank_id", "account_number")).alias("account_business_keys"),
-        F.count_distinct("bank_id").alias("bank_master_count"),
-        F.count_distinct("entity_id").alias("entity_count"),
-    )
-    attempts = patterns.agg(
-        F.count("*").alias("pattern_transaction_count"),
-        F.count_distinct("pattern_attempt_id").alias("pattern_attempt_count"),
-        F.count_distinct("pattern_type").alias("pattern_type_count"),
+    # Distinct counts by grouping twice, not side by side: no row is copied for each of them.
+    # A pair with a NULL part counts as a pair; a NULL bank, entity, attempt or type does not count.
+    pairs = accounts.groupBy("bank_id", "account_number").agg(F.count("*").alias("n"))
+    banks = pairs.groupBy("bank_id").agg(F.sum("n").alias("n"), F.count("*").alias("pairs"))
+    master = banks.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("account_master_rows"),
+        F.coalesce(F.sum("pairs"), F.lit(0)).alias("account_business_keys"),
+        F.count("bank_id").alias("bank_master_count"),
+    ).crossJoin(accounts.groupBy("entity_id").agg(F.lit(1)).agg(F.count("entity_id").alias("entity_count")))
+    attempts = (
+        patterns.groupBy("pattern_attempt_id")
+        .agg(F.count("*").alias("n"))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pattern_transaction_count"), F.count("pattern_attempt_id").alias("pattern_attempt_count"))
+        .crossJoin(patterns.groupBy("pattern_type").agg(F.lit(1)).agg(F.count("pattern_type").alias("pattern_type_count")))
     )
     rate = rate_percent("laundering_count", "transaction_count")
     return moved.crossJoin(master).crossJoin(attempts).withColumn("laundering_rate_percent", rate)
