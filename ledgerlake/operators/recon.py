@@ -223,18 +223,55 @@ def grain_checks(views: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def orphan_checks(views: dict[str, DataFrame]) -> DataFrame:
-    """Rows on the many side of a relationship without a partner on the one side."""
+def orphans(views: dict[str, DataFrame], places: list[int]) -> DataFrame:
+    """(place, orphans): rows on the many side of each relationship without a partner on the one side.
+
+    Each many side is scanned once: its rows collapse to their distinct key combinations on the
+    map side, and only those meet the one sides. A key that is NULL has no partner.
+    """
+    by_many: dict[str, list[int]] = {}
+    for place in places:
+        by_many.setdefault(RELATIONSHIPS[place][2], []).append(place)
     result = None
-    for check, place in ORPHAN_CHECKS.items():
-        one, one_key, many, many_key = RELATIONSHIPS[place]
-        partner = views[one].select(F.col(one_key).alias("_partner"))
-        orphans = views[many].join(partner, F.col(many_key) == F.col("_partner"), "left_anti")
-        part = orphans.agg(F.lit(check).alias("check_name"), F.count("*").alias("error_count"))
+    for many, held in by_many.items():
+        keys = sorted({RELATIONSHIPS[place][3] for place in held})
+        rows = views[many].groupBy(*keys).agg(F.count("*").alias("_rows"))
+        for place in held:
+            one, one_key, _, many_key = RELATIONSHIPS[place]
+            partner = views[one].select(F.col(one_key).alias(f"_p{place}")).distinct()
+            rows = rows.join(partner, F.col(many_key) == F.col(f"_p{place}"), "left")
+        lost = lambda place: F.coalesce(F.sum(F.when(F.col(f"_p{place}").isNull(), F.col("_rows"))), F.lit(0))
+        one_row = rows.agg(*[lost(place).cast("long").alias(f"_n{place}") for place in held])
+        pairs = F.array(*[F.struct(F.lit(place).alias("place"), F.col(f"_n{place}").alias("orphans")) for place in held])
+        part = one_row.select(F.inline(pairs))
         result = part if result is None else result.unionByName(part)
     return result
 
 
+def _named(names: dict[int, Column]) -> Column:
+    named = None
+    for place, name in names.items():
+        named = F.when(F.col("place") == place, name) if named is None else named.when(F.col("place") == place, name)
+    return named
+
+
+def orphan_checks(views: dict[str, DataFrame]) -> DataFrame:
+    """The named checks among the relationships."""
+    found = orphans(views, list(ORPHAN_CHECKS.values()))
+    names = {place: F.lit(check) for check, place in ORPHAN_CHECKS.items()}
+    return found.select(_named(names).alias("check_name"), F.col("orphans").alias("error_count"))
+
+
+def reference_orphans(views: dict[str, DataFrame]) -> DataFrame:
+    """Every relationship with its orphans."""
+    found = orphans(views, list(range(len(RELATIONSHIPS))))
+    return found.select(
+        _named({i: F.lit(f"{many}.{key}") for i, (_, _, many, key) in enumerate(RELATIONSHIPS)}).alias("reference"),
+        _named({i: F.lit(one) for i, (one, *_) in enumerate(RELATIONSHIPS)}).alias("one_side"),
+        "orphans",
+    )
+
+
 def expected_kpi(kpi: DataFrame, expected: DataFrame) -> DataFrame:
     """KPI row against a one-row frame of expected values, one output row per KPI."""
     names = expected.columns

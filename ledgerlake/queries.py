@@ -367,20 +367,7 @@ register(
     "top_sender_banks",
     lambda ws: kpis.top_sender_banks(ws.source.transactions, dm.bank_directory(ws.source.accounts)),
 )
-register("ref_integrity", lambda ws: _ref_integrity(ws))
-
-
-def _ref_integrity(ws) -> DataFrame:
-    """Orphans on the many side of every relationship of the model."""
-    result = None
-    for one, one_key, many, many_key in recon.RELATIONSHIPS:
-        partner = ws.reports[one].select(F.col(one_key).alias("_partner"))
-        orphans = ws.reports[many].join(partner, F.col(many_key) == F.col("_partner"), "left_anti")
-        part = orphans.agg(
-            F.lit(f"{many}.{many_key}").alias("reference"), F.lit(one).alias("one_side"), F.count("*").alias("orphans")
-        )
-        result = part if result is None else result.unionByName(part)
-    return result
+register("ref_integrity", lambda ws: recon.reference_orphans(ws.reports))
 
 
 @query
