@@ -20,6 +20,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from ledgerlake.llm.common import give_back, seeded, steps
 
 DIMENSIONS = 1024
+TELLING = 20  # letters from which on a text unlike every language can be told from a rare word
 _STEP = 1 << 20  # text bundled at once: several tables of trigrams and vectors belong to it
 _SPACE = 0
 _CACHE: dict = {}
@@ -167,14 +168,16 @@ def least_cosine(languages: int, error: float = 1e-4) -> float:
     return NormalDist().inv_cdf(1 - error / max(1, languages)) / DIMENSIONS**0.5
 
 
-def accepted_languages(docs: DataFrame, least: float | None = None) -> DataFrame:
+def accepted_languages(docs: DataFrame, least: float | None = None, telling: int = TELLING) -> DataFrame:
     """``docs`` without texts of no recognisable language.
 
-    Rejects a text that is null or has no letter, and one whose cosine with every language is
-    below ``least``, by default :func:`least_cosine` of the languages learned. Repeated rows and
-    rows without an id are judged like others; an empty table stays empty.
+    Rejects a text that is null or has no letter, and one of at least ``telling`` letters whose
+    cosine with every language is below ``least``, by default :func:`least_cosine` of the languages
+    learned. A shorter text stays: the few trigrams of a rare word may be unlike its own language.
+    Repeated rows and rows without an id are judged like others; an empty table stays empty.
     """
     prototypes = train(docs.filter(~held_out()))
     judged = predict(docs, prototypes)
     bound = least_cosine(len(prototypes)) if least is None else least
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= bound)).select(*docs.columns)
+    letters = F.length(F.regexp_replace("text", r"\P{L}+", ""))
+    return judged.filter((F.col("lang_pred") != "und") & ((F.col("score") >= bound) | (letters < telling))).select(*docs.columns)

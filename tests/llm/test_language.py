@@ -105,6 +105,7 @@ def test_predictions_against_plain_prototypes(spark):
 def test_unlearned_script_is_rejected(spark):
     rows = [(i, TEXTS[l] * 3, l) for i, l in enumerate("ab" * 20)]
     rows += [(100 + i, "".join(chr(0x4E00 + (i * 131 + j * 17) % 4000) for j in range(60)), None) for i in range(300)]
+    rows += [(500, "xq", None), (501, "\u4e2d\u6587 12", None), (502, "12 34", None)]  # too short to tell, and no letter
     kept = {r["doc_id"] for r in accepted_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
-    assert kept == set(range(40))
+    assert kept == {*range(40), 500, 501}
     assert least_cosine(200) > least_cosine(2) > 3.5 / DIMENSIONS**0.5
