@@ -6,8 +6,10 @@ of the test items are joined with those of every place of every document. A hit
 diagonal (a place in the document for each token of the item), on which the overlap is
 verified token by token, substitutions allowed.
 
-An item of fewer than 15 tokens has its own few seeds: they leave out, in turn, each part that
-its allowed substitutions could hit, so one of them always holds. Its whole diagonal is judged.
+One rule holds for items of every length: SHARE of the item's tokens agree on the diagonal, or
+some segment of it has LEAST_TOKENS agreeing tokens that outweigh its substitutions. An item of
+fewer than 15 tokens has its own few seeds: they leave out, in turn, each part that its allowed
+substitutions could hit, so one of them always holds.
 
 The test side is taken in blocks of bounded size; each block goes to all tasks and the
 documents are scanned once for it, without a shuffle.
@@ -29,7 +31,7 @@ from ledgerlake.llm.common import flat, hashed_words, run_starts, seeded, stage,
 #: Five tokens each; 0 is a place that is ignored.
 MASKS = ("11111", "1101011", "1011101", "11100101")
 #: For items below 15 tokens: masks and their places in the item, one of which avoids the
-#: substitutions that SHORT_SHARE allows (none up to 4 tokens, one up to 9, two up to 14).
+#: substitutions that SHARE allows (none up to 4 tokens, one up to 9, two up to 14).
 SHORT_SEEDS = {
     1: (("1", 0),),
     2: (("11", 0),),
@@ -47,10 +49,11 @@ SHORT_SEEDS = {
     14: (("1111", 0), ("11111", 4), ("11111", 9)),
 }
 BLOCK_BYTES = 2 << 20  # text of the test items searched for in one scan
-#: Tokens that must agree; a shorter item must agree in SHORT_SHARE of its tokens.
-LEAST_TOKENS, SHORT_SHARE = 12, 0.8
+#: Agreeing tokens that a segment must have, or the share of the whole item that must agree.
+LEAST_TOKENS, SHARE = 12, 0.8
 MISMATCH = 2.0  # agreeing tokens that one substitution costs
 _STEP = 512 << 10
+_CELLS = 1 << 20  # token pairs verified at once
 _TOKEN_SEED, _SEED_SEED, _SIEVE_BITS = 51, 52, 21
 
 
@@ -169,27 +172,31 @@ class TestItems:
         diagonals = self._diagonals(tokens, first)
         sizes = np.diff(self.first)[diagonals[:, 1]]
         out = []
-        for doc, item, shift in diagonals[sizes > max(SHORT_SEEDS)].tolist():
-            low = max(self.first[item], first[doc] - shift)
-            high = min(self.first[item + 1], first[doc + 1] - shift)
-            same = self.tokens[low:high] == tokens[low + shift : high + shift]
-            lo, hi = _best_segment(same)
-            agreeing = int(same[lo:hi].sum())
-            if agreeing >= LEAST_TOKENS:
-                out.append((doc, item, int(low + lo + shift - first[doc]), int(low + lo - self.first[item]), hi - lo, agreeing))
-        for size in np.unique(sizes[sizes <= max(SHORT_SEEDS)]):  # all diagonals of one length at once
-            doc, item, shift = diagonals[sizes == size].T
-            own = self.first[item][:, None] + np.arange(size)
-            there = own + shift[:, None]
-            inside = (there >= first[doc][:, None]) & (there < first[doc + 1][:, None])
-            same = inside & (self.tokens[own] == tokens[np.where(inside, there, 0)])
-            agreeing = same.sum(1)
-            lo, hi = same.argmax(1), size - same[:, ::-1].argmax(1)
-            start = self.first[item] + lo + shift - first[doc]
-            good = agreeing >= SHORT_SHARE * size
-            out += list(zip(*(x[good].tolist() for x in (doc, item, start, lo, hi - lo, agreeing))))
+        for size in np.unique(sizes):  # the diagonals of one length, a bounded number at once
+            mine = diagonals[sizes == size]
+            step = max(1, _CELLS // int(size))
+            for at in range(0, len(mine), step):
+                out += self._verified(mine[at : at + step], int(size), tokens, first)
         return out
 
+    def _verified(self, diagonals: np.ndarray, size: int, tokens: np.ndarray, first: np.ndarray) -> list[tuple]:
+        """The overlaps on diagonals of items of ``size`` tokens."""
+        doc, item, shift = diagonals.T
+        own = self.first[item][:, None] + np.arange(size)
+        there = own + shift[:, None]
+        inside = (there >= first[doc][:, None]) & (there < first[doc + 1][:, None])
+        same = inside & (self.tokens[own] == tokens[np.where(inside, there, 0)])
+        agreeing = same.sum(1)
+        lo, hi = same.argmax(1), size - same[:, ::-1].argmax(1)
+        good = agreeing >= SHARE * size
+        for i in np.flatnonzero(~good & (agreeing >= LEAST_TOKENS)).tolist():
+            low, high = _best_segment(same[i])
+            count = int(same[i, low:high].sum())
+            if count >= LEAST_TOKENS:
+                lo[i], hi[i], agreeing[i], good[i] = low, high, count, True
+        start = self.first[item] + lo + shift - first[doc]
+        return list(zip(*(x[good].tolist() for x in (doc, item, start, lo, hi - lo, agreeing))))
+
 
 def _best_segment(same: np.ndarray) -> tuple[int, int]:
     """The segment where agreeing tokens outweigh the substitutions most."""
@@ -213,8 +220,8 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[TestItems]:
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """Every verified overlap: doc_id, item_id, doc_start, item_start, length, agreeing (in tokens).
 
-    An overlap needs LEAST_TOKENS agreeing tokens, or SHORT_SHARE of an item that has fewer
-    than that would be, in any place of it. Tokens are lower-cased runs of letters and digits, and
+    On one diagonal, SHARE of the item's tokens agree (the overlap reaches from the first to the
+    last of them), or else a segment has LEAST_TOKENS agreeing ones. Tokens are lower-cased runs of letters and digits, and
     the single letters of scripts without spaces. An item of one to four tokens must be there
     whole; items or documents without tokens overlap nothing. Repeated rows are judged one by one; other columns are ignored; empty tables give no row.
     """

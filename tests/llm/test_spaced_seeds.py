@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -122,3 +123,29 @@ def test_scripts_without_spaces(spark, frame):
     items = [(1, "什么是最小的素数"), (2, "ประเทศไทยมีกี่จังหวัด"), (3, "東京はどこにありますか"), (4, "𠀀𠀁𠀂"), (5, "большой дом")]
     docs = [(i, f"前面的话{t}後の文ต่อ") for i, t in items] + [(9, "什么是最大的素数"), (10, "什么东西"), (11, "ein большой дом, ja")]
     assert pairs(spark, frame, docs, items) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (9, 1), (11, 5)}
+
+
+def admitted(same):
+    """The rule on one diagonal: SHARE of all places, or the best of all segments (of equals the first, longest)."""
+    n = len(same)
+    scores = {(lo, hi): sum(1 if x else -2 for x in same[lo:hi]) for lo in range(n) for hi in range(lo + 1, n + 1)}
+    lo, hi = max(scores, key=lambda x: (scores[x], -x[1], -x[0]))
+    return sum(same) >= 0.8 * n or sum(same[lo:hi]) >= 12
+
+
+def test_one_rule_at_every_length(spark, frame):
+    """Substitutions at random places: whatever the rule admits is found, nothing else."""
+    draw, docs, items, want = random.Random(5), [], [], set()
+    for n in (13, 14, 15, 16, 17, 20, 25, 30, 45, 60):
+        words = [f"item{n}word{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        for share in (0.1, 0.2, 0.3, 0.5):
+            for _ in range(25):
+                changed = set(draw.sample(range(n), int(share * n)))
+                text = ["x" if k in changed else w for k, w in enumerate(words)]
+                if admitted([k not in changed for k in range(n)]):
+                    want.add((len(docs), n))
+                docs.append((len(docs), " ".join(["before", *text, "after"])))
+    found = pairs(spark, frame, docs, items)
+    assert found == want
+    assert {n for _, n in want} == {n for n, _ in items} and len(want) < len(docs)
