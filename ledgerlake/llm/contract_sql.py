@@ -97,3 +97,80 @@ JOIN subtrees s ON s.conv_id = n.conv_id AND s.depth = n.depth
 LEFT JOIN above p ON p.conv_id = n.conv_id AND p.depth = n.depth AND p.top = n.depth - 1
 LEFT JOIN children c ON c.conv_id = n.conv_id AND c.depth = n.depth
 LEFT JOIN ends e ON e.conv_id = n.conv_id AND e.depth = n.depth"""
+
+
+def repeated_bytes_sql(length: int = 50) -> str:
+    """Texts as hexadecimal digits, two a byte; every window of ``length`` bytes is compared whole.
+
+    A block holds the ``length`` windows that start in its first half, so no window is cut from a long text.
+    """
+    return f"""
+WITH texts AS (SELECT doc_id, row_number() OVER () AS rid, lower(hex(encode(coalesce(text, '')))) AS digits FROM documents),
+blocks AS (
+    SELECT rid, doc_id, low, digits[2 * low + 1:2 * (low + 2 * {length} - 1)] AS block
+    FROM texts, LATERAL (SELECT unnest(range(0, length(digits) // 2 - {length} + 1, {length})) AS low)),
+windows AS (
+    SELECT rid, doc_id, low + step AS spot, block[2 * step + 1:2 * (step + {length})] AS piece
+    FROM blocks, LATERAL (SELECT unnest(range(least({length}, length(block) // 2 - {length} + 1))) AS step)),
+repeats AS (SELECT rid, spot FROM (SELECT rid, doc_id, spot, min(doc_id) OVER (PARTITION BY piece) AS first FROM windows) WHERE first < doc_id),
+marked AS (SELECT rid, spot, coalesce(spot - lag(spot) OVER (PARTITION BY rid ORDER BY spot) > {length}, true) AS opens FROM repeats),
+grouped AS (SELECT rid, spot, sum(opens::INTEGER) OVER (PARTITION BY rid ORDER BY spot) AS span FROM marked),
+spans AS (SELECT rid, min(spot) AS low, max(spot) + {length} AS high FROM grouped GROUP BY rid, span),
+between_spans AS (
+    SELECT rid, low, high, digits[2 * coalesce(lag(high) OVER (PARTITION BY rid ORDER BY low), 0) + 1:2 * low] AS before
+    FROM spans JOIN texts USING (rid)),
+cut AS (
+    SELECT rid, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last, string_agg(before, '' ORDER BY low) AS kept
+    FROM between_spans GROUP BY rid)
+SELECT doc_id, length(digits) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || digits[2 * coalesce(last, 0) + 1:])) AS kept_sha256
+FROM texts LEFT JOIN cut USING (rid)"""
+
+
+def repeated_words_sql(window: int = 35) -> str:
+    """A window's words joined by a space, which no word holds, are compared whole."""
+    return f"""
+WITH texts AS (
+    SELECT doc_id, rid, {_WORDS} AS words
+    FROM (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS body FROM documents)),
+windows AS (
+    SELECT rid, spot, array_to_string(words[spot + 1:spot + {window}], ' ') AS piece
+    FROM texts, LATERAL (SELECT unnest(range(len(words) - {window} + 1)) AS spot)),
+repeats AS (SELECT rid, spot FROM (SELECT rid, spot, count(*) OVER (PARTITION BY piece) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT rid, spot + step AS place FROM repeats, range({window}) AS s(step)),
+places AS (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM texts),
+kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS words FROM places ANTI JOIN gone USING (rid, place) GROUP BY rid)
+SELECT doc_id, len(t.words)::BIGINT AS n_words, (len(t.words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k.words, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (rid)"""
+
+
+def near_duplicates_sql(width: int = 5, least_percent: int = 80) -> str:
+    """Distinct shingle sets, joined on every shingle they share; classes spread over the links."""
+    return f"""
+WITH RECURSIVE texts AS (SELECT doc_id, {_WORDS} AS words FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)),
+sets AS (
+    SELECT doc_id, list_sort(list_distinct(list_transform(
+        range(CASE len(words) WHEN 0 THEN 0 ELSE greatest(1, len(words) - {width} + 1) END),
+        lambda i: array_to_string(words[i + 1:i + {width}], ' ')))) AS shingles
+    FROM texts),
+kinds AS (
+    SELECT min(doc_id) AS node, count(*) AS copies, shingles, len(shingles) AS n FROM sets WHERE len(shingles) > 0 GROUP BY shingles),
+held AS (SELECT node, n, unnest(shingles) AS shingle FROM kinds),
+shared AS (
+    SELECT a.node AS u, b.node AS v, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS common
+    FROM held a JOIN held b ON a.shingle = b.shingle AND a.node < b.node
+        AND 100 * a.n >= {least_percent} * b.n AND 100 * b.n >= {least_percent} * a.n
+    GROUP BY a.node, b.node),
+pairs AS (SELECT u, v FROM shared WHERE 100 * common >= {least_percent} * (n + m - common)),
+links AS (SELECT u, v FROM pairs UNION ALL SELECT v, u FROM pairs),
+reached AS (
+    SELECT node, node AS other FROM kinds
+    UNION
+    SELECT r.node, l.v FROM reached r JOIN links l ON l.u = r.other),
+classes AS (SELECT node, min(other) AS class_id FROM reached GROUP BY node),
+counted AS (SELECT u AS node, sum(copies) AS near FROM links JOIN kinds ON node = v GROUP BY u),
+named AS (
+    SELECT shingles, class_id, copies - 1 + coalesce(near, 0) AS n_links
+    FROM kinds JOIN classes USING (node) LEFT JOIN counted USING (node))
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM sets LEFT JOIN named USING (shingles)"""

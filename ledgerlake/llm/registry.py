@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm.contract_sql import filter_audit_sql, prefix_trie_sql
+from ledgerlake.llm.contract_sql import filter_audit_sql, near_duplicates_sql, prefix_trie_sql, repeated_bytes_sql, repeated_words_sql
 from ledgerlake.llm.filter_audit import op13_filter_audit
 from ledgerlake.llm.fixed_blocks import op8_fixed_blocks
 from ledgerlake.llm.html_mincut import op1_html_mincut
@@ -45,4 +45,10 @@ def _query(operator: Callable[..., DataFrame], tables: tuple[str, ...]) -> Calla
 
 QUERIES = {name: _query(*x) for name, x in OPERATORS.items()}
 #: What SQL can state over whole tables; tests/llm holds brute-force versions of the others.
-SQL: dict[str, str] = {"op11_prefix_trie": prefix_trie_sql(), "op13_filter_audit": filter_audit_sql()}
+SQL: dict[str, str] = {
+    "op2_suffix_array": repeated_bytes_sql(),
+    "op7_ngram_join": near_duplicates_sql(),
+    "op8_fixed_blocks": repeated_words_sql(),
+    "op11_prefix_trie": prefix_trie_sql(),
+    "op13_filter_audit": filter_audit_sql(),
+}
