@@ -10,14 +10,16 @@ from datetime import datetime, timedelta
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.operators import semantic
+from ledgerlake.operators import enrich, semantic
+from ledgerlake.operators import typing as ty
 from ledgerlake.plans import source_load as sl
 from ledgerlake.plans.source_load import SourceTables
 from ledgerlake.plans.store import Clock, TableStore
 from ledgerlake.plans.warehouse import Warehouse
 from ledgerlake.session import fresh_path, run_together, stage
-from ledgerlake.sources import testtables
+from ledgerlake.sources import sinks, testtables
 
 CLOCK_START = datetime(2024, 1, 1)
 CLOCK_STEP = timedelta(seconds=90)
@@ -97,6 +99,17 @@ class Workspace:
     def reports(self) -> dict[str, DataFrame]:
         return self.warehouse.reports()
 
+    @cached_property
+    def curated(self) -> dict[str, DataFrame]:
+        """The curated copy as a lakehouse reads it: valid facts by month, and the bridge to pattern attempts."""
+        folder = self.path("curated")
+        rows = enrich.curated_transactions(ty.lenient_transactions(self.landing["transaction"]), "run-1")
+        by_month = rows.withColumn("txn_month", F.date_format("txn_date", "yyyyMM").cast("int"))
+        sinks.write_curated(by_month, folder, "txn_month")
+        sinks.write_bridge(self.source.patterns, folder)
+        names = ("fact_transaction", "bridge_pattern_transaction")
+        return {name: self.spark.read.parquet(f"{folder}/{name}") for name in names}
+
     @property
     def daily(self) -> DataFrame:
         return semantic.sliced_daily(self.reports)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.ordinals import dense_ordinal, file_ordinal
 from ledgerlake.operators import datasets as ds
 from ledgerlake.operators import dims as dm
+from ledgerlake.operators import curated as cu
 from ledgerlake.operators import enrich, kpis, marts, recon, semantic, topk
 from ledgerlake.operators import facts as fx
 from ledgerlake.operators import reporting as rp
@@ -941,16 +942,41 @@ def demo_latest_checks(ws):
     return ws.reports["etl_validation_result"].join(F.broadcast(newest), "dw_batch_id")
 
 
+def _two_copies(ws) -> tuple[DataFrame, DataFrame]:
+    """The written curated copy and the warehouse's fact in the columns they share; their validity rules differ."""
+    t = ws.tables
+    local = cu.warehouse_copy(t["fact_transaction"], t["dim_currency"], t["dim_payment_format"])
+    return cu.shared_columns(ws.curated["fact_transaction"]), local
+
+
 @query
 def curated_vs_local(ws):
-    """Curated copy against the warehouse, per payment format; the copies apply different validity rules."""
-    counts = [F.count("*").alias("row_count"), F.count_if(F.col("is_laundering").cast("int") == 1).alias("laundering_count")]
-    curated = _curated(ws).where("is_valid").groupBy("payment_format").agg(*counts)
-    local = (
-        ws.tables["fact_transaction"].groupBy("payment_format_key").agg(*counts)
-        .join(ws.tables["dim_payment_format"], "payment_format_key")
+    """Written curated copy against the warehouse, per payment format."""
+    counts = [F.count("*").alias("row_count"), F.count_if("is_laundering").alias("laundering_count")]
+    sides = [copy.groupBy("payment_format").agg(*counts) for copy in _two_copies(ws)]
+    return recon.compare_by_key(*sides, ["payment_format"], ["row_count", "laundering_count"])
+
+
+register("curated_vs_local_totals", lambda ws: cu.totals_compared(*_two_copies(ws)))
+register("curated_vs_local_daily", lambda ws: cu.days_compared(*_two_copies(ws)))
+register(
+    "curated_vs_local_rows",
+    lambda ws: cu.differing_rows(*_two_copies(ws), "transaction_key", ("curated", "local")),
+)
+register("curated_completeness", lambda ws: kpis.window_bounds(ws.curated["fact_transaction"]))
+register("curated_aml_rate", lambda ws: cu.aml_rate(ws.curated["fact_transaction"]))
+register("curated_daily", lambda ws: cu.daily(ws.curated["fact_transaction"]))
+register("curated_format_rate", lambda ws: cu.format_rate(ws.curated["fact_transaction"]))
+register("curated_flags", lambda ws: cu.flag_counts(ws.curated["fact_transaction"]))
+
+
+@query
+def curated_patterns(ws):
+    """Attempts and transfers per type, from the written bridge."""
+    bridge = ws.curated["bridge_pattern_transaction"]
+    return bridge.groupBy("pattern_type").agg(
+        F.count("*").alias("pattern_transaction_count"), F.count_distinct("attempt_id").alias("attempt_count")
     )
-    return recon.compare_by_key(curated, local, ["payment_format"], ["row_count", "laundering_count"])
 
 
 @query

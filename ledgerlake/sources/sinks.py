@@ -67,3 +67,26 @@ def write_curated(curated: DataFrame, folder: str, partition: str = "txn_date")
 
 def write_rejects(rejects: DataFrame, folder: str) -> None:
     rejects.write.mode("overwrite").parquet(f"{folder}/rejects/transaction")
+
+
+def write_bridge(patterns: DataFrame, folder: str) -> None:
+    """The transfers of each pattern attempt beside the curated facts, a folder for each of the few types."""
+    bridge = patterns.select(
+        "pattern_transaction_id",
+        F.col("pattern_attempt_id").alias("attempt_id"),
+        "pattern_sequence",
+        "transaction_timestamp",
+        "from_bank_id",
+        "from_account_id",
+        "to_bank_id",
+        "to_account_id",
+        "amount_paid",
+        "payment_currency",
+        "pattern_type",
+    )
+    (
+        bridge.hint("rebalance", "pattern_type")
+        .write.mode("overwrite")
+        .partitionBy("pattern_type")
+        .parquet(f"{folder}/bridge_pattern_transaction")
+    )

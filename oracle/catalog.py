@@ -683,6 +683,49 @@ def _raw() -> dict[str, str]:
     FROM (SELECT payment_format, count(*) AS n, {AML1} AS l FROM v_curated WHERE is_valid GROUP BY 1) s
     FULL JOIN (SELECT payment_format, transaction_count AS n, laundering_count AS l FROM m_format) t
         ON s.payment_format = t.payment_format"""
+    curated = "(SELECT * FROM v_curated WHERE is_valid)"
+    local = """(SELECT transaction_key, date_key, payment_format, p.currency_name AS payment_currency,
+        r.currency_name AS receiving_currency, amount_paid, amount_received, is_laundering, is_cross_bank,
+        is_cross_currency, is_self_transfer
+        FROM v_fact f LEFT JOIN v_dim_payment_format USING (payment_format_key)
+        LEFT JOIN v_dim_currency p ON p.currency_key = payment_currency_key
+        LEFT JOIN v_dim_currency r ON r.currency_key = receiving_currency_key)"""
+    shared = """(SELECT transaction_key, CAST(strftime(txn_date, '%Y%m%d') AS INTEGER) AS date_key, payment_format,
+        payment_currency, receiving_currency, amount_paid, amount_received, is_laundering = 1 AS is_laundering,
+        is_cross_bank, is_cross_currency, is_self_transfer FROM v_curated WHERE is_valid)"""
+    flag_counts = ", ".join(
+        f"count(*) FILTER (WHERE is_{flag}) AS {flag}_count" for flag in ("cross_bank", "self_transfer", "cross_currency"))
+    aml = f"{AML1} AS laundering_count, {rate(AML1, 'count(*)')} AS laundering_rate_percent"
+    sql["curated_completeness"] = f"""SELECT count(*) AS transaction_count, min(transaction_timestamp) AS min_timestamp,
+        max(transaction_timestamp) AS max_timestamp FROM {curated}"""
+    sql["curated_aml_rate"] = f"SELECT count(*) AS transaction_count, {aml} FROM {curated}"
+    sql["curated_daily"] = f"SELECT txn_date, count(*) AS transaction_count, {AML1} AS laundering_count FROM {curated} GROUP BY 1"
+    sql["curated_format_rate"] = f"SELECT payment_format, count(*) AS transaction_count, {aml} FROM {curated} GROUP BY 1"
+    sql["curated_flags"] = f"SELECT {flag_counts} FROM {curated}"
+    sql["curated_patterns"] = """SELECT pattern_type, count(*) AS pattern_transaction_count,
+        count(DISTINCT pattern_attempt_id) AS attempt_count FROM v_pattern GROUP BY 1"""
+    aml_both = "count(*) FILTER (WHERE is_laundering)"
+    figures = {
+        "transaction_count": "count(*)", "laundering_count": aml_both,
+        "cross_bank_count": "count(*) FILTER (WHERE is_cross_bank)",
+        "self_transfer_count": "count(*) FILTER (WHERE is_self_transfer)",
+        "cross_currency_count": "count(*) FILTER (WHERE is_cross_currency)",
+        "first_date_key": "min(date_key)", "last_date_key": "max(date_key)",
+        "laundering_rate_percent": rate(aml_both, "count(*)")}
+    figure = lambda value, copy: f"(SELECT CAST({value} AS DECIMAL(38,6)) FROM {copy})"
+    sql["curated_vs_local_totals"] = "SELECT *, source_value IS NOT DISTINCT FROM target_value AS matches FROM (" + " UNION ALL ".join(
+        f"SELECT '{name}' AS measure, {figure(value, shared)} AS source_value, {figure(value, local)} AS target_value"
+        for name, value in figures.items()) + ")"
+    sql["curated_vs_local_daily"] = f"""
+    SELECT coalesce(s.date_key, t.date_key) AS date_key, s.n AS source_transaction_count, s.l AS source_laundering_count,
+        t.n AS target_transaction_count, t.l AS target_laundering_count,
+        s.n IS NOT DISTINCT FROM t.n AND s.l IS NOT DISTINCT FROM t.l AS matches
+    FROM (SELECT date_key, count(*) AS n, {aml_both} AS l FROM {shared} GROUP BY 1) s
+    FULL JOIN (SELECT date_key, count(*) AS n, {aml_both} AS l FROM {local} GROUP BY 1) t ON s.date_key = t.date_key"""
+    sql["curated_vs_local_rows"] = f"""
+    SELECT *, 'curated' AS copy, count(*) AS surplus FROM (SELECT * FROM {shared} EXCEPT ALL SELECT * FROM {local}) GROUP BY ALL
+    UNION ALL
+    SELECT *, 'local', count(*) FROM (SELECT * FROM {local} EXCEPT ALL SELECT * FROM {shared}) GROUP BY ALL"""
     after = {dim: 1 for dim in DIMS} | {"dim_time": 1441, "fact_transaction": 0, "fact_pattern_transaction": 0, "dw_rejected_row": 0}
     held = {dim: f"v_{dim}" for dim in DIMS} | {"fact_transaction": "v_fact", "fact_pattern_transaction": "v_fact_pattern", "dw_rejected_row": "v_dw_reject"}
     sql["dw_reset"] = " UNION ALL ".join(
