@@ -23,7 +23,11 @@ OBJECTS = {
 
 
 class LandingGateError(RuntimeError):
-    pass
+    """``wrong`` holds (found, expected) for each landing frame that stopped the batch."""
+
+    def __init__(self, wrong: dict[str, tuple[int | None, int]]):
+        super().__init__(f"landing rows differ (found, expected): {wrong}")
+        self.wrong = wrong
 
 
 @dataclass
@@ -52,7 +56,7 @@ def landing_gate(landing: dict[str, DataFrame], expected: dict[str, int]) -> Non
     counted = {r["source_object"]: r["row_count"] for r in landing_counts(landing).collect()}
     wrong = {k: (counted.get(k), v) for k, v in expected.items() if counted.get(k) != v}
     if wrong:
-        raise LandingGateError(f"landing rows differ (found, expected): {wrong}")
+        raise LandingGateError(wrong)
 
 
 def load_source_batch(

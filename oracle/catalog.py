@@ -631,6 +631,9 @@ def _raw() -> dict[str, str]:
         true AS has_message, CAST(0 AS BIGINT) AS published_rows FROM v_txn"""
     landed = {"account": "v_account_landing", "transaction": "v_txn_landing", "pattern": "v_pattern_landing"}
     sql["landing_gate"] = f"SELECT source_object, row_count, row_count AS expected_rows, 'OK' AS status FROM ({counts(landed, 'source_object')})"
+    sql["landing_gate_stop"] = f"""SELECT {ONE} AS batch_id, 'FAILED' AS status, false AS anything_written,
+        'account' AS source_object, (SELECT count(*) FROM v_account_landing) AS row_count,
+        (SELECT count(*) FROM customer) AS expected_rows"""
     sql["recon_9_checks"] = "SELECT validation_result_id, dw_batch_id, check_name, source_value, target_value, status FROM v_checks"
     halves = {"account": ("v_account", "v_account_reject"), "transaction": ("v_txn", "v_txn_reject"), "pattern": ("v_pattern", "v_pattern_reject")}
     sql["landing_empty_check"] = " UNION ALL ".join(
@@ -731,6 +734,10 @@ def _raw() -> dict[str, str]:
     sql["dw_reset"] = " UNION ALL ".join(
         f"SELECT '{name}' AS object_name, {one(block)} AS rows_before, CAST({after[name]} AS BIGINT) AS rows_after"
         for name, block in held.items())
+    kept = held | {"dim_time": "v_dim_time"} | MARTS
+    sql["retention_sweep"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS object_name, {one(block)} AS row_count, true AS was_swept, CAST(0 AS BIGINT) AS left_over"
+        for name, block in kept.items())
     return sql
 
 
