@@ -134,14 +134,6 @@ def fact_patterns(
     return conform(keyed, FACT_PATTERN)
 
 
-def absent_from(rows: DataFrame, existing: DataFrame | None, row_key: str, existing_key: str) -> DataFrame:
-    """Insert-if-absent: rows whose key the existing table does not hold."""
-    if existing is None:
-        return rows
-    held = existing.select(F.col(existing_key).alias("_held"))
-    return rows.join(held, F.col(row_key) == F.col("_held"), "left_anti")
-
-
 def unknown_transaction_rejects(facts: DataFrame) -> DataFrame:
     """Fact rows with a failed lookup; they stay in the fact as well."""
     return conform(

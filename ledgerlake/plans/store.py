@@ -81,8 +81,22 @@ class TableStore:
         return sorted((r.asDict() for r in self._event_frame(log, ddl).collect()), key=lambda r: r["event_no"])
 
     def exists(self, path: str) -> bool:
+        fs, jvm_path = self._open(path)
+        return fs.exists(jvm_path)
+
+    def numbers(self, path: str, column: str) -> set[int]:
+        """The values of a partition column whose folders lie below ``path``."""
+        fs, jvm_path = self._open(path)
+        names = [s.getPath().getName() for s in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
+        return {int(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}=")}
+
+    def drop(self, path: str) -> None:
+        fs, jvm_path = self._open(path)
+        fs.delete(jvm_path, True)
+
+    def _open(self, path: str):
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path)
+        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm_path
 
 
 def versions_text(versions: dict[str, list[int]]) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from ledgerlake.operators import facts as fx
 from ledgerlake.operators import marts as mt
 from ledgerlake.operators import recon
 from ledgerlake.operators.growth import FINGERPRINT, fingerprints, merge_on_read, touched_buckets, within
+from ledgerlake.operators.held import bitmaps, merged, unheld
 from ledgerlake.operators.reporting import reporting_views
 from ledgerlake.operators.scd2 import account_snapshot, type2_delta
 from ledgerlake.plans.source_load import SourceTables
@@ -249,39 +250,40 @@ class Warehouse:
 
     def _append_transactions(self, delta, dims, state, versions) -> tuple[DataFrame, DataFrame]:
         """The rows of this load in the fact, and the delta they were made of."""
-        held = versions.get("fact_transaction", [])
-        existing = None
-        if held:
-            # The key range reaches the Parquet scan, so a true delta reads no old row groups.
-            existing = between(
-                self._read("fact_transaction", versions),
-                "transaction_key",
-                state["source_low_watermark"],
-                state["source_high_watermark"],
-            )
-        fresh = fx.absent_from(delta, existing, "source_transaction_id", "transaction_key")
-        if versions.get("dw_rejected_row"):
-            # A refused amount is refused once; it must not come up as new in every rerun.
-            low, high = state["source_low_watermark"], state["source_high_watermark"]
-            refused = between(self._read("dw_rejected_row", versions), "source_key", low, high).where(F.col("error_code") == fx.NON_POSITIVE)
-            fresh = fx.absent_from(fresh, refused, "source_transaction_id", "source_key")
-        if held:
-            # Written, so that the anti-joins run once for the hot-key count, the load and the rejects.
-            fresh = stage(fresh, "delta")
+        low, high = state["source_low_watermark"], state["source_high_watermark"]
+        # A refused amount is refused once; it must not come up as new in every rerun.
+        fresh = self._unheld(
+            delta,
+            "source_transaction_id",
+            versions,
+            (low, high),
+            {"fact_transaction": ("transaction_key", None), "dw_rejected_row": ("source_key", F.col("error_code") == fx.NON_POSITIVE)},
+        )
         rows = fx.fact_transactions(fresh, dims, state["dw_batch_id"], fx.hot_parties(fresh))
         # rebalance: adaptive execution splits a month that outgrows one task and merges small ones.
         self.store.write(rows.hint("rebalance", "txn_month"), "fact_transaction", state["dw_batch_id"], ["txn_month"])
         return self._published_delta("fact_transaction", state, versions, "transaction_rows_inserted"), fresh
 
+    def _unheld(self, delta, key, versions, ids: tuple[int, int], tables: dict) -> DataFrame:
+        """The delta without ids in the key columns of the named tables, each with an optional condition.
+
+        The id range reaches the Parquet scans, so a true delta reads no old row groups.
+        """
+        parts = []
+        for table, (column, where) in tables.items():
+            if versions.get(table):
+                rows = between(self._read(table, versions), column, *ids)
+                parts.append(bitmaps(rows if where is None else rows.where(where), column))
+        if not parts:
+            return delta
+        held = parts[0] if len(parts) == 1 else merged(reduce(DataFrame.unionByName, parts))
+        # Written, so that the comparison runs once for the hot-key count, the load and the rejects.
+        return stage(unheld(delta, key, stage(held, "held")), "delta")
+
     def _append_patterns(self, delta, dims, state, versions) -> DataFrame:
-        held = versions.get("fact_pattern_transaction", [])
-        existing = None
-        if held:
-            low, high = state["pattern_low_watermark"], state["pattern_high_watermark"]
-            existing = between(self._read("fact_pattern_transaction", versions), "pattern_transaction_key", low, high)
-        fresh = fx.absent_from(delta, existing, "pattern_transaction_id", "pattern_transaction_key")
-        if held:
-            fresh = stage(fresh, "delta-pattern")
+        ids = state["pattern_low_watermark"], state["pattern_high_watermark"]
+        held = {"fact_pattern_transaction": ("pattern_transaction_key", None)}
+        fresh = self._unheld(delta, "pattern_transaction_id", versions, ids, held)
         rows = fx.fact_patterns(fresh, dims, state["dw_batch_id"], fx.hot_parties(fresh))
         self.store.write(rows, "fact_pattern_transaction", state["dw_batch_id"])
         return self._published_delta("fact_pattern_transaction", state, versions, "pattern_rows_inserted")
