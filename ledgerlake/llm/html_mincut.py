@@ -3,8 +3,9 @@
 A page becomes a row of text blocks. A linear classifier over each block's words, links,
 punctuation and the names of its enclosing elements gives the cost of calling it content
 or boilerplate; these costs are the capacities to the two terminals. Neighbouring blocks,
-and blocks close together in the element tree, are tied by smoothness edges. The minimum
-cut, found by max-flow, labels all blocks of the page at once.
+and blocks close together in the element tree, are tied by smoothness edges. A name that marks
+boilerplate is bounded evidence, and none where its element holds most of the page's text and
+title (or, for names of wrappers, most of a long text). The minimum cut, found by max-flow, labels all blocks of the page at once.
 """
 
 from __future__ import annotations
@@ -39,6 +40,10 @@ BOILER_NAMES = frozenset(
     " replies respond sharing share sidebar sidebars signup skyscraper social sponsor sponsored subscribe subscription taboola tags toolbar"
     " topbar widget widgets alert warning toast".split()
 )
+#: Marks that also name wrappers of whole pages; READER_NAMES never do.
+WRAPPER_TAGS = frozenset("form fieldset header".split())
+WRAPPER_NAMES = frozenset("banner billboard form header masthead modal overlay toolbar topbar widget widgets".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 READER_NAMES = frozenset("ad advert advertisement comment comments promo related reply replies sponsored".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 MAIN_NAMES = frozenset("article articlebody content entry main maincontent post postbody story text body".split())
@@ -62,24 +67,30 @@ WEIGHTS = {
     "item": -0.4,
     "main": 3.0,  # inside an article or main element
     "main_name": 1.0,
-    "boiler": -14.0,  # inside an element or a name that marks boilerplate
-    "header": -9.0,  # inside a header element that is not part of an article
+    "boiler": -7.0,  # inside an element or a name that marks boilerplate; half as much more for each further level
     "copyright": -3.0,
 }
+#: Words that a wrapper must hold to count as the page's text when it holds no title.
+ENOUGH_WORDS = 50
 SMOOTH_NEXT, SMOOTH_SIBLING = 0.9, 0.5
 _SCALE = 1000
 
 
 class _Node:
-    __slots__ = ("tag", "boiler", "main", "hidden", "named", "header", "number")
+    """An element: what it says itself while parsing, what it inherits after ``_resolve``."""
+
+    __slots__ = ("tag", "parent", "mark", "main", "hidden", "named", "number", "levels", "words", "title")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: str, number: int):
-        self.tag, self.number = tag, number
-        self.boiler = bool(parent and parent.boiler) or tag in BOILER_TAGS
+        self.tag, self.parent, self.number = tag, parent, number
+        self.levels, self.words, self.title = 0, 0, False
         self.hidden = bool(parent and parent.hidden) or tag in HIDDEN_TAGS
-        self.main = bool(parent and parent.main) or tag in MAIN_TAGS
-        self.named = bool(parent and parent.named)
-        self.header = bool(parent and parent.header) or (tag == "header" and not self.main)
+        self.main, self.named = tag in MAIN_TAGS, False
+        self.mark = ""  # none, wrapper, strong or reader
+        if tag in WRAPPER_TAGS:
+            self.mark = "wrapper"
+        elif tag in BOILER_TAGS:
+            self.mark = "strong"
         if not attributes or tag in ("html", "body"):
             return
         for name, a, b, c in _NAMES.findall(attributes):
@@ -87,27 +98,84 @@ class _Node:
             if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                 self.hidden = True
             elif name == "role":
-                self.boiler |= value.lower() in BOILER_ROLES
+                if value.lower() in BOILER_ROLES:
+                    self._add(frozenset([value.lower()]))
                 self.main |= value.lower() in ("main", "article")
             elif name in ("class", "id", "itemprop"):
-                own = " ".join(x for x in value.split() if not _ABOUT.match(x))
-                parts = {x.lower() for x in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", own)}
-                self.boiler |= bool(parts & (READER_NAMES if tag in MAIN_TAGS else BOILER_NAMES))
+                own = [x for x in value.split() if not _ABOUT.match(x)]
+                parts = {x.lower() for x in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", " ".join(own))}
+                marks = parts & (READER_NAMES if tag in MAIN_TAGS else BOILER_NAMES)
+                if not any(x.lower().startswith("widget") for x in own):
+                    marks -= {"widget", "widgets"}  # a page builder calls every part a widget
+                self._add(marks)
                 self.named |= bool(parts & MAIN_NAMES) or value.lower() in MAIN_NAMES
 
+    def _add(self, marks: frozenset[str] | set[str]) -> None:
+        if marks & READER_NAMES:
+            self.mark = "reader"
+        elif marks - WRAPPER_NAMES and self.mark != "reader":
+            self.mark = "strong"
+        elif marks and not self.mark:
+            self.mark = "wrapper"
+
+    @property
+    def boiler(self) -> bool:
+        return self.levels > 0
+
+
+def _holds_the_page(node: _Node, words: int) -> bool:
+    """A marked element around most of the page's text: its name says nothing about that text."""
+    if node.mark == "reader" or 2 * node.words <= words:
+        return False
+    return node.title or (node.mark == "wrapper" and node.words >= ENOUGH_WORDS)
+
+
+def _resolve(nodes: list[_Node], blocks: list[tuple[str, _Block]]) -> None:
+    """Levels of marks around each element, and whether it lies in the main part.
+
+    Words outside links and the page's first title of the highest rank are counted for every
+    element, children before parents; then marks go down from parents to children.
+    """
+    titles = [b.node for _, b in blocks if b.node.tag in HEADINGS]
+    for text, block in blocks:
+        if 2 * block.linked < len(text):
+            block.node.words += len(_WORD.findall(text))
+    if titles:
+        min(titles, key=lambda n: n.tag).title = True
+    for node in reversed(nodes[1:]):
+        node.parent.words += node.words
+        node.parent.title |= node.title
+    total = nodes[0].words
+    for node in nodes[1:]:
+        up = node.parent
+        titled = node.mark == "wrapper" and (up.main or up.named) and node.title
+        marked = bool(node.mark) and not titled and not _holds_the_page(node, total)
+        node.levels = up.levels + marked
+        node.main = (node.main or up.main) and not node.levels
+        node.named |= up.named
+
 
 class _Block:
-    __slots__ = ("parts", "linked", "node", "parent")
+    __slots__ = ("parts", "linked", "node", "parent", "inline")
 
     def __init__(self, node: _Node, parent: int):
         self.parts: list[str] = []
         self.linked, self.node, self.parent = 0, node, parent
+        self.inline: _Node | None = None  # a marked inline element around all of the text so far
+
+
+def _inside(stack: list[_Node]) -> Iterator[_Node]:
+    """The inline elements around the current place, outermost first, inside its block."""
+    first = len(stack)
+    while first and stack[first - 1].tag not in BLOCK_TAGS:
+        first -= 1
+    return iter(stack[first:])
 
 
 def _blocks(page: str) -> list[tuple[str, _Block]]:
     """Visible text blocks in page order, white space made single."""
     root = _Node("html", None, "", 0)
-    stack, blocks, current, made, links, at = [root], [], None, 1, 0, 0
+    nodes, stack, blocks, current, links, at = [root], [root], [], None, 0, 0
 
     def text(raw: str) -> None:
         nonlocal current
@@ -117,11 +185,13 @@ def _blocks(page: str) -> list[tuple[str, _Block]]:
             holder = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag in BLOCK_TAGS), 0)
             current = _Block(stack[holder], stack[max(0, holder - 1)].number)
             blocks.append(current)
-        elif stack[-1].boiler != current.node.boiler:  # an inline element that is marked
-            holder = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag in BLOCK_TAGS), 0)
-            current = _Block(stack[-1] if stack[-1].boiler else stack[holder], stack[max(0, holder - 1)].number)
-            blocks.append(current)
         value = html.unescape(raw)
+        if value.strip():
+            inline = next((x for x in _inside(stack) if x.mark), None)
+            if not any(x.strip() for x in current.parts):
+                current.inline = inline
+            elif current.inline is not inline:
+                current.inline = None
         current.parts.append(value)
         if links:
             current.linked += len(value.strip())
@@ -169,13 +239,15 @@ def _blocks(page: str) -> list[tuple[str, _Block]]:
             continue
         if tag == "a":
             links += 1
-        stack.append(_Node(tag, stack[-1], found[3], made))
-        made += 1
+        nodes.append(_Node(tag, stack[-1], found[3], len(nodes)))
+        stack.append(nodes[-1])
     out = []
     for block in blocks:
         value = _SPACE.sub(" ", "".join(block.parts)).strip()
         if value:
+            block.node = block.inline or block.node
             out.append((value, block))
+    _resolve(nodes, out)
     return out
 
 
@@ -185,10 +257,10 @@ def _score(text: str, block: _Block, any_main: bool) -> float:
     words = len(_WORD.findall(text))
     score = w["bias"] + w["words"] * min(words, 30) + w["links"] * min(1.0, block.linked / len(text))
     score += w["stops"] * (text[-1] in ".!?…:\"'»”。！？" and words > 2)
-    score += w["heading"] * (node.tag in ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"))
+    score += w["heading"] * (node.tag in (*HEADINGS, "hgroup"))
     score += w["paragraph"] * (node.tag in ("p", "blockquote", "pre")) + w["item"] * (node.tag in ("li", "option"))
     score += (w["main"] if node.main else -w["main"]) * any_main
-    score += w["main_name"] * node.named + w["boiler"] * node.boiler + w["header"] * node.header
+    score += w["main_name"] * node.named + w["boiler"] * (2 - 2 ** (1 - min(node.levels, 30)))
     return score + w["copyright"] * ("©" in text)
 
 
@@ -257,7 +329,7 @@ def labelled(page: str) -> list[tuple[str, bool]]:
     found = _blocks(page)
     if not found:
         return []
-    any_main = any(b.node.main and not b.node.boiler for _, b in found)
+    any_main = any(b.node.main for _, b in found)
     gains = [round(_score(t, b, any_main) * _SCALE) for t, b in found]
     edges = []
     last_of: dict[int, int] = {}

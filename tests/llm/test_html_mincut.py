@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from ledgerlake.llm.html_mincut import _content_side, labelled, main_text, op1_html_mincut
+from ledgerlake.llm.html_mincut import _blocks, _content_side, _score, labelled, main_text, op1_html_mincut
 
 
 def article(page):
@@ -62,6 +62,62 @@ def test_boilerplate_goes_and_the_article_stays(name, wrap, before):
     assert main_text(page) == WANT
 
 
+REAL = "<h1>Storm over the harbour</h1><p>The storm came in the night, and the boats were torn from their lines.</p><p>By noon the water had fallen again, and people went out to look for what was left of the pier.</p><p>Nobody was hurt, the mayor said.</p>"
+REAL_WANT = "\n".join(re.sub("<[^>]+>", "", b) for b in re.findall(r"<(?:h1|p)>.*?</(?:h1|p)>", REAL))
+AROUND = {
+    "form": "<form action='/x'><nav><a href=/a>Home</a> <a href=/b>News</a></nav>{}<footer>All rights are reserved by us.</footer></form>",
+    "page builder": '<div class="elementor-widget elementor-widget-text">{}</div><aside><p>Popular stories that others read this week.</p></aside>',
+    "banner page": '<div id="page" class="banner-page"><div class="cookie-notice">We use cookies on this site.</div>{}</div>',
+    "modal": '<div class="modal-body">{}</div><div class="comments"><p>I liked this very much, and I would like to read far more of it, thank you all for the work on it.</p></div>',
+    "open nav": "<nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul><div>{}</div>",
+}
+
+
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", '<div class="post">{}</div>'])
+@pytest.mark.parametrize("name", AROUND)
+def test_marked_wrappers_of_a_page_keep_its_text(name, inner):
+    assert main_text(f"<html><body>{AROUND[name].format(inner.format(REAL))}</body></html>") == REAL_WANT
+
+
+@pytest.mark.parametrize("head", ['<header class="entry-header">{}</header>', '<div class="post-header">{}</div>', "<header>{}</header>"])
+@pytest.mark.parametrize("body", ["<article>{}</article>", '<div class="post-content">{}</div>'])
+def test_the_header_of_an_article_keeps_its_title(head, body):
+    title, rest = REAL.split("</h1>")
+    page = "<header><div>My site, the place for long stories.</div></header>" + body.format(head.format(title + "</h1>") + rest)
+    assert main_text(page) == REAL_WANT
+
+
+def test_inline_elements_never_split_a_block():
+    page = '<article><p>Rain fell, <a class="related" href=/r>as told before</a>, for two days on end.</p><p>Then it stopped at last.</p></article>'
+    assert main_text(page) == "Rain fell, as told before, for two days on end.\nThen it stopped at last."
+    # An inline element around the whole block does mark it.
+    page = '<article><p>Rain fell for two days on end.</p></article><span class="advert">Buy now, the offer ends today.</span>'
+    assert main_text(page) == "Rain fell for two days on end."
+
+
+@pytest.mark.parametrize("longer", [1, 30])
+def test_long_comments_and_footers_are_no_page(longer):
+    """Boilerplate may hold more words than the article; its names still count."""
+    words = "I read all of this and I liked it very much, thank you for the work. " * longer
+    for box in ('<section class="comments"><article><p>{}</p></article></section>', "<footer><p>{}</p></footer>", '<div class="sidebar"><p>{}</p></div>', '<div id="cookie-notice"><p>{}</p></div>'):
+        for inner in ("<article>{}</article>", "<div>{}</div>"):
+            assert main_text(f"<body>{inner.format(REAL)}{box.format(words)}</body>") == REAL_WANT
+
+
+def test_the_cut_overrules_single_scores():
+    """A short line between sentences scores below zero by itself and stays by its neighbours."""
+    lines = ["The storm came in the night, and the boats were torn from their lines.", "Ten boats", "By noon the water had fallen, and people went out to look."]
+    page = "<body><div><p>" + lines[0] + "</p><div>" + lines[1] + "</div><p>" + lines[2] + "</p></div></body>"
+    blocks = _blocks(page)
+    assert [_score(t, b, False) > 0 for t, b in blocks] == [True, False, True]
+    assert main_text(page) == "\n".join(lines)
+
+
+def test_deep_and_broken_nesting_is_linear():
+    page = "<div class=nav>" * 30000 + "words in the depth of it" + "<form><p>" * 30000
+    assert main_text(page) == ""
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>Words of a very long page, again and again.</p>" * 20000 + "</article>"
     rows = [(1, "u", None), (2, "u", ""), (3, "u", "plain words only, without any markup at all."), (4, "u", "<p>open <b>and never closed, cut off <a hr"), (5, "u", "<script>only code"), (6, "u", long), (6, "u", long), (7, "u", "<div><!-- never closed"), (8, "u", "a < b and b > c is a plain sentence of words.")]
