@@ -1,102 +1,92 @@
-"""Insert-if-absent for numbered rows, decided by bitmaps of neighbouring numbers.
+"""Insert-if-absent for numbered rows, decided by words of bits before any row moves.
 
-A bitmap tells for 32,768 neighbouring numbers which of them occur, so a set of ids costs one bit
-for each id. Two sets are compared bucket by bucket before any row moves: where no id of a bucket is
-held, its rows pass; where all are held, its rows go; only rows of buckets that are held in part meet
-the held bitmap. A rerun and a true increment therefore shuffle bitmaps, and no row.
+A word tells for 64 neighbouring numbers which of them occur: two bits a number where numbers are
+dense, 16 bytes for one that stands alone. Two sets are compared word by word and summed up over at
+most BLOCKS ranges of numbers: where no number of a range is held, its rows pass; where all are held,
+its rows go; only rows of ranges that are held in part meet the held words. A rerun and a true
+increment therefore shuffle words, and no row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.session import stage
 
-BITMAP = "_bucket long, _bits binary"
+WORDS = "_word long, _bits long"
 FRESH, HELD, MIXED = "fresh", "held", "mixed"
-#: Neighbouring buckets of one state are told as one run, which never crosses a multiple of this.
-BLOCK = 4096
-#: Runs a broadcast may hold (some 100 bytes each); a set more scattered is looked up bucket by bucket.
-MAX_RUNS = 20_000
+#: Ranges a comparison tells apart; their states, one short row each, are broadcast.
+BLOCKS = 4096
 
 
-def _bucket(key: str) -> Column:
-    return F.bitmap_bucket_number(F.col(key).cast("long"))
+def word_of(number: Column) -> Column:
+    return F.shiftright(number.cast("long"), 6)
 
 
-def bitmaps(rows: DataFrame, key: str) -> DataFrame:
-    """The non-null numbers of ``key`` as one bitmap a bucket, combined in each task first."""
-    place = F.bitmap_bit_position(F.col(key).cast("long"))
-    numbers = rows.where(F.col(key).isNotNull()).select(_bucket(key).alias("_bucket"), place.alias("_place"))
-    return numbers.groupBy("_bucket").agg(F.bitmap_construct_agg("_place").alias("_bits"))
+def _place(key: str) -> Column:
+    return F.col(key).cast("long").bitwiseAND(F.lit(63)).cast("int")
 
 
-def merged(parts: DataFrame) -> DataFrame:
-    """One bitmap a bucket out of several sets of bitmaps."""
-    return parts.groupBy("_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits"))
+def bit_of(key: str) -> Column:
+    """The word in which only this number's bit is set."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), _place(key))
 
 
-def bucket_states(incoming: DataFrame, held: DataFrame) -> DataFrame:
-    """For each bucket of the incoming bitmaps: are none, all or some of its numbers held?"""
-    sides = incoming.withColumn("_side", F.lit(0)).unionByName(held.withColumn("_side", F.lit(1)))
-    bits = F.bitmap_count("_bits")
-    sizes = sides.groupBy("_bucket").agg(
-        F.sum(F.when(F.col("_side") == 0, bits)).alias("_new"),
-        F.coalesce(F.sum(F.when(F.col("_side") == 1, bits)), F.lit(0)).alias("_old"),
-        F.bitmap_count(F.bitmap_or_agg("_bits")).alias("_all"),
-    )
-    both = F.col("_new") + F.col("_old") - F.col("_all")
-    state = F.when(both == 0, FRESH).when(both == F.col("_new"), HELD).otherwise(MIXED)
-    return sizes.where(F.col("_new").isNotNull()).select("_bucket", state.alias("_state"))
+def words(rows: DataFrame, key: str) -> DataFrame:
+    """The non-null numbers of ``key`` as one word of bits for each 64, combined in each task first."""
+    numbers = rows.where(F.col(key).isNotNull()).select(word_of(F.col(key)).alias("_word"), bit_of(key).alias("_bit"))
+    return numbers.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
 
 
-def _block() -> Column:
-    return F.floor(F.col("_bucket") / BLOCK)
+def merged(parts: DataFrame) -> DataFrame:
+    """One word for each 64 numbers out of several sets of words."""
+    return parts.groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
 
 
-def runs(states: DataFrame) -> DataFrame:
-    """Neighbouring buckets of one state as first and last bucket; a window sees at most one block."""
-    order = Window.partitionBy("_block", "_state").orderBy("_bucket")
-    numbered = states.withColumn("_block", _block()).withColumn("_run", F.col("_bucket") - F.row_number().over(order))
-    return numbered.groupBy("_block", "_state", "_run").agg(F.min("_bucket").alias("_low"), F.max("_bucket").alias("_high")).drop("_run")
+def block_states(incoming: DataFrame, held: DataFrame, block: Column) -> DataFrame:
+    """For each range of the incoming words: are none, all or some of its numbers held?"""
+    new, old = (F.bit_or(F.when(F.col("_side") == side, F.col("_bits"))) for side in (0, 1))
+    sides = incoming.withColumn("_side", F.lit(0)).unionByName(held.withColumn("_side", F.lit(1)))
+    pairs = sides.groupBy("_word").agg(new.alias("_new"), F.coalesce(old, F.lit(0)).alias("_old")).where("_new is not null")
+    both = F.col("_new").bitwiseAND(F.col("_old"))
+    told = pairs.select(block.alias("_block"), (both == 0).alias("_none"), (both == F.col("_new")).alias("_whole"))
+    state = F.when(F.every("_none"), FRESH).when(F.every("_whole"), HELD).otherwise(MIXED)
+    return told.groupBy("_block").agg(state.alias("_state"))
 
 
 def _clear(rows: DataFrame, key: str, held: DataFrame) -> DataFrame:
-    """Rows with ``_bucket`` whose bit is not set in the held bitmap of their bucket."""
-    place = F.bitmap_bit_position(F.col(key).cast("long")).cast("int")
-    octet = F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
-    bit = F.getbit(F.conv(F.hex(octet), 16, 10).cast("int"), place % 8)
-    return rows.join(held, "_bucket", "left").where(F.coalesce(bit, F.lit(0)) == 0)
+    """Rows with ``_word`` whose bit is not set in the held word."""
+    bit = F.coalesce(F.getbit(F.col("_bits"), _place(key)), F.lit(0))
+    return rows.join(held, "_word", "left").where(bit == 0)
 
 
 def unheld(rows: DataFrame, key: str, held: DataFrame | None) -> DataFrame:
-    """Rows whose ``key`` is not in the ``held`` bitmaps (one a bucket; None: nothing is held).
+    """Rows whose ``key`` is not in the ``held`` words (one for each 64 numbers; None: nothing is held).
 
-    A null key is never held. Rows that repeat a key pass or go together. ``rows`` is read once for
-    its keys and once or twice for the rows, so it should be a written table.
+    A null key is never held. Rows that repeat a key pass or go together. ``rows`` is read twice
+    for its keys and once or twice for the rows, so it should be a written table.
     """
     if held is None:
         return rows
-    states = stage(bucket_states(bitmaps(rows, key), held), "buckets")
+    low, high = rows.agg(F.min(key).cast("long"), F.max(key).cast("long")).first()
+    if low is None:
+        return rows
+    first, width = low >> 6, ((high >> 6) - (low >> 6)) // BLOCKS + 1
+    block = F.expr(f"(_word - {first}) div {width}")  # whole numbers; word numbers have 58 bits
+    states = stage(block_states(words(rows, key), held, block), "held-blocks")
     found = {r["_state"] for r in states.select("_state").distinct().collect()}
     if found <= {FRESH}:
         return rows
     if found == {HELD}:
         return rows.where(F.col(key).isNull())
     columns = rows.columns
-    numbered = rows.withColumn("_bucket", _bucket(key))
-    told = stage(runs(states), "runs")
-    if told.count() > MAX_RUNS:
-        return _clear(numbered, key, held).select(columns)
-    # At most MAX_RUNS rows, counted above.
-    spans = F.broadcast(told.withColumnRenamed("_block", "_of"))
-    within = (_block() == F.col("_of")) & F.col("_bucket").between(F.col("_low"), F.col("_high"))
-    placed = numbered.join(spans, within, "left")
+    numbered = rows.withColumn("_word", word_of(F.col(key))).withColumn("_block", block)
+    placed = numbered.join(F.broadcast(states), "_block", "left")  # at most BLOCKS rows
     fresh = placed.where(F.coalesce("_state", F.lit(FRESH)) == FRESH).select(columns)
     if MIXED not in found:
         return fresh
-    partly = placed.where(F.col("_state") == MIXED).select(*columns, "_bucket")
-    needed = held.join(states.where(F.col("_state") == MIXED), "_bucket", "left_semi")
+    partly = placed.where(F.col("_state") == MIXED).select(*columns, "_word")
+    part = F.broadcast(states.where(F.col("_state") == MIXED).select("_block"))
+    needed = held.withColumn("_block", block).join(part, "_block", "left_semi").drop("_block")
     return fresh.unionByName(_clear(partly, key, needed).select(columns))
-

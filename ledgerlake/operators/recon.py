@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.measures import total
 from ledgerlake.operators import enrich
 from ledgerlake.operators.facts import NON_POSITIVE, TRANSACTION_LOOKUP_KEYS, any_unknown, positive_amounts
+from ledgerlake.operators.held import bit_of, word_of
 from ledgerlake.schemas import MONEY_TOTAL, UNKNOWN_KEY
 from ledgerlake.session import run_together, stage
 
@@ -203,14 +204,12 @@ def duplicate_groups(df: DataFrame, keys: list[str], check_name: str) -> DataFra
 def repeated_numbers(df: DataFrame, key: str, check_name: str) -> DataFrame:
     """How many values of a whole-number key occur more than once, without shuffling the rows.
 
-    Each task turns its keys into bitmaps of 32,768 neighbouring numbers. A bucket whose rows are
-    as many as its set bits holds no repeat; only rows of the other buckets are grouped by key,
+    Each task turns its keys into words of 64 neighbouring numbers. A word whose rows are
+    as many as its set bits holds no repeat; only rows of the other words are grouped by key,
     and where there are none, adaptive execution drops that scan.
     """
-    numbers = df.select(F.col(key).cast("long").alias("_key"), F.bitmap_bucket_number(F.col(key)).alias("_bucket"))
-    buckets = numbers.groupBy("_bucket").agg(
-        F.count("*").alias("_rows"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_key"))).alias("_bits")
-    )
+    numbers = df.select(F.col(key).cast("long").alias("_key"), word_of(F.col(key)).alias("_bucket"), bit_of(key).alias("_bit"))
+    buckets = numbers.groupBy("_bucket").agg(F.count("*").alias("_rows"), F.bit_count(F.bit_or("_bit")).alias("_bits"))
     suspect = buckets.where("_rows <> _bits").select("_bucket")
     repeated = numbers.join(suspect, "_bucket", "left_semi").groupBy("_key").count().where("count > 1")
     return repeated.agg(F.lit(check_name).alias("check_name"), F.count("*").alias("error_count"))

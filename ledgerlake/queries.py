@@ -18,7 +18,7 @@ from ledgerlake.operators import facts as fx
 from ledgerlake.operators import reporting as rp
 from ledgerlake.operators import scd2
 from ledgerlake.operators import typing as ty
-from ledgerlake.operators.held import bitmaps, merged, unheld
+from ledgerlake.operators.held import merged, unheld, words
 from ledgerlake.plans import acceptance, retention, source_load
 from ledgerlake.plans.store import TableStore
 from ledgerlake.plans.warehouse import source_upto
@@ -706,9 +706,9 @@ def idempotent_append(ws):
     key = "source_transaction_id"
     rows = ws.source.transactions.select(key)
     first = rows.where(F.col(key) <= _halfway(ws))
-    held = stage(bitmaps(first, key), "held")
+    held = stage(words(first, key), "held")
     second = stage(unheld(rows, key, held), "append")
-    third = unheld(rows, key, stage(merged(held.unionByName(bitmaps(second, key))), "held"))
+    third = unheld(rows, key, stage(merged(held.unionByName(words(second, key))), "held"))
     appended = {"1": first, "2": second, "3": third}
     return tagged_union(
         {step: frame.agg(F.count("*").alias("inserted_rows")) for step, frame in appended.items()}, "step"

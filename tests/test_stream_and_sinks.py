@@ -37,7 +37,7 @@ def _ids(stream):
     return sorted(r["source_transaction_id"] for r in stream.table().select("source_transaction_id").collect())
 
 
-def test_a_batch_reads_bitmaps_and_no_rows_of_others(spark, ws):
+def test_a_batch_reads_words_and_no_rows_of_others(spark, ws):
     """Rows of an earlier batch made unreadable: the next batches still leave its keys out."""
     landed, stream = ws.landing["transaction"], _stream(spark)
     stream._sink(landed.where("landing_row_id % 2 = 0"), 0)
@@ -65,7 +65,7 @@ def test_every_row_once_over_folds_replays_lost_state_and_a_lost_checkpoint(spar
     assert store.numbers(f"{stream.target}/folds/rows", "upto") == {2}
     stream._sink(drop(3), 3)  # a replay of the last batch
     assert _ids(stream) == upto(3)
-    store.drop(f"{stream.target}/seen/rows/stream_batch=3")  # a crash between rows and bitmaps
+    store.drop(f"{stream.target}/seen/rows/stream_batch=3")  # a crash between rows and words
     stream._sink(drop(4), 4)
     assert _ids(stream) == upto(4)
     assert store.numbers(f"{stream.target}/folds/rows", "upto") == {2, 4}

@@ -23,7 +23,7 @@ def test_planted_repeats_are_found(spark):
     assert errors(many) == recon.duplicate_groups(many, ["k"], "x").first()["error_count"] == 1700
 
 
-def test_only_bitmaps_of_buckets_leave_a_task(spark):
+def test_only_words_of_bits_leave_a_task(spark):
     keys = spark.range(0, 500_000, numPartitions=8).select(F.col("id").alias("k"))
     frame = recon.repeated_numbers(keys, "k", "x")
     frame.collect()
