@@ -14,7 +14,7 @@ from ledgerlake.operators import facts as fx
 from ledgerlake.operators import marts as mt
 from ledgerlake.operators import recon
 from ledgerlake.operators.growth import FINGERPRINT, fingerprints, merge_on_read, touched_buckets, within
-from ledgerlake.operators.held import merged, unheld, words
+from ledgerlake.operators.held import marks, unheld
 from ledgerlake.operators.reporting import reporting_views
 from ledgerlake.operators.scd2 import account_snapshot, type2_delta
 from ledgerlake.plans.source_load import SourceTables
@@ -273,12 +273,11 @@ class Warehouse:
         for table, (column, where) in tables.items():
             if versions.get(table):
                 rows = between(self._read(table, versions), column, *ids)
-                parts.append(words(rows if where is None else rows.where(where), column))
+                parts.append(marks(rows if where is None else rows.where(where), column))
         if not parts:
             return delta
-        held = parts[0] if len(parts) == 1 else merged(reduce(DataFrame.unionByName, parts))
         # Written, so that the comparison runs once for the hot-key count, the load and the rejects.
-        return stage(unheld(delta, key, stage(held, "held")), "delta")
+        return stage(unheld(delta, key, reduce(DataFrame.unionByName, parts)), "delta")
 
     def _append_patterns(self, delta, dims, state, versions) -> DataFrame:
         ids = state["pattern_low_watermark"], state["pattern_high_watermark"]
