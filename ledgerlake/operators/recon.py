@@ -89,15 +89,26 @@ def _summed(by_currency: DataFrame, side: str) -> DataFrame:
     return by_currency.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
 
 
-def _source_by_currency(transactions: DataFrame) -> DataFrame:
+def source_by_currency(transactions: DataFrame, *also: str) -> DataFrame:
     paid = total(F.when(positive_amounts(), F.col("amount_paid")))
-    return transactions.groupBy(F.col("payment_currency").alias("currency_name")).agg(*_source_measures(), paid.alias("total_amount"))
+    return transactions.groupBy(F.col("payment_currency").alias("currency_name"), *also).agg(*_source_measures(), paid.alias("total_amount"))
 
 
-def _fact_by_currency(fact: DataFrame) -> DataFrame:
+def fact_by_currency(fact: DataFrame) -> DataFrame:
     return fact.groupBy(F.col("payment_currency_key").alias("currency_key")).agg(*_fact_measures(), total("amount_paid").alias("total_amount"))
 
 
+def added_up(parts: DataFrame, key: str) -> DataFrame:
+    """Totals of several scans as one row per currency."""
+
+    def one(name: str) -> Column:
+        if name.endswith("_date"):
+            return F.min(name) if name.endswith("min_date") else F.max(name)
+        return total(name) if name == "total_amount" else F.sum(name)
+
+    return parts.groupBy(key).agg(*[one(c).alias(c) for c in parts.columns if c != key])
+
+
 def _amounts_of_source(by_currency: DataFrame) -> DataFrame:
     admitted = by_currency.where("source_rows > 0")
     return admitted.select("currency_name", F.col("source_rows").alias("row_count"), "total_amount")
@@ -124,7 +135,7 @@ def compare_by_key(left: DataFrame, right: DataFrame, keys: list[str], values: l
 
 
 def currency_recon(transactions: DataFrame, fact: DataFrame, dim_currency: DataFrame) -> DataFrame:
-    return _currencies_compared(_source_by_currency(transactions), _fact_by_currency(fact), dim_currency)
+    return _currencies_compared(source_by_currency(transactions), fact_by_currency(fact), dim_currency)
 
 
 def current_accounts(dim_account: DataFrame) -> DataFrame:
@@ -140,15 +151,17 @@ def warehouse_checks(
     dim_account: DataFrame,
     dim_currency: DataFrame,
     rejected: DataFrame,
+    totals: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """The nine source-to-warehouse checks, one row each. Only one-row frames meet in the cross joins.
 
     Source and fact are scanned once each, down to one row per payment currency. The fact must
     hold what the source has, without the amounts it refused; every refused one is a reject.
+    ``totals`` are the rows per currency of both sides where they are known; neither is scanned then.
     """
-    source, loaded = run_together(
+    source, loaded = totals or run_together(
         transactions.sparkSession,
-        [lambda: stage(_source_by_currency(transactions), "recon"), lambda: stage(_fact_by_currency(fact), "recon")],
+        [lambda: stage(source_by_currency(transactions), "recon"), lambda: stage(fact_by_currency(fact), "recon")],
     )
     mismatch = _currencies_compared(source, loaded, dim_currency).where("not matches")
     refused = rejected.where(F.col("error_code") == NON_POSITIVE)

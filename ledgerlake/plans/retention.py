@@ -20,12 +20,12 @@ from ledgerlake.operators import marts as mt
 from ledgerlake.plans.source_load import LOG as SOURCE_LOG
 from ledgerlake.plans.source_load import OBJECTS
 from ledgerlake.plans.store import Clock, TableStore, utc_now, versions_from
-from ledgerlake.plans.warehouse import FACT_SCHEMAS, MART_LOG, MART_REFRESH, PRINTS, Warehouse
+from ledgerlake.plans.warehouse import FACT_SCHEMAS, FACT_TOTALS, MART_LOG, MART_REFRESH, PRINTS, SOURCE_TOTALS, Warehouse
 from ledgerlake.schemas import DIM_SCHEMAS, LOAD_BATCH
 from ledgerlake.session import shared_dir
 
 SOURCE_TABLES = [*(f"tagged_{name}" for name in OBJECTS), "rejected_pattern_line"]
-WAREHOUSE_TABLES = [*DIM_SCHEMAS, *FACT_SCHEMAS, PRINTS, "validation_result", *mt.MART_NAMES, *mt.ROLLUPS]
+WAREHOUSE_TABLES = [*DIM_SCHEMAS, *FACT_SCHEMAS, PRINTS, SOURCE_TOTALS, FACT_TOTALS, "validation_result", *mt.MART_NAMES, *mt.ROLLUPS]
 
 
 @dataclass

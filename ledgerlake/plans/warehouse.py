@@ -45,6 +45,8 @@ GROWING = {"dim_bank": "bank_key", "dim_entity": "entity_key", "dim_account": "a
 #: Deltas read beside a base; the next change folds them into a new base.
 FOLD_AFTER = 8
 PRINTS = "account_fingerprint"
+#: Rows per currency that validations have scanned so far.
+SOURCE_TOTALS, FACT_TOTALS = "recon_source", "recon_fact"
 
 
 class StaleSourceError(RuntimeError):
@@ -297,13 +299,20 @@ class Warehouse:
 
     # -- after the load ----------------------------------------------------------
 
-    def validate(self, source: SourceTables) -> str:
-        """Nine checks for the latest completed load; stores them and the verdict."""
+    def validate(self, source: SourceTables, full: bool = False) -> str:
+        """Nine checks for the latest completed load; stores them and the verdict.
+
+        Totals of what earlier validations have scanned are kept: facts are only appended, so new
+        loads are scanned alone, and of the source the ids behind the last mark. The number of source
+        rows up to that mark is counted anew; if it has changed, the whole source is scanned. After a
+        FULL load with kept totals, or with ``full``, both sides are scanned whole.
+        """
         done = [r for r in self.batch_rows() if r["status"] == "COMPLETED"]
         if not done:
             raise RuntimeError("no completed load to validate")
         latest = done[-1]
         t = self.tables()
+        totals, added = self._totals(source, done, full)
         checks = recon.warehouse_checks(
             source.transactions,
             source.patterns,
@@ -313,6 +322,7 @@ class Warehouse:
             t["dim_account"],
             t["dim_currency"],
             t["dw_rejected_row"],
+            totals,
         )
         batch_id = latest["dw_batch_id"]
         rows = checks.withColumns(
@@ -325,9 +335,50 @@ class Warehouse:
         self.store.write(dm.conform(rows, VALIDATION), "validation_result", batch_id)
         failed = self._validations([batch_id]).where("status = 'FAILED'").count()
         verdict = "PASSED" if failed == 0 else "FAILED"
-        self.store.append_event(LOG, DW_BATCH, {**latest, "validation_status": verdict})
+        named = versions_text({**versions_from(latest["table_versions"]), **added})
+        self.store.append_event(LOG, DW_BATCH, {**latest, "validation_status": verdict, "table_versions": named})
         return verdict
 
+    def _totals(self, source: SourceTables, done: list[dict], full: bool):
+        """Rows per currency of source and fact, and the folders of totals to publish with the verdict."""
+        latest, versions, added = done[-1], self._published(done), {}
+        batch_id, high = latest["dw_batch_id"], latest["source_high_watermark"]
+        full = full or (latest["load_type"] == "FULL" and bool(versions.get(FACT_TOTALS)))
+
+        def together(table: str, key: str, held: list[int], fresh: DataFrame | None, keep: DataFrame | None) -> DataFrame:
+            """Kept totals and new ones; ``keep`` is what of the new ones will not change any more."""
+            if keep is not None and not full:
+                self.store.write(keep, table, batch_id)
+                added[f"{table}+" if held else table] = [batch_id]
+            parts = [self.spark.read.parquet(self.store.path(table, v)) for v in held] + ([] if fresh is None else [fresh])
+            return stage(recon.added_up(reduce(DataFrame.unionByName, parts), key), "recon")
+
+        def of_source() -> DataFrame:
+            rows, number = source.transactions, F.col("source_transaction_id")
+            held = [] if full else versions.get(SOURCE_TOTALS, [])
+            if held:
+                mark = max(r["source_high_watermark"] for r in done if r["dw_batch_id"] in held)
+                known = self.spark.read.parquet(*[self.store.path(SOURCE_TOTALS, v) for v in held])
+                counted = known.agg(F.sum(F.col("source_rows") + F.col("source_refused"))).first()[0] or 0
+                if rows.where(number <= mark).count() == counted:
+                    rows = rows.where(number > mark)
+                else:
+                    held = []
+            # Rows that no load has taken up yet count now and are not kept.
+            fresh = stage(recon.source_by_currency(rows.withColumn("_late", number > high), "_late"), "recon")
+            keep = None if batch_id in versions.get(SOURCE_TOTALS, []) else fresh.where("not _late").drop("_late")
+            return together(SOURCE_TOTALS, "currency_name", held, fresh.drop("_late"), keep)
+
+        def of_fact() -> DataFrame:
+            held = [] if full else versions.get(FACT_TOTALS, [])
+            news = [v for v in versions.get("fact_transaction", []) if v > max(held, default=0)]
+            if held and not news:
+                return together(FACT_TOTALS, "currency_key", held, None, None)
+            fresh = stage(recon.fact_by_currency(self.store.read("fact_transaction", news, FACT_TRANSACTION)), "recon")
+            return together(FACT_TOTALS, "currency_key", held, fresh, fresh)
+
+        return tuple(run_together(self.spark, [of_source, of_fact])), added
+
     def _validations(self, batch_ids: list[int]) -> DataFrame:
         return self.store.read("validation_result", batch_ids, VALIDATION)
 
