@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +25,7 @@ from ledgerlake.llm.url_markov import op3_url_markov
 #: Each operator's query with the table it covers.
 OPERATORS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op1_html_mincut": (op1_html_mincut, ("pages",)),
-    "op2_suffix_array": (op2_suffix_array, ("documents",)),
+    "op2_suffix_array": (partial(op2_suffix_array, by_id=True), ("documents",)),
     "op3_url_markov": (op3_url_markov, ("pages",)),
     "op4_multiprobe_lsh": (op4_multiprobe_lsh, ("embeddings",)),
     "op5_spaced_seeds": (op5_spaced_seeds, ("documents", "benchmark")),

@@ -32,6 +32,7 @@ from ledgerlake.llm.common import (
     keyed_rows,
     listed,
     mixed,
+    odd_ids,
     pack,
     place_lists,
     rolling,
@@ -153,19 +154,24 @@ def _route(grams: np.ndarray) -> np.ndarray:
     return mixed(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5))  # minimizers are small numbers: spread them anew
 
 
-def _anchors(buckets: int, length: int):
+def _numbers(batch: pa.RecordBatch, shared: bool) -> tuple[np.ndarray, ...]:
+    """The number each row is compared by, and its own if rows share the first."""
+    return tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in (("owner", "row") if shared else ("row",)))
+
+
+def _anchors(buckets: int, length: int, shared: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         box = _Outbox(buckets)
         for batch in steps(batches, step=_STEP):
             texts = _Texts(batch.column("text"), length)
-            ids = batch.column("row").to_numpy(zero_copy_only=False)
+            who = _numbers(batch, shared)
             first, second, starts, counts = texts.pieces()
             doc = texts.doc[starts]
-            box.add(_PIECES, first, first, second, ids[doc], (starts - texts.offsets[doc]).astype(np.int32), counts.astype(np.int32))
+            box.add(_PIECES, first, first, second, *(x[doc] for x in who), (starts - texts.offsets[doc]).astype(np.int32), counts.astype(np.int32))
             _, at = texts.windows()
             at = at[run_starts(at)]
             doc, route = texts.doc[at], _route(texts.grams[at])
-            box.add(_HITS, route, route & _FORTY_BITS, ids[doc], (at - texts.offsets[doc]).astype(np.int32))
+            box.add(_HITS, route, route & _FORTY_BITS, *(x[doc] for x in who), (at - texts.offsets[doc]).astype(np.int32))
             box.bytes += len(texts.data)
             if box.bytes > _FLUSH:
                 yield box.batch()
@@ -175,24 +181,27 @@ def _anchors(buckets: int, length: int):
     return work
 
 
-def _repeats_by_kind(targets: int, popular: int):
+def _repeats_by_kind(targets: int, popular: int, shared: bool):
     """Pieces seen in a smaller document, and minimizers seen in several documents."""
+    who = (np.int64,) * (1 + shared)
 
     def work(table: pa.Table) -> pa.Table:
         payloads = table.column("payload").to_pylist()
         if table.column("kind")[0].as_py() == _PIECES:
-            first, second, docs, starts, counts = unpack(payloads, (np.uint64, np.uint64, np.int64, np.int32, np.int32))
-            order = np.lexsort((docs, second, first))
+            first, second, *docs, starts, counts = unpack(payloads, (np.uint64, np.uint64, *who, np.int32, np.int32))
+            owners, docs = docs[0], docs[-1]
+            order = np.lexsort((owners, second, first))
             heads = run_starts(first[order], second[order])
-            least = np.repeat(docs[order[heads]], np.diff(np.append(heads, len(order))))
-            later = order[docs[order] > least]
+            least = np.repeat(owners[order[heads]], np.diff(np.append(heads, len(order))))
+            later = order[owners[order] > least]
             return pa.Table.from_batches([to_targets(_PIECES, targets, docs[later], starts[later], counts[later])])
-        keys, docs, places = unpack(payloads, (np.uint64, np.int64, np.int32))
-        order = np.lexsort((docs, keys))
+        keys, *docs, places = unpack(payloads, (np.uint64, *who, np.int32))
+        owners, docs = docs[0], docs[-1]
+        order = np.lexsort((owners, keys))
         heads = run_starts(keys[order])
         sizes = np.diff(np.append(heads, len(order)))
         last = np.append(heads[1:], len(order)) - 1
-        several = docs[order[heads]] != docs[order[last]] if len(order) else np.empty(0, bool)
+        several = owners[order[heads]] != owners[order[last]] if len(order) else np.empty(0, bool)
         few = order[np.repeat(several & (sizes <= popular), sizes)]
         many = order[np.repeat(several & (sizes > popular), sizes)]
         return pa.Table.from_batches([to_targets(_HITS, targets, docs[few], places[few]), to_targets(_POPULAR, targets, docs[many], places[many])])
@@ -210,24 +219,31 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class _ContextBox:
-    """Contexts of several steps, then packed for each bucket."""
+    """Contexts of several steps, then packed for each bucket.
+
+    A popular window's context has twins: other places of its owner that hold the same window.
+    """
 
     def __init__(self, buckets: int, length: int):
         self.buckets, self.more, self.parts, self.bytes = buckets, length - 1, [], 0
 
-    def add(self, route: np.ndarray, docs: np.ndarray, lows: np.ndarray, counts: np.ndarray, marks: np.ndarray, text: np.ndarray) -> None:
-        self.parts.append((route, docs, lows.astype(np.int32), counts.astype(np.int32), marks.astype(np.uint8), text))
-        self.bytes += len(text)
+    def add(self, route: np.ndarray, who: tuple, lows: np.ndarray, counts: np.ndarray, marks: np.ndarray, text: np.ndarray, twins: tuple) -> None:
+        numbers = lows.astype(np.int32), counts.astype(np.int32), marks.astype(np.uint8)
+        sizes, rows, places = twins
+        self.parts.append((text, rows, places.astype(np.int32), route, *numbers, sizes.astype(np.int32), *who))
+        self.bytes += len(text) + 12 * len(places)
 
     def batch(self) -> pa.RecordBatch:
         keys, payloads = [], []
         if self.parts:
-            route, docs, lows, counts, marks, text = (np.concatenate(x) for x in zip(*self.parts))
+            text, rows, places, route, lows, counts, marks, twins, *who = (np.concatenate(x) for x in zip(*self.parts))
             sizes = counts.astype(np.int64) + self.more
-            first = np.cumsum(sizes) - sizes
+            first, first_twin = np.cumsum(sizes) - sizes, np.cumsum(twins, dtype=np.int64) - twins
             for bucket, at in split_by(bucket_of(route, self.buckets)):
                 keys.append(bucket)
-                payloads.append(pack(docs[at], lows[at], counts[at], marks[at], text[_ragged(first[at], sizes[at])]))
+                also = _ragged(first_twin[at], twins[at].astype(np.int64))
+                mine = (x[at] for x in (lows, counts, marks, twins, *who))
+                payloads.append(pack(text[_ragged(first[at], sizes[at])], rows[also], places[also], *mine))
         self.parts, self.bytes = [], 0
         nothing = pa.nulls(len(keys), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), nothing, nothing, binary(payloads)], _CONTEXT_NAMES)
@@ -236,9 +252,11 @@ class _ContextBox:
 _CONTEXT_NAMES = ["bucket", "kind", "target", "payload"]
 
 
-def _contexts(buckets: int, targets: int, length: int):
+def _contexts(buckets: int, targets: int, length: int, shared: bool):
     """Runs of windows with one minimizer, with their bytes; equal windows of a popular one merged.
 
+    Merged windows of larger documents are repeated; those of the least one share its fate as twins.
+
     Rows with a bucket are contexts; rows with a target are places already known to be repeated.
     """
 
@@ -246,7 +264,8 @@ def _contexts(buckets: int, targets: int, length: int):
         box = _ContextBox(buckets, length)
         for batch in steps(batches, step=_STEP):
             texts = _Texts(batch.column("text"), length)
-            ids = batch.column("row").to_numpy(zero_copy_only=False)
+            who = _numbers(batch, shared)
+            owners, ids = who[0], who[-1]
             known = np.zeros(len(texts.data) + 1, np.int8)  # 1 hit, 2 popular
             done = np.zeros(len(texts.data) + 1, np.int64)
             for i, (pieces, hits, popular) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("pieces", "hits", "popular")))):
@@ -270,21 +289,29 @@ def _contexts(buckets: int, targets: int, length: int):
                     heads = np.flatnonzero(cut)
                     counts = np.diff(np.append(heads, len(x)))
                     route, marks = _route(texts.grams[a[heads]]), a[heads] - x[heads]
+                    twins = np.zeros(len(heads), np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
                 else:
                     whole = rolling(texts.values, length, _WINDOW_SEED)[x]
-                    order = np.lexsort((ids[doc], whole))
+                    order = np.lexsort((owners[doc], whole))
                     tops = run_starts(whole[order])
                     sizes = np.diff(np.append(tops, len(order)))
-                    least = np.repeat(ids[doc[order[tops]]], sizes)
-                    later = order[ids[doc[order]] > least]
-                    repeated = to_targets(0, targets, ids[doc[later]], x[later] - texts.offsets[doc[later]])
+                    least = np.repeat(owners[doc[order[tops]]], sizes)
+                    place = x - texts.offsets[doc]
+                    later = order[owners[doc[order]] > least]
+                    repeated = to_targets(0, targets, ids[doc[later]], place[later])
                     yield pa.RecordBatch.from_arrays([pa.nulls(repeated.num_rows, pa.int32()), *repeated.columns], _CONTEXT_NAMES)
-                    heads = np.sort(order[tops])
+                    heads = order[tops]
                     counts = np.ones(len(heads), np.int64)
                     route, marks = mixed(whole[heads]), np.zeros(len(heads), np.int64)
+                    same = owners[doc[order]] == least
+                    alike = np.add.reduceat(same.astype(np.int64), tops) - 1
+                    same[tops] = False
+                    also = order[same]
+                    twins = alike, ids[doc[also]], place[also]
                 lows = x[heads]
-                owner = texts.doc[lows]
-                box.add(route, ids[owner], lows - texts.offsets[owner], counts, marks, texts.data[_ragged(lows, counts + length - 1)])
+                doc = texts.doc[lows]
+                sent = texts.data[_ragged(lows, counts + length - 1)]
+                box.add(route, tuple(n[doc] for n in who), lows - texts.offsets[doc], counts, marks, sent, twins)
             if box.bytes > _FLUSH:
                 yield box.batch()
         yield box.batch()
@@ -411,28 +438,34 @@ def _equal_contexts(docs: np.ndarray, sizes: np.ndarray, sent: np.ndarray) -> np
     return copies
 
 
-def _sorted_bucket(targets: int, length: int):
+def _sorted_bucket(targets: int, length: int, shared: bool):
+    kinds = (np.uint8, np.int64, np.int32, np.int32, np.int32, np.uint8, np.int32) + (np.int64,) * (1 + shared)
+
     def work(table: pa.Table) -> pa.Table:
-        kinds = (np.int64, np.int32, np.int32, np.uint8, np.uint8)
-        docs, lows, counts, marks, sent = unpack(table.column("payload").to_pylist(), kinds)
-        counts = counts.astype(np.int64)
+        sent, twin_docs, twin_places, lows, counts, marks, twins, *who = unpack(table.column("payload").to_pylist(), kinds)
+        owners, docs = who[0], who[-1]
+        counts, twins = counts.astype(np.int64), twins.astype(np.int64)
         sizes = counts + length - 1
-        copies = _equal_contexts(docs, sizes, sent)
+        copies = _equal_contexts(owners, sizes, sent)
         known = np.repeat(docs[copies], counts[copies]), _ragged(lows[copies].astype(np.int64), counts[copies])
         sent = sent[np.repeat(~copies, sizes)]
-        docs, lows, counts, marks, sizes = (x[~copies] for x in (docs, lows, counts, marks, sizes))
+        owners, docs, lows, counts, marks, sizes = (x[~copies] for x in (owners, docs, lows, counts, marks, sizes))
         # Laid out so that minimizers lie at multiples of the period: equal windows share a residue.
         lead = (-marks.astype(np.int64)) % PERIOD
         room = -(-(lead + sizes) // PERIOD) * PERIOD + PERIOD
         first = np.cumsum(room) - room + lead
         text = np.zeros(int(room.sum()), np.uint8)
         text[_ragged(first, sizes)] = sent
-        step = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-        owner = np.repeat(docs, counts)
+        heads = np.cumsum(counts) - counts
+        step = np.arange(int(counts.sum())) - np.repeat(heads, counts)
+        owner = np.repeat(owners, counts)
         least = smallest_owner(text, np.repeat(first, counts) + step, owner, length, aligned=True)
         later = np.flatnonzero(least < owner)
-        places = np.concatenate([(np.repeat(lows, counts) + step)[later], known[1]])
-        found = to_targets(0, targets, np.concatenate([owner[later], known[0]]), places)
+        gone = copies.copy()
+        gone[~copies] = (least < owner)[heads]  # a context with twins has one window
+        also = _ragged((np.cumsum(twins) - twins)[gone], twins[gone])
+        places = np.concatenate([(np.repeat(lows, counts) + step)[later], known[1], twin_places[also]])
+        found = to_targets(0, targets, np.concatenate([np.repeat(docs, counts)[later], known[0], twin_docs[also]]), places)
         del text, owner, least, sent, step
         give_back()
         return pa.Table.from_batches([found])
@@ -505,6 +538,7 @@ def drop_repeated_bytes(
     popular: int = POPULAR,
     as_text: bool = False,
     carried: tuple[str, ...] = (),
+    by_id: bool = False,
 ) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts in a smaller document.
 
@@ -513,19 +547,24 @@ def drop_repeated_bytes(
     a run holds only a part. ``carried`` columns are returned in a column ``rest``. Strings are
     judged on the input and never cross documents. A null or empty text has no bytes. Rows that
     share an id count as different documents, ordered by their place in a written copy; so do
-    rows without an id, after all others. Other columns are ignored; an empty table gives no row.
+    rows without an id, after all others. With ``by_id`` the id alone decides: rows that share one
+    are no smaller than each other, and a row without one has no smaller document and is none.
+    Other columns are ignored; an empty table gives no row.
     """
     if not GRAM + PERIOD <= length:
         raise ValueError(f"length must be at least {GRAM + PERIOD}")
-    rows = keyed_rows(docs, id_col, text, "suffix-rows", carried)
+    odd = odd_ids(docs, id_col)
+    shared = by_id and odd
+    rows = keyed_rows(docs, id_col, text, "suffix-rows", carried, odd)
     buckets, small = buckets_for(rows, finer=_FINER)
-    anchors = rows.select("row", "text").mapInArrow(_anchors(buckets, length), "kind int, bucket int, payload binary")
-    found = stage(anchors.groupBy("kind", "bucket").applyInArrow(_repeats_by_kind(buckets, popular), LISTS), "suffix-anchors")
+    texts = rows.where("id is not null").select("row", "text", F.col("id").alias("owner")) if shared else rows.select("row", "text")
+    anchors = texts.mapInArrow(_anchors(buckets, length, shared), "kind int, bucket int, payload binary")
+    found = stage(anchors.groupBy("kind", "bucket").applyInArrow(_repeats_by_kind(buckets, popular, shared), LISTS), "suffix-anchors")
     per_doc = place_lists(found, pieces=2, hits=1, popular=1).filter("length(hits) + length(popular) > 0")
-    near = rows.select("row", "text").join(per_doc.hint("shuffle_hash"), "row")
-    contexts = stage(near.mapInArrow(_contexts(small, buckets, length), f"bucket int, {LISTS}"), "suffix-contexts")
+    near = texts.join(per_doc.hint("shuffle_hash"), "row")
+    contexts = stage(near.mapInArrow(_contexts(small, buckets, length, shared), f"bucket int, {LISTS}"), "suffix-contexts")
     by_bucket = contexts.filter("bucket is not null").select("bucket", "payload").groupBy("bucket")
-    windows = by_bucket.applyInArrow(_sorted_bucket(buckets, length), LISTS)
+    windows = by_bucket.applyInArrow(_sorted_bucket(buckets, length, shared), LISTS)
     windows = stage(windows.union(contexts.filter("bucket is null").select("kind", "target", "payload")), "suffix-windows")
     pieces = found.filter(F.col("kind") == _PIECES)
     removed = place_lists(pieces.union(windows.withColumn("kind", F.lit(_PIECES + 1))), pieces=2, places=1)
@@ -536,6 +575,6 @@ def drop_repeated_bytes(
     return joined.mapInArrow(_without(length, as_text, bool(carried)), f"doc_id long, kept {kind}, n_bytes long, n_removed long, {span}{rest}")
 
 
-def op2_suffix_array(docs: DataFrame) -> DataFrame:
-    out = drop_repeated_bytes(docs)
+def op2_suffix_array(docs: DataFrame, by_id: bool = False) -> DataFrame:
+    out = drop_repeated_bytes(docs, by_id=by_id)
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from brute import repeated_bytes, rows_of
 
+from ledgerlake.llm.registry import QUERIES
 from ledgerlake.llm.suffix_array import cover_ranks, drop_repeated_bytes, op2_suffix_array, smallest_owner
 
 COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -87,3 +88,39 @@ def test_cover_ranks_and_blocks():
         least[key] = min(least.get(key, o), o)
     found = smallest_owner(data, starts[same_residue], owners[same_residue], aligned=True)
     assert found.tolist() == [least[data[s : s + 50].tobytes()] for s in starts[same_residue]]
+
+
+def test_popular_windows_are_removed_wherever_a_document_holds_them(spark, frame):
+    runs = [(i, "bcdefghijkl"[i] * i + "a" * 600) for i in range(1, 10)]
+    rows = runs + [(20 + i, (text(5, 60) + text(i, 30)) * 9) for i in range(1, 10)]
+    want = {(i, n, gone) for i, n, gone, _, _ in repeated_bytes(rows)}
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # documents in several tasks, as in a large table
+    try:
+        out = drop_repeated_bytes(frame(rows), popular=20).collect()
+    finally:
+        spark.conf.unset(key)
+    assert {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in out} == want
+
+
+def by_strictly_smaller_ids(rows):
+    """Brute force; a row without an id has no smaller document and is none."""
+    own = repeated_bytes([x for x in rows if x[0] is not None])
+    alone = [(None, *repeated_bytes([(0, t)])[0][1:]) for i, t in rows if i is None]
+    return sorted(own + alone, key=repr)
+
+
+@pytest.mark.parametrize("popular", [20, 20_000])
+def test_only_a_smaller_id_takes_bytes(frame, popular):
+    rows = [(7, A), (7, A), (None, A[:100]), (9, A[50:300]), (9, A[50:300] * 2), (None, A), (3, A[200:260])]
+    rows += [(i % 5 + 100, B[: 9 * i] + "#" + B[9 * i :]) for i in range(1, 60)]
+    rows += [(i % 4 + 200, (A[:61] + text(1000 + i, 30)) * 3) for i in range(40)]
+    got = drop_repeated_bytes(frame(rows), popular=popular, by_id=True).collect()
+    want = by_strictly_smaller_ids(rows)
+    assert sorted(((r["doc_id"], r["n_removed"]) for r in got), key=repr) == sorted(((x[0], x[2]) for x in want), key=repr)
+
+
+def test_the_registered_query_follows_the_ids(spark, frame, tmp_path):
+    rows = [(1, A), (1, A), (2, A[:100] + B[:70]), (None, A), (None, B[:300])]
+    frame(rows).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    assert rows_of(QUERIES["op2_suffix_array"](spark, str(tmp_path)), *COLUMNS) == by_strictly_smaller_ids(rows)
