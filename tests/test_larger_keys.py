@@ -13,6 +13,7 @@ SQL = entry.oracle_sql()
 QUERIES = entry.queries()
 NAMES = [
     "bank_treemap10",
+    "close_source_batch",
 ]
 
 
