@@ -14,6 +14,7 @@ QUERIES = entry.queries()
 NAMES = [
     "bank_treemap10",
     "close_source_batch",
+    "compact_banks",
 ]
 
 
