@@ -15,6 +15,7 @@ NAMES = [
     "bank_treemap10",
     "close_source_batch",
     "compact_banks",
+    "compact_snapshot",
 ]
 
 
