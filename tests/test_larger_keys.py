@@ -16,6 +16,7 @@ NAMES = [
     "close_source_batch",
     "compact_banks",
     "compact_snapshot",
+    "compact_accounts",
 ]
 
 
