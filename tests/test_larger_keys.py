@@ -17,6 +17,7 @@ NAMES = [
     "compact_banks",
     "compact_snapshot",
     "compact_accounts",
+    "curated_completeness",
 ]
 
 
