@@ -18,6 +18,7 @@ NAMES = [
     "compact_snapshot",
     "compact_accounts",
     "curated_completeness",
+    "curated_daily",
 ]
 
 
