@@ -19,6 +19,7 @@ NAMES = [
     "compact_accounts",
     "curated_completeness",
     "curated_daily",
+    "curated_aml_rate",
 ]
 
 
