@@ -20,6 +20,7 @@ NAMES = [
     "curated_completeness",
     "curated_daily",
     "curated_aml_rate",
+    "curated_format_rate",
 ]
 
 
