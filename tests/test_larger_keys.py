@@ -21,6 +21,7 @@ NAMES = [
     "curated_daily",
     "curated_aml_rate",
     "curated_format_rate",
+    "curated_patterns",
 ]
 
 
