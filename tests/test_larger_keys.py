@@ -22,6 +22,7 @@ NAMES = [
     "curated_aml_rate",
     "curated_format_rate",
     "curated_patterns",
+    "curated_flags",
 ]
 
 
