@@ -53,13 +53,13 @@ def ordered_digest(lines: DataFrame, place: str = "place", value: str = "value")
     that of its group of DIGEST_FAN blocks, and the groups' into the digest of the whole. Blocks
     follow line numbers, so the result does not depend on how files were split, a swapped pair
     of lines changes it, and no task holds more than one node's children. No lines give the
-    digest of the empty text.
+    digest of the empty text. Between the levels digests travel as 32 bytes, not as their text.
     """
-    level = lines.select((F.col(place) - 1).alias("at"), F.sha2(F.coalesce(value, F.lit("")), 256).alias("digest"))
+    level = lines.select((F.col(place) - 1).alias("at"), F.unhex(F.sha2(F.coalesce(value, F.lit("")), 256)).alias("digest"))
     counted = None
     for _ in range(2):
         nodes = level.groupBy(F.expr(f"at div {DIGEST_FAN}").alias("node")).agg(
-            _in_order().alias("digest"), F.count("*").alias("n") if counted is None else F.sum("n").alias("n")
+            F.unhex(_in_order()).alias("digest"), F.count("*").alias("n") if counted is None else F.sum("n").alias("n")
         )
         counted = level = nodes.select(F.col("node").alias("at"), "digest", "n")
     return level.agg(_in_order().alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("line_count"))
@@ -67,7 +67,7 @@ def ordered_digest(lines: DataFrame, place: str = "place", value: str = "value")
 
 def _in_order() -> Column:
     children = F.sort_array(F.collect_list(F.struct("at", "digest")))
-    return F.sha2(F.array_join(F.transform(children, lambda x: x["digest"]), ""), 256)
+    return F.sha2(F.array_join(F.transform(children, lambda x: F.lower(F.hex(x["digest"]))), ""), 256)
 
 
 def manifest(spark: SparkSession, expected: dict[str, tuple]) -> DataFrame:
